@@ -103,9 +103,11 @@ def added_columns(actual: Sequence[str], expected: Sequence[str]) -> list[str]:
 # --- measures with a grouping of their own ----------------------------------------------
 
 def repeat_counts(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """Rows per key, or per whole-row hash. Combined on the map side, so a hot key is one row
-    per task in the shuffle."""
-    by = [F.col(k) for k in keys] if keys else [F.xxhash64(*df.columns).alias("_row_hash")]
+    """Rows per key, or per whole row. Combined on the map side, so a hot key is one row per
+    task in the shuffle. Whole rows are compared by 128 hash bits instead of being shuffled."""
+    by = [F.col(k) for k in keys] if keys else [
+        F.xxhash64(*df.columns).alias("_row_hash"),
+        F.xxhash64(F.lit("again"), *df.columns).alias("_row_hash_again")]
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_copies"))
 
 

@@ -72,7 +72,8 @@ def hot_groups(df: DataFrame, by: Sequence[str],
     """Groups too large for one task, or None.
 
     A group is hot when it holds more than ``min_rows`` rows and more than two average slices.
-    At most half as many groups as slices can, which bounds any broadcast of the result.
+    At most half as many groups as slices can. That bounds the list kept here and its
+    broadcast, and keeping it spares both later uses a count of their own.
     """
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = counts.agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
@@ -81,7 +82,8 @@ def hot_groups(df: DataFrame, by: Sequence[str],
     limit = max(min_rows, 2 * sizes["total"] // task_slots(df.sparkSession))
     if sizes["largest"] <= limit:
         return None
-    return counts.where(F.col("_rows") > limit).select(*_keys_of(by))
+    found = counts.where(F.col("_rows") > limit).select(*_keys_of(by))
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def _split(df: DataFrame, hot: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:

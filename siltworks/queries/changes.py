@@ -10,7 +10,7 @@ from ..operators.changes import current_rows, version_history
 from ..operators.quality import version_faults
 from ..operators.summarize import op_breakdown
 from ..plans import change_bronze
-from ..session import scratch_path
+from ..session import scratch_path, task_slots
 from ..streaming.landing import file_stream
 from ..streaming.replay import ChangeState, replay_stream
 from .base import Query, fresh_schema, read
@@ -53,7 +53,7 @@ def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_quantity", _op_of("l_returnflag", "A", "N").alias("_op"))
 
 
-def op_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op_breakdown({"orders": order_log(spark, sf_dir), "lineitem": line_log(spark, sf_dir)})
 
 
@@ -87,12 +87,13 @@ def cdc_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed log files, a few per micro-batch, folded into the state by a stream."""
+    """Landed log files, a third of them per micro-batch, folded into the state by a stream."""
     log = order_log(spark, sf_dir)
     landing = scratch_path(spark, "log")
-    log.repartition(4).write.parquet(landing)
+    slots = task_slots(spark)
+    log.repartition(slots).write.parquet(landing)
     state = ChangeState(spark, scratch_path(spark, "state"), log.schema, KEYS, SEQUENCE)
-    stream = file_stream(spark, landing, "parquet", log.schema, {"maxFilesPerTrigger": "2"})
+    stream = file_stream(spark, landing, "parquet", log.schema, {"maxFilesPerTrigger": str(max(1, slots // 3))})
     replay_stream(stream, state, scratch_path(spark, "checkpoint"), compact_every=2).awaitTermination()
     return state.current()
 
@@ -121,7 +122,7 @@ def dq_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op_counts": Query(op_counts, f"""
+    "change_counts": Query(change_counts, f"""
         WITH counted AS (
           SELECT 'orders' AS table_name, _op AS op, count(*) AS op_rows FROM ({_LOG}) GROUP BY ALL
           UNION ALL
