@@ -6,7 +6,8 @@ import json
 from typing import Iterator, Mapping
 
 import pandas as pd
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,8 @@ def infer_schema(spark: SparkSession, path: str, file_format: str,
         if path_missing(error) or (error.getCondition() or "") == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
-    except PySparkException as error:
-        if file_format == "parquet" and "CANNOT_MERGE_SCHEMAS" in (error.getCondition() or ""):
+    except Py4JJavaError as error:  # Spark leaves a failed merge of footers in this form
+        if file_format == "parquet" and "CANNOT_MERGE" in str(error):
             raise ValueError(_conflict_message(spark, path, options)) from error
         raise
 
@@ -122,12 +123,15 @@ def parquet_columns(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def conflicting_files(files: DataFrame) -> DataFrame:
-    """Files holding a column in another type than most files do: ``path, column, type, usual_type``."""
+    """Files holding a column in another type than most files do: ``path, column, type, usual_type``.
+
+    Among equally common types the one of the first path counts as usual.
+    """
     columns = parquet_columns(files)
     votes = columns.groupBy("column", "type").agg(F.count(F.lit(1)).alias("files"),
                                                   F.min("path").alias("first_path"))
-    rank = F.struct(F.col("files"), F.col("first_path"))
-    usual = votes.groupBy("column").agg(F.max_by("type", rank).alias("usual_type"),
+    rank = F.struct(-F.col("files"), F.col("first_path"))
+    usual = votes.groupBy("column").agg(F.min_by("type", rank).alias("usual_type"),
                                         F.count(F.lit(1)).alias("types"))
     return (columns.join(usual.where("types > 1").drop("types"), "column")
             .where("type <> usual_type").select("path", "column", "type", "usual_type"))
