@@ -177,8 +177,8 @@ def version_faults(history: DataFrame, keys: Sequence[str], valid_from: str = "v
                .agg(F.count_if(F.col("_current") > 1).alias("keys_with_several_current")))
     overlaps = overlapping_versions(history, keys, valid_from, valid_to, hot_rows).agg(
         F.count(F.lit(1)).alias("overlapping_versions"))
-    # Both sides are one aggregate row.
-    return several.join(overlaps, F.lit(True))
+    both = several.unionByName(overlaps, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def reconcile(bronze: DataFrame, kept: DataFrame, quarantined: DataFrame,
@@ -213,11 +213,9 @@ def distribution_shift(baseline: DataFrame, current: DataFrame, bin_of: Column,
                                                           allowMissingColumns=True)
     bins = sides.groupBy("bin").agg(F.coalesce(F.sum("baseline_rows"), F.lit(0)).alias("baseline_rows"),
                                     F.coalesce(F.sum("current_rows"), F.lit(0)).alias("current_rows"))
-    totals = bins.agg(F.sum("baseline_rows").alias("_b"), F.sum("current_rows").alias("_c"))
-    joined = bins.join(F.broadcast(totals), F.lit(True))  # totals is one row
-    before, after = F.col("baseline_rows") / F.col("_b"), F.col("current_rows") / F.col("_c")
+    before, after = [F.col(c) / bins.agg(F.sum(c)).scalar() for c in ("baseline_rows", "current_rows")]
     low, high = F.greatest(before, F.lit(floor)), F.greatest(after, F.lit(floor))
-    return joined.select("bin", before.alias("baseline_share"), after.alias("current_share"),
+    return bins.select("bin", before.alias("baseline_share"), after.alias("current_share"),
                          ((high - low) * F.log(high / low)).alias("stability_part"),
                          (F.abs(after - before) / 2).alias("variation_part"))
 

@@ -8,14 +8,13 @@ in its slice into its position overall.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage, task_slots
+from .keys import drop_renamed, renamed_keys, same_key, split_by_keys
 
 # monotonically_increasing_id keeps the partition number above bit 33, the row number below it.
 _ROW_BITS = 33
@@ -28,43 +27,36 @@ def _as_column(item: Column | str) -> Column:
     return F.col(item) if isinstance(item, str) else item
 
 
-def _keys_of(by: Sequence[str]) -> list[Column]:
-    """The group columns under the names that :func:`_same_group` expects on the right side."""
-    return [F.col(c).alias(f"_by_{c}") for c in by]
+def _place(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Range-partition and sort once, stage, and add ``_slice`` and ``_placed``.
 
-
-def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
-    """Null-safe equality of the group columns, since a window treats NULL as a group too."""
-    return reduce(and_, [left[c].eqNullSafe(right[f"_by_{c}"]) for c in by])
-
-
-def _drop_keys(df: DataFrame, by: Sequence[str], *others: str) -> DataFrame:
-    return df.drop(*[f"_by_{c}" for c in by], *others)
-
-
-def with_position(df: DataFrame, order: Sequence[Column | str], name: str,
-                  start: int = 1) -> DataFrame:
-    """Number all rows by ``order``, from ``start``, with one range shuffle and no single task.
-
-    The sorted slices are staged once, so counts and positions come from the same layout. Put
-    a unique column last in ``order``: it makes the numbers repeatable and lets rows that tie
-    on the other columns spread over several slices.
+    ``_placed`` grows with the order; staging makes counts and positions see one layout.
     """
     slices = task_slots(df.sparkSession)
     placed = stage(
         df.repartitionByRange(slices, *map(_as_column, order))
         .sortWithinPartitions(*map(_as_column, order))
         .withColumn("_placed", F.monotonically_increasing_id()), "positions")
-    slice_id = F.shiftright("_placed", _ROW_BITS)
-    sizes = placed.groupBy(slice_id.alias("_slice")).agg(F.count(F.lit(1)).alias("_size"))
+    return placed.withColumn("_slice", F.shiftright("_placed", _ROW_BITS))
+
+
+def _with_overall(placed: DataFrame, name: str) -> DataFrame:
+    """Position in the slice plus the sizes of the slices before it, counted from 1."""
+    sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
     # One row per slice: this window and the broadcast are bounded by the slice count.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    position = F.col("_before") + F.col("_placed").bitwiseAND(F.lit(_ROW_MASK)) + F.lit(start)
-    return (placed.withColumn("_slice", slice_id)
-            .join(F.broadcast(offsets), "_slice")
-            .withColumn(name, position)
-            .drop("_slice", "_before", "_placed"))
+    position = F.col("_before") + F.col("_placed").bitwiseAND(F.lit(_ROW_MASK)) + 1
+    return placed.join(F.broadcast(offsets), "_slice").withColumn(name, position).drop("_before")
+
+
+def with_position(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """Number all rows from 1 by ``order``, with one range shuffle and no single task.
+
+    Put a unique column last in ``order``: it makes the numbers repeatable and lets rows that
+    tie on the other columns spread over several slices.
+    """
+    return _with_overall(_place(df, order), name).drop("_slice", "_placed")
 
 
 def hot_groups(df: DataFrame, by: Sequence[str],
@@ -82,25 +74,19 @@ def hot_groups(df: DataFrame, by: Sequence[str],
     limit = max(min_rows, 2 * sizes["total"] // task_slots(df.sparkSession))
     if sizes["largest"] <= limit:
         return None
-    found = counts.where(F.col("_rows") > limit).select(*_keys_of(by))
+    found = counts.where(F.col("_rows") > limit).select(*renamed_keys(by))
     return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def _split(df: DataFrame, hot: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    hot = F.broadcast(hot)
-    match = _same_group(df, hot, by)
-    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
-
-
 def _position_in_group(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str],
                        name: str) -> DataFrame:
     """Positions inside a few huge groups: overall position less the start of the group."""
     placed = with_position(rows, [*by, *order], "_overall")
     starts = placed.groupBy(*by).agg(F.min("_overall").alias("_start"))
-    starts = starts.select(*_keys_of(by), "_start")
-    joined = (placed.join(F.broadcast(starts), _same_group(placed, starts, by))
+    starts = starts.select(*renamed_keys(by), "_start")
+    joined = (placed.join(F.broadcast(starts), same_key(placed, starts, by))
               .withColumn(name, F.col("_overall") - F.col("_start") + 1))
-    return _drop_keys(joined, by, "_overall", "_start")
+    return drop_renamed(joined, by, "_overall", "_start")
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
@@ -115,11 +101,32 @@ def group_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
     hot = hot_groups(df, by, hot_rows)
     if hot is None:
         return df.withColumn(name, numbered)
-    cold_rows, hot_rows_df = _split(df, hot, by)
+    cold_rows, hot_rows_df = split_by_keys(df, F.broadcast(hot), by)
     return (cold_rows.withColumn(name, numbered)
             .unionByName(_position_in_group(hot_rows_df, by, order, name)))
 
 
+def overall_and_group_rank(df: DataFrame, order: Sequence[Column | str], overall: str,
+                           by: Sequence[str], within: str) -> DataFrame:
+    """Both row numbers by one order, from one range shuffle and one hash shuffle.
+
+    The slices already hold the rows in order, so a row's number in its group is its number
+    among the group's rows of its slice plus the group's rows in earlier slices. No task gets
+    more of a group than one slice holds.
+    """
+    placed = _place(df, order)
+    counts = placed.groupBy("_slice", *by).agg(F.count(F.lit(1)).alias("_size"))
+    # Per group at most one row per slice.
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select(F.col("_slice").alias("_by__slice"), *renamed_keys(by),
+                            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_earlier"))
+    here = Window.partitionBy("_slice", *by).orderBy("_placed")
+    rows = _with_overall(placed, overall).withColumn("_here", F.row_number().over(here))
+    joined = rows.join(earlier, same_key(rows, earlier, ["_slice", *by]))
+    return drop_renamed(joined.withColumn(within, F.col("_earlier") + F.col("_here")), ["_slice", *by],
+                        "_slice", "_placed", "_here", "_earlier")
+
+
 def with_next(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
               following: Mapping[str, str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Add ``output: column`` of the next row in the group (``lead``), NULL on the last row.
@@ -132,13 +139,13 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
     hot = hot_groups(df, by, hot_rows)
     if hot is None:
         return df.withColumns(leads)
-    cold_rows, hot_rows_df = _split(df, hot, by)
+    cold_rows, hot_rows_df = split_by_keys(df, F.broadcast(hot), by)
     # Staged, because both sides of the join below must see the same numbers.
     numbered = stage(_position_in_group(hot_rows_df, by, order, "_nth"), "numbered")
-    later = numbered.select(*_keys_of(by), (F.col("_nth") - 1).alias("_before_nth"),
+    later = numbered.select(*renamed_keys(by), (F.col("_nth") - 1).alias("_before_nth"),
                             *[F.col(column).alias(out) for out, column in following.items()])
-    match = _same_group(numbered, later, by) & (numbered["_nth"] == later["_before_nth"])
-    joined = _drop_keys(numbered.join(later, match, "left"), by, "_nth", "_before_nth")
+    match = same_key(numbered, later, by) & (numbered["_nth"] == later["_before_nth"])
+    joined = drop_renamed(numbered.join(later, match, "left"), by, "_nth", "_before_nth")
     return cold_rows.withColumns(leads).unionByName(joined)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import Bound, guarded_ratio, has_text, tier, typed, with_lineage
-from ..operators.rank import HOT_GROUP_ROWS, global_rank, group_rank
+from ..operators.rank import overall_and_group_rank
 from ..sinks.tables import replace_table
 from ..sources.files import read_configured
 
@@ -54,11 +54,10 @@ def offensive_tier(column: str = "goals_assists_per90") -> Column:
 
 
 def rankings(teams: DataFrame, tie_break: Sequence[str] = ("team",),
-             hot_rows: int = HOT_GROUP_ROWS, now: dt.datetime | None = None) -> DataFrame:
+             now: dt.datetime | None = None) -> DataFrame:
     """Overall rank, rank within the country, and offensive tier."""
-    order = by_offence(tie_break)
-    ranked = group_rank(global_rank(teams, order, "overall_rank"), ["team_country"], order,
-                        "country_rank", hot_rows)
+    ranked = overall_and_group_rank(teams, by_offence(tie_break), "overall_rank",
+                                    ["team_country"], "country_rank")
     return with_lineage(ranked.withColumn("offensive_tier", offensive_tier()),
                         ingested_at="_refreshed_at", now=now)
 

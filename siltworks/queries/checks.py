@@ -104,10 +104,7 @@ def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeats(good, ["l_orderkey", "l_linenumber"])
     repeats = q.repeat_counts(good, ["l_orderkey", "l_linenumber"]).agg(
         F.sum(F.col("_copies") - 1).alias("repeats"))
-    sums = q.reconcile(lines, kept, bad, 0).join(repeats, F.lit(True))  # one row each
-    return sums.select("bronze_rows", "kept_rows", "quarantined_rows",
-                       F.col("repeats").alias("deduplicated_rows"),
-                       (F.col("unexplained_rows") - F.col("repeats")).alias("unexplained_rows"))
+    return q.reconcile(lines, kept, bad, repeats.scalar())
 
 
 def dq_lost_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,7 +88,7 @@ def team_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def team_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = teams.rankings(teams.silver(landed_teams(spark, sf_dir)), hot_rows=HOT_ROWS)
+    ranked = teams.rankings(teams.silver(landed_teams(spark, sf_dir)))
     return ranked.select("team", "team_country", "goals_assists_per90", "goals_per90",
                          "overall_rank", "country_rank", "offensive_tier")
 

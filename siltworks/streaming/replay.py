@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import DELETE, last_change, require_op
+from ..operators.keys import renamed_keys, split_by_keys
 from ..sources.files import path_missing
 
+
 class ChangeState:
     """Newest change per key under ``location``, deletes included.
 
@@ -74,9 +76,14 @@ class ChangeState:
         changes = self._read(self._changes_path(version))
         if changes is None:
             return base if base is not None else self.spark.createDataFrame([], self.schema)
-        changes = changes.select(*self.schema.fieldNames())
-        merged = changes if base is None else base.unionByName(changes)
-        return last_change(merged, self.keys, self.sequence_by)
+        newest = last_change(changes.select(*self.schema.fieldNames()), self.keys, self.sequence_by)
+        if base is None:
+            return newest
+        # Only base rows whose key has changed take part in the shuffle. The joins broadcast
+        # the changed keys while Spark finds them small enough.
+        touched = newest.select(*renamed_keys(self.keys))
+        untouched, replaced = split_by_keys(base, touched, self.keys)
+        return untouched.unionByName(last_change(replaced.unionByName(newest), self.keys, self.sequence_by))
 
     def current(self) -> DataFrame:
         """The table as it is now: deleted keys are left out."""

@@ -7,8 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siltworks.operators.changes import overlapping_versions, version_history
-from siltworks.operators.rank import (global_rank, group_rank, hot_groups, rolling_baseline,
-                                      with_next, with_position)
+from siltworks.operators.rank import (global_rank, group_rank, hot_groups,
+                                      overall_and_group_rank, rolling_baseline, with_next, with_position)
 
 from .plans import plan_text
 
@@ -32,6 +32,17 @@ def test_global_rank_equals_plain_window(spark, seed):
     assert sorted(global_rank(df, order(), "r").collect(), key=str) == sorted(plain.collect(), key=str)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_both_ranks_equal_plain_windows(spark, seed):
+    df = sample(spark, seed)
+    plain = df.withColumns({
+        "o": F.row_number().over(Window.orderBy(*order())).cast("long"),
+        "w": F.row_number().over(Window.partitionBy("g").orderBy(*order())).cast("long")})
+    got = overall_and_group_rank(df, order(), "o", ["g"], "w")
+    assert got.columns == plain.columns
+    assert sorted(got.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
 @pytest.mark.parametrize("hot_rows", [1, 500, 10**9])
 def test_group_rank_equals_plain_window(spark, hot_rows):
     df = sample(spark, 7)
