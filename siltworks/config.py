@@ -14,7 +14,8 @@ class LandingConfig:
     """Where change files land and where their bronze tables go.
 
     ``checkpoint_base`` falls back to ``<source_path>/../_checkpoints/<target_schema>``, so a
-    job needs no more than its source and target.
+    job needs no more than its source and target. ``keep_row_order`` adds each row's position
+    in its file: with the dated file path it orders changes that carry no sequence of their own.
     """
 
     source_path: str
@@ -24,6 +25,7 @@ class LandingConfig:
     checkpoint_base: str | None = None
     bronze_suffix: str = "_raw"
     format: str = "parquet"
+    keep_row_order: bool = False
 
     def table_path(self, table: str) -> str:
         return f"{self.source_path.rstrip('/')}/{table}/"

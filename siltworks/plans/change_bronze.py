@@ -18,6 +18,9 @@ from ..streaming.landing import append_stream, file_stream
 
 logger = logging.getLogger(__name__)
 
+# Sequence of changes whose rows carry none: landed paths are dated, and rows are in commit order.
+FILE_ORDER = ["_source_file", "_source_row"]
+
 
 def change_stream(spark: SparkSession, config: LandingConfig, table: str) -> DataFrame:
     """The change log of one table, ``Op`` renamed to ``_op``, with lineage."""
@@ -29,6 +32,7 @@ def change_stream(spark: SparkSession, config: LandingConfig, table: str) -> Dat
         raise ValueError(f"{path} holds no {config.format} file to take a schema from")
     stream = file_stream(spark, path, config.format, schema).withColumnsRenamed({"Op": "_op"})
     return with_lineage(require_op(stream), ingested_at="_ingested_at", source_file="_source_file",
+                        source_row=FILE_ORDER[1] if config.keep_row_order else None,
                         tags={"_source_table": config.source_table(table)})
 
 

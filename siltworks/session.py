@@ -58,5 +58,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def task_slots(spark: SparkSession) -> int:
-    """How many slices a full shuffle is cut into."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """How many slices a full shuffle is cut into before adaptive execution merges small ones."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or spark.conf.get("spark.sql.shuffle.partitions"))

@@ -85,7 +85,7 @@ def test_lineage(spark, scratch):
     path = scratch()
     spark.range(2).write.parquet(path)
     moment = dt.datetime(2024, 1, 2, 3, 4, tzinfo=dt.timezone.utc)
-    df = with_lineage(spark.read.parquet(path), "_at", "_day", "_file", {"_table": "db.t"}, moment)
+    df = with_lineage(spark.read.parquet(path), "_at", "_day", "_file", tags={"_table": "db.t"}, now=moment)
     row = df.first()
     assert row._day == dt.date(2024, 1, 2) and row._table == "db.t"
     assert row._file.endswith(".parquet") and path.split("/")[-1] in row._file

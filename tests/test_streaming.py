@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -53,6 +54,17 @@ def test_two_waves_with_an_added_column(spark, config):
     assert [tuple(r) for r in state.select("id", "nm", "sal").collect()] == [(1, "a2", 9.5)]
 
 
+def test_file_order_sequences_changes(spark, config):
+    config = dataclasses.replace(config, keep_row_order=True)
+    changes = [("I", 1, "a"), ("U", 1, "b"), ("U", 1, "c"), ("I", 2, "x"), ("D", 2, "x")]
+    land(spark, changes[:2], "Op string, id int, nm string", f"{config.source_path}/t/2024/01/01")
+    land(spark, changes[2:], "Op string, id int, nm string", f"{config.source_path}/t/2024/01/02")
+    raise_any(change_bronze.run(spark, config))
+    log = spark.table(config.bronze_table("t"))
+    state = current_rows(log, ["id"], change_bronze.FILE_ORDER)
+    assert [(r.id, r.nm) for r in state.collect()] == [(1, "c")]
+
+
 def test_bad_tables_do_not_stop_a_good_one(spark, config):
     root = config.source_path
     land(spark, [("I", 1)], "Op string, id int", f"{root}/good/1")
