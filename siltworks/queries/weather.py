@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import steady_round
 from ..operators.conform import select_synonyms
 from ..plans import weather
+from ..session import scratch_path
+from ..sources.files import read_files
 from .base import NOW, Query, fresh_schema, plain, read, rounded, text
 
 _DAY_PARTS = """CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
@@ -87,9 +89,11 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fresh_schema(spark)
-    raw = station_text(spark, sf_dir).withColumnsRenamed({"Location Name": "location_name"})
-    weather.run(spark, raw, tables, NOW)
+    """A landed CSV dataset, its types inferred -> three tables."""
+    tables, landing = fresh_schema(spark), scratch_path(spark, "dataset")
+    named = station_text(spark, sf_dir).withColumnsRenamed({"Location Name": "location_name"})
+    named.write.option("header", "true").csv(landing)
+    weather.run(spark, read_files(spark, landing, "csv"), tables, NOW)
     rounded = {c: steady_round(c, 4) for c in ("avg_mean_temperature", "total_precipitation")}
     return spark.table(f"{tables}.gold_weather").withColumns(
         {**rounded, "observation_date": text("observation_date")})

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siltworks.operators.changes import overlapping_versions, version_history
-from siltworks.operators.rank import (global_rank, group_rank, hot_groups,
+from siltworks.operators.rank import (_place, global_rank, group_rank, hot_groups,
                                       overall_and_group_rank, rolling_baseline, with_next, with_position)
 
 from .plans import plan_text
@@ -79,6 +79,11 @@ def test_rows_spread_over_slices_although_scores_tie(spark):
     assert placed.count() == 8 and placed.agg(F.max("count")).first()[0] < 2000
 
 
+def test_rows_are_placed_in_several_slices(spark):
+    placed = _place(sample(spark, 1), order())
+    assert placed.select("_slice").distinct().count() == 8
+
+
 def test_global_rank_has_no_window_over_rows(spark):
     plan = plan_text(with_position(sample(spark, 1), order(), "r"))
     windows = [line for line in plan.splitlines() if " Window " in line]
