@@ -16,6 +16,8 @@ class LandingConfig:
     ``checkpoint_base`` falls back to ``<source_path>/../_checkpoints/<target_schema>``, so a
     job needs no more than its source and target. ``keep_row_order`` adds each row's position
     in its file: with the dated file path it orders changes that carry no sequence of their own.
+    ``rescue`` keeps values that do not fit their column, whatever types later files bring, in
+    ``_rescued_data``; without it such a file stops its table with an error.
     """
 
     source_path: str
@@ -26,6 +28,7 @@ class LandingConfig:
     bronze_suffix: str = "_raw"
     format: str = "parquet"
     keep_row_order: bool = False
+    rescue: bool = False
 
     def table_path(self, table: str) -> str:
         return f"{self.source_path.rstrip('/')}/{table}/"

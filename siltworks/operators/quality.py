@@ -15,8 +15,9 @@ from typing import Mapping, NamedTuple, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rank import HOT_GROUP_ROWS, rolling_baseline
+from ..session import stage
 from .changes import overlapping_versions
+from .rank import HOT_GROUP_ROWS, rolling_baseline
 
 RESULT_COLUMNS = ["table", "layer", "check", "metric", "threshold", "passed", "run_ts"]
 
@@ -211,8 +212,9 @@ def distribution_shift(baseline: DataFrame, current: DataFrame, bin_of: Column,
 
     sides = shares(baseline, "baseline_rows").unionByName(shares(current, "current_rows"),
                                                           allowMissingColumns=True)
-    bins = sides.groupBy("bin").agg(F.coalesce(F.sum("baseline_rows"), F.lit(0)).alias("baseline_rows"),
-                                    F.coalesce(F.sum("current_rows"), F.lit(0)).alias("current_rows"))
+    # Staged, because the totals below would otherwise read both tables again.
+    bins = stage(sides.groupBy("bin").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                                            for c in ("baseline_rows", "current_rows")]), "bins")
     before, after = [F.col(c) / bins.agg(F.sum(c)).scalar() for c in ("baseline_rows", "current_rows")]
     low, high = F.greatest(before, F.lit(floor)), F.greatest(after, F.lit(floor))
     return bins.select("bin", before.alias("baseline_share"), after.alias("current_share"),

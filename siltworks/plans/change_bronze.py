@@ -15,11 +15,19 @@ from ..sources.discovery import tables_by_folder
 from ..sources.schemas import SchemaLog, remembered_schema
 from ..streaming.fanout import drain_all, finished
 from ..streaming.landing import append_stream, file_stream
+from ..streaming.rescue import rescue_stream
 
 logger = logging.getLogger(__name__)
 
 # Sequence of changes whose rows carry none: landed paths are dated, and rows are in commit order.
 FILE_ORDER = ["_source_file", "_source_row"]
+RENAMES = {"Op": "_op"}
+
+
+def add_lineage(df: DataFrame, config: LandingConfig, table: str) -> DataFrame:
+    return with_lineage(df, ingested_at="_ingested_at", source_file="_source_file",
+                        source_row=FILE_ORDER[1] if config.keep_row_order else None,
+                        tags={"_source_table": config.source_table(table)})
 
 
 def change_stream(spark: SparkSession, config: LandingConfig, table: str) -> DataFrame:
@@ -30,14 +38,16 @@ def change_stream(spark: SparkSession, config: LandingConfig, table: str) -> Dat
                                options={"recursiveFileLookup": "true"})
     if schema is None:
         raise ValueError(f"{path} holds no {config.format} file to take a schema from")
-    stream = file_stream(spark, path, config.format, schema).withColumnsRenamed({"Op": "_op"})
-    return with_lineage(require_op(stream), ingested_at="_ingested_at", source_file="_source_file",
-                        source_row=FILE_ORDER[1] if config.keep_row_order else None,
-                        tags={"_source_table": config.source_table(table)})
+    stream = file_stream(spark, path, config.format, schema).withColumnsRenamed(RENAMES)
+    return add_lineage(require_op(stream), config, table)
 
 
 def start_table(spark: SparkSession, config: LandingConfig, table: str,
                 every: str | None = None) -> StreamingQuery:
+    if config.rescue:
+        return rescue_stream(spark, config.table_path(table), config.bronze_table(table),
+                             config.checkpoint_path(table), SchemaLog(spark, config.schema_location(table)),
+                             lambda rows: add_lineage(require_op(rows, "Op"), config, table), RENAMES, every)
     return append_stream(change_stream(spark, config, table), config.bronze_table(table),
                          config.checkpoint_path(table), every)
 

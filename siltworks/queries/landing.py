@@ -61,6 +61,24 @@ def stream_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority", "_op", "_source_table")
 
 
+def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders land in two waves, the second with customer keys as text that is not always a number."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                                  F.lit("I").alias("Op"))
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    odd = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("C"), "o_custkey")).otherwise(
+        F.col("o_custkey").cast("string"))
+    root = scratch_path(spark, "waves")
+    config = LandingConfig(root, "shop", fresh_schema(spark), rescue=True,
+                           checkpoint_base=scratch_path(spark, "checkpoint"))
+    orders.where(early).write.parquet(f"{root}/orders/1997/12/31")
+    _raise_first(change_bronze.run(spark, config))
+    orders.where(~early).withColumn("o_custkey", odd).write.parquet(f"{root}/orders/2001/12/31")
+    _raise_first(change_bronze.run(spark, config))
+    return spark.table(config.bronze_table("orders")).select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.col("_rescued_data").alias("rescued"))
+
+
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events streamed twice over one checkpoint: the second run finds nothing new."""
     landing, table = scratch_path(spark, "events"), f"{fresh_schema(spark)}.events_bronze"
@@ -230,6 +248,10 @@ QUERIES = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
                'I' AS _op, 'shop.orders' AS _source_table FROM orders"""),
+    "stream_rescue": Query(stream_rescue, """
+        SELECT o_orderkey, CASE WHEN NOT odd THEN o_custkey END AS o_custkey, o_orderdate,
+               CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued
+        FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'P' AS odd FROM orders)"""),
     "stream_events": Query(stream_events, "SELECT *, 'events' AS _source_name FROM events"),
     "batch_customers": Query(batch_customers, _CUSTOMERS),
     "batch_formats": Query(batch_formats, " UNION ALL ".join(

@@ -90,6 +90,35 @@ def test_type_change_of_a_later_wave_is_an_error(spark, config):
     assert spark.table(config.bronze_table("t")).count() == 1
 
 
+def test_misfits_are_rescued_by_a_stream(spark, config):
+    config = dataclasses.replace(config, rescue=True)
+    root, bronze = f"{config.source_path}/t", config.bronze_table("t")
+    land(spark, [("I", 1, 5)], "Op string, id int, qty int", f"{root}/2024/01/01")
+    land(spark, [("I", 2, "6"), ("I", 3, "six")], "Op string, id int, qty string", f"{root}/2024/01/02")
+    raise_any(change_bronze.run(spark, config))
+    got = spark.table(bronze).orderBy("id").select("_op", "id", "qty", "_rescued_data").collect()
+    if dict(spark.table(bronze).dtypes)["qty"] == "int":
+        assert [tuple(r) for r in got] == [("I", 1, 5, None), ("I", 2, 6, None), ("I", 3, None, '{"qty":"six"}')]
+    else:  # the text file came first, and a number fits text
+        assert [tuple(r) for r in got] == [("I", 1, "5", None), ("I", 2, "6", None), ("I", 3, "six", None)]
+    raise_any(change_bronze.run(spark, config))
+    assert spark.table(bronze).count() == 3
+    land(spark, [("U", 2**40, 7, "n")], "Op string, id long, qty int, note string", f"{root}/2024/01/03")
+    raise_any(change_bronze.run(spark, config))
+    row = spark.table(bronze).where("note = 'n'").select("id", "_rescued_data", "_source_table").first()
+    assert tuple(row) == (None, '{"id":"%d"}' % 2**40, "shop.t")
+    assert spark.table(bronze).where("_source_file IS NULL OR _ingested_at IS NULL").count() == 0
+
+
+def test_rescue_repeats_nothing_after_a_lost_commit(spark, config):
+    config = dataclasses.replace(config, rescue=True)
+    land(spark, [("I", 1)], "Op string, id int", f"{config.source_path}/t/1")
+    raise_any(change_bronze.run(spark, config))
+    again = dataclasses.replace(config, checkpoint_base=config.checkpoint_base + "-lost")
+    raise_any(change_bronze.run(spark, again))
+    assert spark.table(config.bronze_table("t")).count() == 1
+
+
 def test_absent_source_is_no_error(spark, config):
     assert change_bronze.run(spark, config) == {}
 
