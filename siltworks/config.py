@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
 CHECKPOINT_FOLDER = "_checkpoints"
+FILES_PER_BATCH = 10_000
 
 
 @dataclass(frozen=True)
@@ -17,7 +18,8 @@ class LandingConfig:
     job needs no more than its source and target. ``keep_row_order`` adds each row's position
     in its file: with the dated file path it orders changes that carry no sequence of their own.
     ``rescue`` keeps values that do not fit their column, whatever types later files bring, in
-    ``_rescued_data``; without it such a file stops its table with an error.
+    ``_rescued_data``; without it such a file stops its table with an error. ``files_per_batch``
+    bounds the work that a lost micro-batch repeats, also in the first run over a full landing.
     """
 
     source_path: str
@@ -29,6 +31,7 @@ class LandingConfig:
     format: str = "parquet"
     keep_row_order: bool = False
     rescue: bool = False
+    files_per_batch: int = FILES_PER_BATCH
 
     def table_path(self, table: str) -> str:
         return f"{self.source_path.rstrip('/')}/{table}/"

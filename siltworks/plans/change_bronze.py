@@ -38,7 +38,8 @@ def change_stream(spark: SparkSession, config: LandingConfig, table: str) -> Dat
                                options={"recursiveFileLookup": "true"})
     if schema is None:
         raise ValueError(f"{path} holds no {config.format} file to take a schema from")
-    stream = file_stream(spark, path, config.format, schema).withColumnsRenamed(RENAMES)
+    stream = file_stream(spark, path, config.format, schema, {
+        "maxFilesPerTrigger": str(config.files_per_batch)}).withColumnsRenamed(RENAMES)
     return add_lineage(require_op(stream), config, table)
 
 
@@ -47,7 +48,8 @@ def start_table(spark: SparkSession, config: LandingConfig, table: str,
     if config.rescue:
         return rescue_stream(spark, config.table_path(table), config.bronze_table(table),
                              config.checkpoint_path(table), SchemaLog(spark, config.schema_location(table)),
-                             lambda rows: add_lineage(require_op(rows, "Op"), config, table), RENAMES, every)
+                             lambda rows: add_lineage(require_op(rows, "Op"), config, table), RENAMES, every,
+                             config.files_per_batch)
     return append_stream(change_stream(spark, config, table), config.bronze_table(table),
                          config.checkpoint_path(table), every)
 

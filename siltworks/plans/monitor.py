@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import CheckSpec
 from ..operators import quality as q
 from ..sinks.tables import append_table
+from ..sources.discovery import tables_by_suffix
 
 
 def bronze_results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = None,
@@ -52,6 +53,15 @@ def silver_results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = Non
     return reduce(DataFrame.unionAll, parts)
 
 
+def discovered_specs(spark: SparkSession, schema: str, declared: Iterable[CheckSpec] = (),
+                     suffix: str = "_bronze", **defaults) -> list[CheckSpec]:
+    """The declared checks, and bronze checks with ``defaults`` of every other table so named."""
+    specs = list(declared)
+    known = {s.table for s in specs}
+    found = [f"{schema}.{name}" for name in tables_by_suffix(spark, schema, suffix)]
+    return specs + [CheckSpec(t, "bronze", **defaults) for t in found if t not in known]
+
+
 def results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = None,
             run: Column | None = None) -> DataFrame:
     if spec.layer == "bronze":

@@ -49,23 +49,23 @@ class SchemaLog:
     def __init__(self, spark: SparkSession, location: str):
         self.spark, self.location = spark, location
 
-    def _versions(self) -> DataFrame | None:
+    def _newest(self) -> tuple[int, str] | None:
         try:
-            return self.spark.read.schema("version int, body string").json(self.location)
+            versions = self.spark.read.schema("version int, body string").json(self.location)
         except AnalysisException as error:
             if path_missing(error):
                 return None
             raise
+        # One short row per schema change.
+        return max(((row.version, row.body) for row in versions.collect()), default=None)
 
     def latest(self) -> T.StructType | None:
-        versions = self._versions()
-        row = None if versions is None else versions.orderBy(F.desc("version")).first()
-        return None if row is None else T.StructType.fromJson(json.loads(row.body))
+        newest = self._newest()
+        return None if newest is None else T.StructType.fromJson(json.loads(newest[1]))
 
     def add(self, schema: T.StructType) -> None:
-        versions = self._versions()
-        last = None if versions is None else versions.agg(F.max("version")).first()[0]
-        row = [(0 if last is None else last + 1, schema.json())]
+        newest = self._newest()
+        row = [(0 if newest is None else newest[0] + 1, schema.json())]
         self.spark.createDataFrame(row, "version int, body string").coalesce(1).write.mode(
             "append").json(self.location)
 

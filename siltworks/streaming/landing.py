@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..config import FILES_PER_BATCH
 from ..sinks.tables import add_columns, table_format
 from ..sources.files import partition_glob
 
 
 def file_stream(spark: SparkSession, path: str, file_format: str, schema: T.StructType,
                 options: Mapping[str, str] | None = None) -> DataFrame:
-    """Stream of the files below ``path``, those already there included, each read once."""
+    """Stream of the files below ``path``, those already there included, each read once.
+
+    A micro-batch takes at most ``FILES_PER_BATCH`` files unless ``options`` says otherwise.
+    """
     reader = spark.readStream.format(file_format).schema(schema)
-    return reader.options(**{"recursiveFileLookup": "true", **(options or {})}).load(path)
+    defaults = {"recursiveFileLookup": "true", "maxFilesPerTrigger": str(FILES_PER_BATCH)}
+    return reader.options(**{**defaults, **(options or {})}).load(path)
 
 
 def stem_stream(spark: SparkSession, root: str, stem: str, file_format: str,
@@ -29,7 +34,8 @@ def stem_stream(spark: SparkSession, root: str, stem: str, file_format: str,
 def partition_stream(spark: SparkSession, root: str, file_format: str, schema: T.StructType,
                      options: Mapping[str, str] | None = None, **choices: Iterable) -> DataFrame:
     """Stream of the chosen folders of a partitioned tree; partition values become columns."""
-    reader = spark.readStream.format(file_format).schema(schema).option("basePath", root)
+    reader = (spark.readStream.format(file_format).schema(schema).option("basePath", root)
+              .option("maxFilesPerTrigger", str(FILES_PER_BATCH)))
     return reader.options(**(options or {})).load(partition_glob(root, **choices))
 
 

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.rescue import RESCUED, rescue_types
+from ..config import FILES_PER_BATCH
+from ..operators.rescue import rescue_types
 from ..sinks.tables import append_table
 from ..sources.schemas import SchemaLog, parquet_columns
 
-FILES_PER_BATCH = 10_000
-
 # The schema of the binary file source; only ``path`` is used, so contents are not read.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -95,5 +94,3 @@ def rescue_stream(spark: SparkSession, path: str, table: str, checkpoint: str, l
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
-
-__all__ = ["RESCUED", "conforming_rows", "files_by_types", "rescue_stream"]

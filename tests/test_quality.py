@@ -149,6 +149,16 @@ def test_monitor_by_layer(spark, schema, now):
     assert days[("bronze", "2024-02-01")] == 1 and days[("bronze", "2024-02-02")] == 2
 
 
+def test_specs_of_discovered_tables(spark, schema):
+    for name in ("a_bronze", "b_bronze", "a_silver"):
+        spark.range(1).write.saveAsTable(f"{schema}.{name}")
+    declared = [CheckSpec(f"{schema}.b_bronze", "bronze", freshness_sla="1h"),
+                CheckSpec(f"{schema}.a_silver", "silver", primary_keys=["id"])]
+    specs = monitor.discovered_specs(spark, schema, declared, freshness_sla="24h")
+    assert [(s.table.split(".")[1], s.layer, s.freshness_sla) for s in specs] == [
+        ("b_bronze", "bronze", "1h"), ("a_silver", "silver", None), ("a_bronze", "bronze", "24h")]
+
+
 def test_spec_needs_known_layer_and_something_to_check(spark):
     with pytest.raises(ValueError, match="layer"):
         CheckSpec("t", "gold")
