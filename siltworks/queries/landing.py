@@ -20,7 +20,7 @@ from ..plans.datasets import DatasetMap
 from ..session import scratch_path
 from ..sources.archives import archive_lines, archive_members, extract_members, parse_csv_lines
 from ..sources.discovery import tables_by_folder, tables_by_stem, tables_by_suffix
-from ..sources.files import list_files, read_files, read_partitions
+from ..sources.files import arrow_location, list_files, read_files, read_partitions
 from ..streaming.landing import append_stream, file_stream
 from .base import Query, fresh_schema, plain, read
 
@@ -165,12 +165,11 @@ def _zip_customers(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_path(spark, "archives")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as arrow_fs
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            target, base = arrow_fs.FileSystem.from_uri(folder)
+            target, base = arrow_location(folder)
             target.create_dir(base, recursive=True)
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import os
+import uuid
 import zipfile
 from typing import Iterator
 
@@ -11,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import arrow_location
+
 _BATCH_BYTES = 8 << 20
 MEMBER_SCHEMA = "archive string, entry string, content binary"
 LINE_SCHEMA = "archive string, entry string, line_no bigint, line string"
@@ -84,12 +88,7 @@ def extract_members(spark: SparkSession, path: str, landing: str,
     under a temporary name and then renamed, so a repeated task leaves one whole file.
     """
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-        import uuid
-
-        from pyarrow import fs as arrow_fs
-
-        target, base = arrow_fs.FileSystem.from_uri(landing)
+        target, base = arrow_location(landing)
         for archive_path, archive, info in _members(batches):
             parts = [p for p in info.filename.replace("\\", "/").split("/") if p not in ("", ".")]
             if ".." in parts:

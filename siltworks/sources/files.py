@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from typing import Iterable, Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,17 @@ def format_of(file_name: str) -> str:
     return FORMATS.get(parts[-1], "binaryFile") if parts else "binaryFile"
 
 
+def arrow_location(uri: str) -> tuple:
+    """Arrow file system and path of a Hadoop-style location, for use inside tasks."""
+    from pyarrow import fs
+
+    scheme, colon, rest = uri.partition(":")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), "/" + (rest if colon else uri).lstrip("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+
+
 def is_wildcard(name: str) -> bool:
     return any(c in name for c in WILDCARDS)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import list_files, path_missing
+from .files import arrow_location, list_files, path_missing
 
 
 def infer_schema(spark: SparkSession, path: str, file_format: str,
@@ -110,11 +110,10 @@ def parquet_columns(files: DataFrame, path: str = "path") -> DataFrame:
     """
     def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
-        from pyarrow import fs as arrow_fs
 
         for batch in batches:
             for uri in batch[path]:
-                filesystem, name = arrow_fs.FileSystem.from_uri(uri)
+                filesystem, name = arrow_location(uri)
                 schema = pq.read_schema(name, filesystem=filesystem)
                 yield pd.DataFrame({"path": uri, "column": schema.names,
                                     "type": [str(t) for t in schema.types]})

@@ -90,3 +90,18 @@ def test_lineage(spark, scratch):
     assert row._day == dt.date(2024, 1, 2) and row._table == "db.t"
     assert row._file.endswith(".parquet") and path.split("/")[-1] in row._file
     assert df.columns == ["id", "_at", "_day", "_file", "_table"]
+
+
+def test_task_functions_need_no_installed_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from siltworks.sources.archives import _members
+    from siltworks.sources.files import arrow_location
+
+    (tmp_path / "functions.bin").write_bytes(cloudpickle.dumps([_members, arrow_location]))
+    done = subprocess.run([sys.executable, "-I", "-c", "import pickle; print(pickle.load(open('functions.bin', 'rb')))"],
+                          cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.returncode == 0, done.stderr

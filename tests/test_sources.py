@@ -16,7 +16,7 @@ from siltworks.sinks.tables import (append_table, create_table, describe_table,
                                     preview, replace_table, write_table)
 from siltworks.sources.archives import archive_lines, archive_members, extract_members
 from siltworks.sources.discovery import tables_by_folder, tables_by_stem, tables_by_suffix
-from siltworks.sources.files import (configured_table, format_of, is_wildcard, list_files,
+from siltworks.sources.files import (arrow_location, configured_table, format_of, is_wildcard, list_files,
                                      matching_files, partition_glob, read_configured, read_files,
                                      read_matching, read_partitions, years_since)
 from siltworks.sources.jdbc import Connection, split_options
@@ -127,6 +127,11 @@ def test_discovery(spark, tmp_path, schema):
     assert tables_by_suffix(spark, schema) == ["a_bronze", "b_bronze"]
 
 
+def test_arrow_locations(tmp_path):
+    for uri in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        assert arrow_location(uri)[1] == str(tmp_path)
+
+
 def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("example.txt", "hello from zip")
