@@ -36,6 +36,12 @@ def plain(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
+def nullable(name: str) -> Column:
+    """A whole-number column that may be NULL, as double: engines hand such integers to Python in
+    different types."""
+    return F.col(name).cast("double").alias(name)
+
+
 def rounded(expression: str, digits: int) -> str:
     """SQL of :func:`siltworks.functions.steady_round`: a decimal has no last bits to differ in."""
     return f"CAST(round(CAST({expression} AS DECIMAL(28, 10)), {digits}) AS DOUBLE)"

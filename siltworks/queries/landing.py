@@ -22,7 +22,7 @@ from ..sources.archives import archive_lines, archive_members, extract_members,
 from ..sources.discovery import tables_by_folder, tables_by_stem, tables_by_suffix
 from ..sources.files import arrow_location, list_files, read_files, read_partitions
 from ..streaming.landing import append_stream, file_stream
-from .base import Query, fresh_schema, plain, read
+from .base import Query, fresh_schema, nullable, read
 
 # The given tables.
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -76,7 +76,7 @@ def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders.where(~early).withColumn("o_custkey", odd).write.parquet(f"{root}/orders/2001/12/31")
     _raise_first(change_bronze.run(spark, config))
     return spark.table(config.bronze_table("orders")).select(
-        "o_orderkey", "o_custkey", "o_orderdate", F.col("_rescued_data").alias("rescued"))
+        "o_orderkey", nullable("o_custkey"), "o_orderdate", F.col("_rescued_data").alias("rescued"))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +248,7 @@ QUERIES = {
                CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
                'I' AS _op, 'shop.orders' AS _source_table FROM orders"""),
     "stream_rescue": Query(stream_rescue, """
-        SELECT o_orderkey, CASE WHEN NOT odd THEN o_custkey END AS o_custkey, o_orderdate,
+        SELECT o_orderkey, CAST(CASE WHEN NOT odd THEN o_custkey END AS DOUBLE) AS o_custkey, o_orderdate,
                CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued
         FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'P' AS odd FROM orders)"""),
     "stream_events": Query(stream_events, "SELECT *, 'events' AS _source_name FROM events"),

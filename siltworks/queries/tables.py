@@ -12,7 +12,7 @@ from ..operators.rescue import RESCUED, rescue_types
 from ..session import scratch_path
 from ..sinks.tables import append_table, create_table, preview, replace_table
 from ..sources.files import read_files
-from .base import Query, fresh_schema, read
+from .base import Query, fresh_schema, nullable, read
 
 CUSTOMER_SPEC = [
     ColumnSpec("c_custkey", "BIGINT", "Customer's number"), ColumnSpec("c_name", "STRING", "Name"),
@@ -27,7 +27,7 @@ def append_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{fresh_schema(spark)}.customer"
     append_table(customers.where("c_acctbal < 0").drop("c_mktsegment"), table)
     append_table(customers.where("c_acctbal >= 0").drop("c_nationkey"), table)
-    return spark.table(table)
+    return spark.table(table).withColumn("c_nationkey", nullable("c_nationkey"))
 
 
 def partitioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,8 @@ def rescued_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = T.StructType([T.StructField("p_partkey", T.LongType()),
                            T.StructField("p_size", T.IntegerType()),
                            T.StructField("p_brand", T.StringType())])
-    return rescue_types(raw, wanted).withColumnRenamed(RESCUED, "rescued")
+    return rescue_types(raw, wanted).select("p_partkey", nullable("p_size"), "p_brand",
+                                            F.col(RESCUED).alias("rescued"))
 
 
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,8 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.select(line.alias("value")).write.text(landing)
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
                            T.StructField("malformed", T.StringType())])
-    return read_files(spark, landing, "json", schema, {"columnNameOfCorruptRecord": "malformed"})
+    lines = read_files(spark, landing, "json", schema, {"columnNameOfCorruptRecord": "malformed"})
+    return lines.withColumn("event_id", nullable("event_id"))
 
 
 def tolerant_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +85,8 @@ def tolerant_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("level"),
         F.substring("o_orderpriority", 3, 20).alias("word"))
-    return cast_columns(orders, {"level": "int", "word": "int", "not_there": "int"})
+    typed = cast_columns(orders, {"level": "int", "word": "int", "not_there": "int"})
+    return typed.withColumn("word", nullable("word"))
 
 
 def first_event_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,24 +118,24 @@ def trimmed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "append_merge": Query(append_merge, """
-        SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN c_nationkey END AS c_nationkey, c_acctbal,
+        SELECT c_custkey, c_name, CAST(CASE WHEN c_acctbal < 0 THEN c_nationkey END AS DOUBLE) AS c_nationkey, c_acctbal,
                CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment FROM customer"""),
     "partitioned_overwrite": Query(partitioned_overwrite, """
         SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year,
                CAST(month(o_orderdate) AS INTEGER) AS order_month FROM orders"""),
     "table_from_spec": Query(table_from_spec, "SELECT * FROM customer"),
     "rescued_parts": Query(rescued_parts, """
-        SELECT p_partkey, CASE WHEN p_brand <> 'Brand#7' THEN p_size END AS p_size, p_brand,
+        SELECT p_partkey, CAST(CASE WHEN p_brand <> 'Brand#7' THEN p_size END AS DOUBLE) AS p_size, p_brand,
                CASE WHEN p_brand = 'Brand#7' AND p_type = 'ECONOMY' THEN '{"p_size":"x' || p_size || '","added":"new"}'
                     WHEN p_brand = 'Brand#7' THEN '{"p_size":"x' || p_size || '"}'
                     WHEN p_type = 'ECONOMY' THEN '{"added":"new"}' END AS rescued FROM part"""),
     "malformed_lines": Query(malformed_lines, """
-        SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+        SELECT CAST(CASE WHEN event_type <> 'error' THEN event_id END AS DOUBLE) AS event_id,
                CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
                CASE WHEN event_type = 'error' THEN 'broken ' || event_id END AS malformed FROM events"""),
     "tolerant_cast": Query(tolerant_cast, """
         SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS level,
-               TRY_CAST(substr(o_orderpriority, 3, 20) AS INTEGER) AS word FROM orders"""),
+               CAST(TRY_CAST(substr(o_orderpriority, 3, 20) AS INTEGER) AS DOUBLE) AS word FROM orders"""),
     "first_event_per_hour": Query(first_event_per_hour, """
         SELECT user_id, event_type, date_trunc('hour', ts) AS hour, event_id, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts)

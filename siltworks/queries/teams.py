@@ -10,7 +10,7 @@ from ..operators.quality import alert_on_count
 from ..operators.rank import global_rank, group_rank
 from ..operators.summarize import count_where
 from ..plans import teams
-from .base import NOW, Query, fresh_schema, read, rounded
+from .base import NOW, Query, fresh_schema, nullable, read, rounded
 
 # Groups above this size take the range route already on small tables.
 HOT_ROWS = 4_000
@@ -84,7 +84,8 @@ def _split_list(items: str) -> list[str]:
 
 
 def team_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return teams.silver(landed_teams(spark, sf_dir)).drop("_processed_at")
+    clean = teams.silver(landed_teams(spark, sf_dir)).drop("_processed_at")
+    return clean.withColumns({c: nullable(c) for c in ("cards_red", "cards_total")})
 
 
 def team_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +152,9 @@ def players_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "team_silver": Query(team_silver, _EXPECTED_SILVER),
+    "team_silver": Query(team_silver, f"""
+        SELECT * REPLACE (CAST(cards_red AS DOUBLE) AS cards_red, CAST(cards_total AS DOUBLE) AS cards_total)
+        FROM ({_EXPECTED_SILVER})"""),
     "team_rankings": Query(team_rankings, _EXPECTED_RANKS),
     "country_summary": Query(country_summary, _EXPECTED_SUMMARY),
     "team_medallion": Query(team_medallion, f"""
