@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Sink, rows_of, whole_text
+from .common import Sink, per_process, rows_of, whole_text
 
 MAX_STATES = 150_000
 MAX_PIECES = 150_000
@@ -362,14 +362,9 @@ class Utf8Stream:
         return block[:end].decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
     """One encoder a worker process: what it has learnt serves later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(read_ranks(path))
-    return _ENCODERS[path]
+    return per_process(("bpe", path), lambda: Encoder(read_ranks(path)))
 
 
 def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

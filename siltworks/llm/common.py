@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Iterator
+import sys
+import types
+from typing import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +42,17 @@ class Sink:
         return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
+def per_process(key: tuple, make: Callable):
+    """A value made once in a worker process and kept for later tasks.
+
+    Task functions travel by value, so the globals of their modules end with the task.
+    """
+    store = sys.modules.setdefault("_siltworks_kept", types.ModuleType("_siltworks_kept")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def whole_text(column: str):
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

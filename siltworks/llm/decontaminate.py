@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Sink, rows_of, whole_text
+from .common import Sink, per_process, rows_of, whole_text
 from .wordhash import mix
 
 RATE = 0.07
@@ -71,13 +71,8 @@ class Folded:
         return points[at], at
 
 
-_FOLDED: list[Folded] = []
-
-
 def _folded() -> Folded:
-    if not _FOLDED:
-        _FOLDED.append(Folded())
-    return _FOLDED[0]
+    return per_process(("folded",), Folded)
 
 
 def item_of(key: int | None, text: str | None, rate: float = RATE, q: int = Q) -> Item | None:
