@@ -28,11 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import Sink, per_process, rows_of, whole_text
 
-MAX_STATES = 150_000
-MAX_PIECES = 150_000
+MAX_STATES = 100_000
+MAX_PIECES = 120_000
 _BLOCK = 1 << 18
 
 # Code points that the `regex` module (Unicode 17) counts as letters or numbers
@@ -367,6 +368,10 @@ def _encoder(path: str) -> Encoder:
     return per_process(("bpe", path), lambda: Encoder(read_ranks(path)))
 
 
+def _token_bytes(path: str) -> dict[int, bytes]:
+    return per_process(("bpe-tokens", path), lambda: {rank: token for token, rank in read_ranks(path).items()})
+
+
 def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``<id>, n_tokens, ids``: the packed ids of every whole text."""
     schema = pa.schema([("row_key", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -388,12 +393,10 @@ def decode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", ids_column
     """``<id>, text`` and the columns in ``keep``: the characters of packed ids."""
     kept = df.select(*keep).schema
     types = [pa.field("row_key", pa.int64()), pa.field("text", pa.string())]
-    from pyspark.sql.pandas.types import to_arrow_type
-
     schema = pa.schema(types + [pa.field(f.name, to_arrow_type(f.dataType)) for f in kept])
 
     def run(batches):
-        token_bytes, sink = _encoder(ranks_path).machine.bytes_of, Sink(schema)
+        token_bytes, sink = _token_bytes(ranks_path), Sink(schema)
         for key, packed, *rest in rows_of(batches):
             ids, stream, parts = np.frombuffer(packed or b"", "<u4"), Utf8Stream(), []
             for start in range(0, len(ids), 65536):
