@@ -105,10 +105,12 @@ def added_columns(actual: Sequence[str], expected: Sequence[str]) -> list[str]:
 
 def repeat_counts(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows per key, or per whole row. Combined on the map side, so a hot key is one row per
-    task in the shuffle. Whole rows are compared by 128 hash bits instead of being shuffled."""
+    task in the shuffle. Whole rows are compared by 128 hash bits instead of being shuffled; a
+    hash passes over NULLs, so each value comes with a flag that says whether it is one."""
+    marks = [part for c in df.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
     by = [F.col(k) for k in keys] if keys else [
-        F.xxhash64(*df.columns).alias("_row_hash"),
-        F.xxhash64(F.lit("again"), *df.columns).alias("_row_hash_again")]
+        F.xxhash64(*marks).alias("_row_hash"),
+        F.xxhash64(F.lit("again"), *marks).alias("_row_hash_again")]
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_copies"))
 
 
@@ -124,8 +126,12 @@ def duplicate_keys(keys: Sequence[str]) -> Measure:
 
 
 def volume_runs(df: DataFrame, run: Column | str, tolerance: float, baseline_runs: int,
-                file_column: str | None = None) -> DataFrame:
-    """Rows (and files) of each run against the average of the runs before it."""
+                file_column: str | None = None, newest_only: bool = False) -> DataFrame:
+    """Rows (and files) of each run against the average of the runs before it.
+
+    With ``newest_only`` the newest run alone comes back, and only the runs of its baseline reach
+    the window, however many there ever were.
+    """
     run_column = (F.col(run) if isinstance(run, str) else run).alias("run")
     if file_column:
         per_file = df.groupBy(run_column, F.col(file_column).alias("_file")).agg(
@@ -134,7 +140,11 @@ def volume_runs(df: DataFrame, run: Column | str, tolerance: float, baseline_run
                                            F.count("_file").alias("file_count"))
     else:
         runs = df.groupBy(run_column).agg(F.count(F.lit(1)).alias("row_count"))
+    if newest_only:
+        runs = runs.orderBy(F.col("run").desc_nulls_last()).limit(baseline_runs + 1)
     timed = rolling_baseline(runs, [], "run", "row_count", baseline_runs, "baseline")
+    if newest_only:
+        timed = timed.orderBy(F.col("run").desc_nulls_last()).limit(1)
     deviation = F.when(F.col("baseline") > 0,
                        F.abs(F.col("row_count") - F.col("baseline")) / F.col("baseline"))
     return timed.withColumn("deviation", deviation).withColumn(
@@ -160,14 +170,22 @@ def with_failed_rules(df: DataFrame, rules: Mapping[str, str], name: str = "_fai
 
 
 def quarantine(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Rows that hold every rule, and the others with the rules they fail."""
-    judged = with_failed_rules(df, rules)
-    return judged.where(F.size("_failed") == 0).drop("_failed"), judged.where(F.size("_failed") > 0)
+    """Rows that hold every rule, and the others with the rules they fail.
+
+    The kept side filters on the rules as they are, so that they can reach the scan.
+    """
+    kept = df
+    for rule in rules.values():
+        kept = kept.where(rule)
+    return kept, with_failed_rules(df.where(~_holds_all(rules)), rules)
+
+
+def _holds_all(rules: Mapping[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [_holds(rule) for rule in rules.values()])
 
 
 def quarantine_rate(rules: Mapping[str, str], limit: float | None = None) -> Measure:
-    kept = reduce(lambda a, b: a & b, [_holds(rule) for rule in rules.values()])
-    return Measure("quarantine_rate", F.avg((~kept).cast("double")), limit)
+    return Measure("quarantine_rate", F.avg((~_holds_all(rules)).cast("double")), limit)
 
 
 def version_faults(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
@@ -197,11 +215,26 @@ def reconcile(bronze: DataFrame, kept: DataFrame, quarantined: DataFrame,
     return sums.withColumns({"deduplicated_rows": repeats.cast("bigint"), "unexplained_rows": lost})
 
 
+def reconcile_rules(bronze: DataFrame, rules: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+    """:func:`reconcile` where all parts come from one table: rows that fail a rule are quarantined,
+    and of the others one per key is kept. One scan and one aggregate by key."""
+    per_key = bronze.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(_holds_all(rules)).alias("_passed"))
+    sums = per_key.agg(F.sum("_rows").alias("bronze_rows"), F.count_if(F.col("_passed") > 0).alias("kept_rows"),
+                       F.sum(F.col("_rows") - F.col("_passed")).alias("quarantined_rows"),
+                       F.sum(F.greatest(F.col("_passed") - 1, F.lit(0))).alias("deduplicated_rows"))
+    counts = sums.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in sums.columns])
+    return counts.withColumn("unexplained_rows", F.col("bronze_rows") - F.col("kept_rows") - F.col("quarantined_rows")
+                             - F.col("deduplicated_rows"))
+
+
 def lost_keys(bronze: DataFrame, parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Keys of bronze that no part holds. Both sides are made distinct before they meet, so a
-    key that fills a table is one row per task in the shuffle."""
-    held = reduce(DataFrame.unionAll, [p.select(*keys) for p in parts])
-    return bronze.select(*keys).distinct().subtract(held.distinct())
+    """Keys of bronze that no part holds, NULL keys included: one aggregate over both sides, so that
+    a key that fills a table is one row per task in the shuffle."""
+    sides = [bronze.select(*keys, F.lit(False).alias("_held")),
+             *[p.select(*keys, F.lit(True).alias("_held")) for p in parts]]
+    held = reduce(DataFrame.unionAll, sides).groupBy(*keys).agg(
+        F.max("_held").alias("_held"), F.max(~F.col("_held")).alias("_in_bronze"))
+    return held.where(F.col("_in_bronze") & ~F.col("_held")).select(*keys)
 
 
 def distribution_shift(baseline: DataFrame, current: DataFrame, bin_of: Column,

@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
 
 
+def fits(column: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether a value keeps all of itself as ``target``: cast back, it is the same value.
+
+    Text has many spellings of one value, so of text only the cast itself is asked, and that no
+    time of day is cut off. NULL fits everywhere.
+    """
+    if source == target:
+        return F.lit(True)
+    cast = column.try_cast(target)
+    if isinstance(source, (T.StringType, T.CharType, T.VarcharType)):
+        kept = cast.isNotNull()
+        if isinstance(target, T.DateType):
+            moment = column.try_cast(T.TimestampNTZType())
+            kept &= moment.isNull() | (moment == cast.cast(T.TimestampNTZType()))
+    else:
+        kept = cast.isNotNull() & cast.try_cast(source).eqNullSafe(column)
+    return column.isNull() | kept
+
+
 def rescue_types(df: DataFrame, schema: T.StructType, rescued: str = RESCUED) -> DataFrame:
-    """Cast text columns to ``schema``; what cannot be cast goes to a JSON column by name.
+    """Cast columns to ``schema``; a value that a cast would change goes to a JSON column by name.
 
-    ``df`` holds every column of ``schema`` as text. Columns of ``df`` outside the schema are
-    rescued as well, whatever their value, so added source columns are never lost.
+    Columns of ``df`` outside the schema are rescued as well, whatever their value, so added
+    source columns are never lost.
     """
-    known = [f for f in schema.fields if f.name in df.columns]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    known = [f for f in schema.fields if f.name in types]
     extra = [c for c in df.columns if c not in schema.fieldNames() and not c.startswith("_")]
+    whole = {f.name: fits(F.col(f"`{f.name}`"), types[f.name], f.dataType) for f in known}
     misfits = []
-    for field in known:
-        column = F.col(f"`{field.name}`")
-        failed = column.isNotNull() & column.try_cast(field.dataType).isNull()
-        misfits += [F.lit(field.name), F.when(failed, column.cast("string"))]
+    for name, fit in whole.items():
+        misfits += [F.lit(name), F.when(~fit, F.col(f"`{name}`").cast("string"))]
     for name in extra:
         misfits += [F.lit(name), F.col(f"`{name}`").cast("string")]
     kept = F.map_filter(F.create_map(*misfits), lambda _, v: v.isNotNull())
-    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in known]
+    typed = [F.when(whole[f.name], F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name) for f in known]
     passed_on = [F.col(c) for c in df.columns if c.startswith("_") and c not in schema.fieldNames()]
     return df.select(*typed, *passed_on, F.when(F.size(kept) > 0, F.to_json(kept)).alias(rescued))

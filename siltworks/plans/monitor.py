@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from typing import Iterable
+from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CheckSpec
@@ -14,6 +16,12 @@ from ..operators import quality as q
 from ..sinks.tables import append_table
 from ..sources.discovery import tables_by_suffix
 
+logger = logging.getLogger(__name__)
+
+RESULT_SCHEMA = ("table string, layer string, check string, metric double, threshold double, passed boolean, "
+                 "run_ts timestamp")
+INGEST_COLUMNS = ("_ingest_ts", "_ingested_at")
+
 
 def bronze_results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = None,
                    run: Column | None = None) -> DataFrame:
@@ -28,7 +36,7 @@ def bronze_results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = Non
     parts = [q.measure(df, spec.table, spec.layer, plain, now)]
     if spec.volume_tolerance is not None:
         runs = q.volume_runs(df, F.col(spec.ingest_column) if run is None else run,
-                             spec.volume_tolerance, spec.baseline_runs)
+                             spec.volume_tolerance, spec.baseline_runs, newest_only=True)
         parts.append(q.measure(runs, spec.table, spec.layer,
                                [q.latest_deviation(spec.volume_tolerance)], now))
     content = df.select(*(spec.primary_keys or [c for c in df.columns if not c.startswith("_")]))
@@ -54,12 +62,21 @@ def silver_results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = Non
 
 
 def discovered_specs(spark: SparkSession, schema: str, declared: Iterable[CheckSpec] = (),
-                     suffix: str = "_bronze", **defaults) -> list[CheckSpec]:
-    """The declared checks, and bronze checks with ``defaults`` of every other table so named."""
+                     suffix: str = "_bronze", ingest_columns: Sequence[str] = INGEST_COLUMNS,
+                     **defaults) -> list[CheckSpec]:
+    """The declared checks, and bronze checks with ``defaults`` of every other table so named.
+
+    A table's ingest column is the first of ``ingest_columns`` that it has.
+    """
     specs = list(declared)
     known = {s.table for s in specs}
-    found = [f"{schema}.{name}" for name in tables_by_suffix(spark, schema, suffix)]
-    return specs + [CheckSpec(t, "bronze", **defaults) for t in found if t not in known]
+    for table in (f"{schema}.{name}" for name in tables_by_suffix(spark, schema, suffix)):
+        if table in known:
+            continue
+        columns = spark.table(table).columns
+        ingest = next((c for c in ingest_columns if c in columns), ingest_columns[0])
+        specs.append(CheckSpec(table, "bronze", **{"ingest_column": ingest, **defaults}))
+    return specs
 
 
 def results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = None,
@@ -69,10 +86,27 @@ def results(df: DataFrame, spec: CheckSpec, now: dt.datetime | None = None,
     return silver_results(df, spec, now)
 
 
-def run(spark: SparkSession, specs: Iterable[CheckSpec], history: str,
-        now: dt.datetime | None = None) -> DataFrame:
-    """Check every table, append all results to ``history`` and return the breaches."""
+def checked(spark: SparkSession, spec: CheckSpec, moment: dt.datetime) -> list[Row]:
+    """The result rows of one table: a few numbers. If its checks can't run, that is a failed result."""
+    try:
+        return results(spark.table(spec.table), spec, moment).collect()
+    except Exception as error:  # a bad table must not keep the others from being checked
+        logger.exception("checks of %s failed", spec.table)
+        name = f"checks_ran:{type(error).__name__}"
+        return [Row(spec.table, spec.layer, name, None, None, False, moment)]
+
+
+def run(spark: SparkSession, specs: Iterable[CheckSpec], history: str, now: dt.datetime | None = None,
+        at_once: int = 8) -> DataFrame:
+    """Check every table, each on its own, append all results to ``history`` and return the breaches.
+
+    The history is partitioned by day, and the breaches come from this run's results, so that
+    a run reads nothing of the history.
+    """
     moment = now or dt.datetime.now(dt.timezone.utc)
-    found = reduce(DataFrame.unionAll, [results(spark.table(s.table), s, moment) for s in specs])
-    append_table(found, history)
-    return q.breaches(spark.table(history).where(F.col("run_ts") == F.lit(moment)))
+    specs = list(specs)
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(specs)))) as pool:
+        rows = [tuple(row) for part in pool.map(lambda s: checked(spark, s, moment), specs) for row in part]
+    found = spark.createDataFrame(rows, RESULT_SCHEMA)
+    append_table(found.withColumn("run_date", F.to_date("run_ts")), history, ["run_date"])
+    return q.breaches(found)

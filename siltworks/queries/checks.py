@@ -55,7 +55,12 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_row = q.measure(q.repeat_counts(lines), "lineitem by row", "bronze", [q.duplicate_rate()], NOW)
     by_flag = q.measure(q.repeat_counts(lines, ["l_returnflag"]), "lineitem by flag", "bronze",
                         [q.duplicate_rate(0.5)], NOW)
-    return _rows(by_key.unionAll(by_row).unionAll(by_flag))
+    moved = read(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.array(
+        F.struct(F.lit(None).cast("string").alias("first"), F.col("o_orderstatus").alias("second")),
+        F.struct(F.col("o_orderstatus").alias("first"), F.lit(None).cast("string").alias("second")))).alias("s"))
+    by_place = q.measure(q.repeat_counts(moved.select("o_orderkey", "s.first", "s.second")), "orders by moved status",
+                         "bronze", [q.duplicate_rate()], NOW)
+    return _rows(by_key.unionAll(by_row).unionAll(by_flag).unionAll(by_place))
 
 
 def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,11 +105,7 @@ def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines split into kept, quarantined and repeated ones; nothing is unexplained."""
     lines = read(spark, sf_dir, "lineitem")
     rules = {"has_discount": "l_discount > 0"}
-    good, bad = q.quarantine(lines, rules)
-    kept = drop_repeats(good, ["l_orderkey", "l_linenumber"])
-    repeats = q.repeat_counts(good, ["l_orderkey", "l_linenumber"]).agg(
-        F.sum(F.col("_copies") - 1).alias("repeats"))
-    return q.reconcile(lines, kept, bad, repeats.scalar())
+    return q.reconcile_rules(lines, rules, ["l_orderkey", "l_linenumber"])
 
 
 def dq_lost_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +241,10 @@ QUERIES = {
         _result("lineitem by row", "bronze", "duplicate_rate", "1 - count(*) / (sum(n) + 0e0)", "NULL", "true",
                 "(SELECT l, count(*) AS n FROM lineitem l GROUP BY l)"),
         _result("lineitem by flag", "bronze", "duplicate_rate", "1 - count(*) / (sum(n) + 0e0)", "0.5",
-                "1 - count(*) / (sum(n) + 0e0) <= 0.5", _copies("lineitem", "l_returnflag")))),
+                "1 - count(*) / (sum(n) + 0e0) <= 0.5", _copies("lineitem", "l_returnflag")),
+        _result("orders by moved status", "bronze", "duplicate_rate", "1 - count(*) / (sum(n) + 0e0)", "NULL", "true",
+                "(SELECT a, b, count(*) AS n FROM (SELECT o_orderkey, NULL AS a, o_orderstatus AS b FROM orders UNION ALL "
+                "SELECT o_orderkey, o_orderstatus, NULL FROM orders) GROUP BY o_orderkey, a, b)"))),
     "dq_quarantine": Query(dq_quarantine, f"""
         SELECT o_orderkey, concat_ws(',',
                  CASE WHEN o_totalprice NOT BETWEEN 1000 AND 400000 THEN 'price_in_range' END,

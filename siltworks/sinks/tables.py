@@ -5,13 +5,17 @@ Tables are Parquet unless the session setting ``siltworks.table.format`` names a
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import TableSpec
+from ..operators.rescue import fits
+
+_FILE_FORMATS = ("parquet", "orc")
 
 
 def table_format(spark: SparkSession) -> str:
@@ -70,25 +74,60 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _kept_whole(table: str, name: str, source: T.DataType, target: T.DataType) -> Column:
+    """The column as ``target``; a value that the cast would change stops the job."""
+    column = F.col(f"`{name}`")
+    if source == target:
+        return column
+    message = F.concat(F.lit(f"column {name} of {table} is {target.simpleString()} and can't hold "),
+                       column.cast("string"))
+    return F.when(fits(column, source, target), column.try_cast(target)).otherwise(F.raise_error(message))
+
+
 def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Append; columns new to the table widen it first, columns it alone has become NULL."""
+    """Append; columns new to the table widen it first, columns it alone has become NULL.
+
+    Values are cast to the table's types where they keep all of themselves; one that does not is
+    an error that names table and column.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return replace_table(df, table, partition_by)
     add_columns(spark, table, df.schema)
-    have = {c.lower(): c for c in df.columns}
-    aligned = df.select(*[
-        (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None))
-        .cast(f.dataType).alias(f.name) for f in spark.table(table).schema.fields])
-    _laid_out(aligned, partition_by).write.mode("append").insertInto(table)
+    have = {f.name.lower(): f for f in df.schema.fields}
+    aligned = []
+    for field in spark.table(table).schema.fields:
+        own = have.get(field.name.lower())
+        value = F.lit(None).cast(field.dataType) if own is None else _kept_whole(table, own.name, own.dataType, field.dataType)
+        aligned.append(value.alias(field.name))
+    _laid_out(df.select(*aligned), partition_by).write.mode("append").insertInto(table)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace rows and schema of a table, partitioned if asked."""
-    writer = _laid_out(df, partition_by).write.format(table_format(df.sparkSession)).mode("overwrite")
+    """Replace rows and schema of a table, partitioned if asked.
+
+    The new rows are written whole to a folder of their own before the table is pointed at it, so
+    a failing write leaves the table as it was. Table formats that replace atomically do it themselves.
+    """
+    spark, kind = df.sparkSession, table_format(df.sparkSession)
+    writer = _laid_out(df, partition_by).write.format(kind)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("overwriteSchema", "true").saveAsTable(table)
+    if kind not in _FILE_FORMATS:
+        writer.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+        return
+    *parent, name = table.split(".")
+    database = spark.sql(f"DESCRIBE SCHEMA {'.'.join(parent) or spark.catalog.currentDatabase()}").where(
+        "info_name = 'Location'").first().info_value
+    location = f"{database.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    writer.save(location)
+    order = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order)
+    layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {kind}{layout} LOCATION {_quoted(location)}")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import re
 from typing import Iterable, Mapping, Sequence
 from urllib.parse import quote
 
@@ -17,7 +19,9 @@ FORMATS = {
     "txt": "text", "text": "text", "orc": "orc", "xml": "xml",
 }
 COMPRESSION = ("gz", "bz2", "zst", "zstd", "lz4", "snappy", "deflate")
-WILDCARDS = "*?[]"
+_WILDCARD = frozenset("*?[]")
+
+logger = logging.getLogger(__name__)
 
 
 def format_of(file_name: str) -> str:
@@ -39,10 +43,6 @@ def arrow_location(uri: str) -> tuple:
     return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
 
 
-def is_wildcard(name: str) -> bool:
-    return any(c in name for c in WILDCARDS)
-
-
 def path_missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "") == "PATH_NOT_FOUND"
 
@@ -65,20 +65,32 @@ def list_files(spark: SparkSession, root: str, name_glob: str | None = None) ->
         raise
 
 
+def _qualified(spark: SparkSession, root: str) -> str:
+    """``root`` as a listing spells it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def find_files(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
     """Listing of the files below ``root`` that a name or wildcard selects, at any depth.
 
     A wildcard selects all matches. An exact name selects one file: the first in path order,
-    so the choice does not depend on the order of a listing. A pattern may start with folders
-    (``daily/*.parquet``).
+    so the choice does not depend on the order of a listing; others of that name are logged.
+    A pattern may start with folders (``daily/*.parquet``), which are looked for below ``root``.
     """
     folder, _, name = pattern.rpartition("/")
     found = list_files(spark, root, name)
     if found is None:
         return None
     if folder:
-        found = found.where(F.col("path").rlike(_glob_regex(f"/{folder}/") + "[^/]+$"))
-    return found if is_wildcard(pattern) else found.orderBy("path").limit(1)
+        below = F.substring("path", len(_qualified(spark, root).rstrip("/")) + 2, 1 << 20)
+        found = found.where(below.rlike(f"^(?:.*/)?{_glob_regex(folder.strip('/'))}/[^/]+$"))
+    if not _WILDCARD.isdisjoint(pattern):
+        return found
+    first = found.orderBy("path").limit(2).collect()
+    if len(first) > 1:
+        logger.warning("%s is also at %s; %s is read", pattern, first[1].path, first[0].path)
+    return found.where(F.col("path") == first[0].path) if first else found
 
 
 def matching_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
@@ -88,8 +100,18 @@ def matching_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
 
 
 def _glob_regex(glob: str) -> str:
-    plain = {"*": "[^/]*", "?": "[^/]", "[": "[", "]": "]", ".": r"\."}
-    return "".join(plain.get(c, c) for c in glob)
+    """A glob of folder names as a regular expression: ``*``, ``?`` and ``[...]`` stay in a name."""
+    out, at = [], 0
+    while at < len(glob):
+        end = glob.find("]", at + 2) if glob[at] == "[" else -1
+        if end > 0:
+            inner = glob[at + 1:end].replace("\\", "\\\\").replace("[", "\\[")
+            out.append(f"[{'^' + inner[1:] if inner[0] in '!^' else inner}]")
+            at = end
+        else:
+            out.append({"*": "[^/]*", "?": "[^/]"}.get(glob[at], re.escape(glob[at])))
+        at += 1
+    return "".join(out)
 
 
 def read_files(spark: SparkSession, paths: str | Sequence[str], file_format: str,
@@ -127,7 +149,7 @@ def read_matching(spark: SparkSession, root: str, pattern: str,
         found = found.join(known, "file_path", "left_anti")
     if found is None or found.isEmpty():
         return None
-    if seen is None and is_wildcard(pattern) and "/" not in pattern:
+    if seen is None and "/" not in pattern and not _WILDCARD.isdisjoint(pattern):
         lookup = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
         return read_files(spark, root, file_format, schema, {**lookup, **(options or {})})
     paths = sorted(row.path for row in found.select("path").toLocalIterator())

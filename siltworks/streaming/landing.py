@@ -12,6 +12,10 @@ from ..config import FILES_PER_BATCH
 from ..sinks.tables import add_columns, table_format
 from ..sources.files import partition_glob
 
+# A file source passes over files that are a week older than the newest one it knows, so that a
+# late or restored folder would be lost. With this limit it takes in files of any age, and
+# remembers the name of every file it has taken in.
+NEVER = "36500d"
 
 def file_stream(spark: SparkSession, path: str, file_format: str, schema: T.StructType,
                 options: Mapping[str, str] | None = None) -> DataFrame:
@@ -20,7 +24,8 @@ def file_stream(spark: SparkSession, path: str, file_format: str, schema: T.Stru
     A micro-batch takes at most ``FILES_PER_BATCH`` files unless ``options`` says otherwise.
     """
     reader = spark.readStream.format(file_format).schema(schema)
-    defaults = {"recursiveFileLookup": "true", "maxFilesPerTrigger": str(FILES_PER_BATCH)}
+    defaults = {"recursiveFileLookup": "true", "maxFileAge": NEVER,
+                "maxFilesPerTrigger": str(FILES_PER_BATCH)}
     return reader.options(**{**defaults, **(options or {})}).load(path)
 
 
@@ -35,7 +40,7 @@ def partition_stream(spark: SparkSession, root: str, file_format: str, schema: T
                      options: Mapping[str, str] | None = None, **choices: Iterable) -> DataFrame:
     """Stream of the chosen folders of a partitioned tree; partition values become columns."""
     reader = (spark.readStream.format(file_format).schema(schema).option("basePath", root)
-              .option("maxFilesPerTrigger", str(FILES_PER_BATCH)))
+              .option("maxFileAge", NEVER).option("maxFilesPerTrigger", str(FILES_PER_BATCH)))
     return reader.options(**(options or {})).load(partition_glob(root, **choices))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.changes import DELETE, last_change, require_op
 from ..operators.keys import renamed_keys, split_by_keys
 from ..sources.files import path_missing
+from ..sources.schemas import SchemaLog, widen
 
 
 class ChangeState:
@@ -26,13 +27,19 @@ class ChangeState:
     Folders are grouped by the base they follow. A repeated batch overwrites its own folder,
     and a new base counts only once the line naming it is written: nothing that a reader uses
     is changed in place, and a change that is applied twice changes nothing.
+
+    A column that the log gains later widens the state for good; rows from before have it NULL.
+    Folders that no reader of the newest base needs stay until :meth:`vacuum`.
     """
 
     def __init__(self, spark: SparkSession, location: str, schema: T.StructType,
                  keys: Sequence[str], sequence_by: Sequence[str], op: str = "_op"):
         if op not in schema.fieldNames():
             raise ValueError(f"change schema has no {op} column")
-        self.spark, self.location, self.schema = spark, location.rstrip("/"), schema
+        self.spark, self.location = spark, location.rstrip("/")
+        self.log = SchemaLog(spark, f"{self.location}/schema")
+        stored = self.log.latest()
+        self.schema = schema if stored is None else widen(stored, schema)
         self.keys, self.sequence_by, self.op = list(keys), list(sequence_by), op
 
     def _base_path(self, version: int) -> str:
@@ -43,6 +50,10 @@ class ChangeState:
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Fold in one batch; repeating a batch id replaces its first attempt."""
+        wider = widen(self.schema, changes.schema)
+        if len(wider) > len(self.schema):
+            self.log.add(wider)
+            self.schema = wider
         newest = last_change(require_op(changes, self.op), self.keys, self.sequence_by)
         present = set(changes.columns)
         aligned = newest.select(*[
@@ -99,6 +110,24 @@ class ChangeState:
             "append").json(f"{self.location}/bases")
 
 
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Delete the changes that newer bases hold and all but the newest ``keep`` bases; returns
+        what was deleted. Call it when no reader uses an older base."""
+        if keep < 1:
+            raise ValueError("the newest base has to stay")
+        jvm = self.spark.sparkContext._jvm
+        deleted = []
+        for folder, oldest in (("base", self.version() - keep + 1), ("changes", self.version())):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{folder}")
+            files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            for status in files.listStatus(path) if files.exists(path) else ():
+                name = status.getPath().getName()
+                if name.startswith("v=") and int(name[2:]) < oldest:
+                    files.delete(status.getPath(), True)
+                    deleted.append(f"{folder}/{name}")
+        return sorted(deleted)
+
+
 def replay_stream(stream: DataFrame, state: ChangeState, checkpoint: str,
                   every: str | None = None, compact_every: int = 50) -> StreamingQuery:
     """Start folding a stream of changes into ``state``."""

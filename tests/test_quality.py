@@ -141,7 +141,7 @@ def test_monitor_by_layer(spark, schema, now):
     assert ("bronze", "freshness_seconds") in {
         (r.layer, r.check) for r in monitor.run(spark, specs, f"{schema}.history", later).collect()}
     history = spark.table(f"{schema}.history")
-    assert history.columns == q.RESULT_COLUMNS
+    assert history.columns == [*q.RESULT_COLUMNS, "run_date"]
     latest = q.latest_results(history)
     assert latest.count() * 2 == history.count()
     assert {r.run_ts for r in latest.collect()} == {later.replace(tzinfo=None)}

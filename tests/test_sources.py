@@ -16,7 +16,7 @@ from siltworks.sinks.tables import (append_table, create_table, describe_table,
                                     preview, replace_table, write_table)
 from siltworks.sources.archives import archive_lines, archive_members, extract_members
 from siltworks.sources.discovery import tables_by_folder, tables_by_stem, tables_by_suffix
-from siltworks.sources.files import (arrow_location, configured_table, format_of, is_wildcard, list_files,
+from siltworks.sources.files import (arrow_location, configured_table, format_of, list_files,
                                      matching_files, partition_glob, read_configured, read_files,
                                      read_matching, read_partitions, years_since)
 from siltworks.sources.jdbc import Connection, split_options
@@ -33,8 +33,7 @@ def test_format_of(name, expected):
     assert format_of(name) == expected
 
 
-def test_wildcards_and_globs():
-    assert is_wildcard("*.csv") and is_wildcard("a[0-9].csv") and is_wildcard("a?.csv") and not is_wildcard("a.csv")
+def test_partition_globs():
     assert partition_glob("/r/", locationid=[1, 2], year=range(2023, 2025)) == "/r/locationid={1,2}/year={2023,2024}"
     assert list(years_since(2023, dt.date(2025, 5, 1))) == [2023, 2024, 2025]
 
