@@ -8,9 +8,11 @@ share prefix tokens in further orders, which are permutations by hashing; those
 verified by intersecting their whole sets.
 
 Equal sets are one node from the start. Pairs are not listed within groups: first each node is
-paired with the least and the greatest node of every prefix token, verified links are contracted
-to components, and then only nodes that share a prefix token while still in different components are
-paired. What is left out are pairs already known to be joined.
+paired with the least and the greatest node of every prefix token, and verified links are
+contracted to components. Then only nodes that share a prefix token while in different components
+are compared: as pairs where few nodes share the token, else in blocks of bounded size, each of
+which tests its nodes against another block's in memory and gives only links that join them. What
+is left out are pairs already known to be joined.
 
 Defined cases: null or blank text has no tokens and is linked with nothing; a text of fewer words
 than an n-gram has one token, its whole sequence; rows that share an id are one document whose
@@ -31,9 +33,13 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import Sink, rows_of, whole_text
 from .components import components
+from .idfilter import BitTable, bit_table, split
 from .wordhash import WordHasher, blank_separated, combine, mix
 
 COUNT_BITS = 20
+#: Up to this many nodes of a token are compared as pairs, more in blocks of at most BLOCK_NODES.
+PAIR_NODES = 48
+BLOCK_NODES = 384
 _SLICES = 64
 _ORDERS = (0xD1B54A32D192ED03, 0x2545F4914F6CDD1D)
 
@@ -110,6 +116,7 @@ def token_counts(rows: DataFrame, words: int, bits: int) -> np.ndarray:
 
 _NODE = pa.schema([("row_key", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()),
                    ("prefix", pa.list_(pa.int64()))])
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _SET = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("second", pa.list_(pa.int64())),
                   ("third", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
@@ -136,11 +143,22 @@ def _nodes(rows: DataFrame, counts: np.ndarray, words: int, percent: int) -> Dat
     return rows.mapInArrow(run, "row_key bigint, n bigint, set_a bigint, set_b bigint, prefix array<bigint>")
 
 
-def _sets(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Whole sets and the prefixes in the further orders, of candidates only."""
+def _sets(rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Whole sets and the prefixes in the further orders of the given nodes.
+
+    Tasks look ids up in a bit table, so that texts need not be shuffled; the few ids that pass in
+    error are left out by the joins that use the sets.
+    """
+    packed = bit_table(nodes)
+
     def run(batches):
-        tokens, sink = Tokens(words), Sink(_SET)
-        for key, found in tokens.texts(rows_of(batches)):
+        wanted, tokens, sink = BitTable(packed), Tokens(words), Sink(_SET)
+
+        def candidates():
+            for batch in batches:
+                yield batch.filter(pa.array(wanted.among(batch.column(0))))
+
+        for key, found in tokens.texts(rows_of(candidates())):
             p = prefix_length(len(found), percent)
             if not p:
                 continue
@@ -152,6 +170,90 @@ def _sets(rows: DataFrame, words: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "node bigint, n bigint, second array<bigint>, third array<bigint>, tokens array<bigint>")
 
 
+def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many members each set of one list shares with each of the other."""
+    flat, far = np.concatenate(one), np.concatenate(other)
+    shared = np.intersect1d(flat, far)
+    out = np.zeros((len(one), len(other)), np.float32)
+    owner, owner_far = np.repeat(np.arange(len(one)), [len(x) for x in one]), np.repeat(np.arange(len(other)), [len(x) for x in other])
+    at, at_far = np.searchsorted(shared, flat), np.searchsorted(shared, far)
+    for first in range(0, len(shared), 2048):
+        last = min(first + 2048, len(shared))
+        left, right = np.zeros((len(one), last - first), np.float32), np.zeros((len(other), last - first), np.float32)
+        for matrix, owners, places, values in ((left, owner, at, flat), (right, owner_far, at_far, far)):
+            inside = (places >= first) & (places < last)
+            inside[inside] = shared[places[inside]] == values[inside]
+            matrix[owners[inside], places[inside] - first] = 1
+        out += left @ right.T
+    return out
+
+
+def joined_in_block(one: list[tuple], other: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Nodes of two lists (node, n, second, third, tokens) joined by similar sets, as links to the
+    first node of each group that arises."""
+    passed = (_overlaps([x[2] for x in one], [x[2] for x in other]) > 0) & (_overlaps([x[3] for x in one], [x[3] for x in other]) > 0)
+    if not passed.any():
+        return []
+    shared = _overlaps([x[4] for x in one], [x[4] for x in other])
+    sizes, far = np.array([x[1] for x in one]), np.array([x[1] for x in other])
+    similar = passed & (100 * shared >= percent * (sizes[:, None] + far[None, :] - shared))
+    nodes = np.array([x[0] for x in one] + [x[0] for x in other])
+    label = np.arange(len(nodes))
+    a, b = np.nonzero(similar)
+    b = b + len(one)
+    while True:
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, label[a])
+        if (least == label).all():
+            break
+        label = least
+    joined = nodes[label] != nodes
+    return list(dict.fromkeys(zip(nodes[label][joined].tolist(), nodes[joined].tolist())))
+
+
+def _block_links(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the nodes of tokens that many share, block against block."""
+    blocks = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")
+    dealt = (left.select("token", "node", blocks.alias("blocks"), own.alias("own"))
+             .select("token", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node")
+             .join(sets, "node"))
+
+    def compare(batches):
+        one, other, same = [], [], False
+        for low, high, own, node, n, *arrays in (r for batch in batches for r in _arrays(batch)):
+            same = low == high
+            (one if own == low else other).append((node, n, *arrays))
+        links = joined_in_block(one, one if same else other, percent) if one and (same or other) else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
+                                         schema=_LINK)
+
+    # a group is a pair of blocks and so has a bounded number of rows
+    return (dealt.select("token", "low", "high", "own", "node", "n", "second", "third", "tokens")
+            .groupBy("token", "low", "high").applyInArrow(_as_group(compare), "a bigint, b bigint"))
+
+
+def _as_group(compare):
+    def run(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(compare(group.drop_columns(["token"]).to_batches()), schema=_LINK)
+
+    return run
+
+
+def _arrays(batch: pa.RecordBatch):
+    """Rows with list columns as arrays."""
+    columns = []
+    for column in batch.columns:
+        if pa.types.is_list(column.type):
+            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+            columns.append([values[offsets[k]:offsets[k + 1]] for k in range(len(column))])
+        else:
+            columns.append(column.to_pylist())
+    yield from zip(*columns)
+
+
 def _possible(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
     """Whether sizes and the places of a shared token allow the similarity."""
     least, most = F.least(n, other_n), F.greatest(n, other_n)
@@ -159,18 +261,14 @@ def _possible(n: Column, place: Column, other_n: Column, other_place: Column, pe
     return (100 * least >= percent * most) & (shared * (100 + percent) >= percent * (n + other_n))
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs ``a, b`` that pass the filters of the further orders and whose sets are similar."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = rows.join(stage(wanted, "candidates"), rows["row_key"] == F.col("node"), "left_semi")
-    sets = stage(_sets(texts, words, percent), "sets")
-
     def side(end: str, *columns: str) -> DataFrame:
         return sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
 
     filters = ("second", "third")
-    passed = (pairs.join(side("a", *filters), "a").join(side("b", *filters), "b")
-              .where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b"))
+    passed = stage(pairs.join(side("a", *filters), "a").join(side("b", *filters), "b")
+                   .where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b"), "passed")
     both = passed.join(side("a", "n", "tokens"), "a").join(side("b", "n", "tokens"), "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
@@ -186,39 +284,47 @@ def groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     counts = token_counts(rows, words, count_bits)
     known = stage(_nodes(rows, counts, words, percent), "jaccard")
-    classes = stage(known.where("n > 0 AND row_key IS NOT NULL").groupBy("set_a", "set_b")
-                    .agg(F.min("row_key").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
-                    "classes")
-    posted = stage(classes.select("node", "n", F.posexplode("prefix").alias("place", "token")), "prefixes")
+    filled = known.where("n > 0 AND row_key IS NOT NULL")
+    posted = (filled.groupBy("set_a", "set_b")
+              .agg(F.min("row_key").alias("node"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
+              .select("node", "n", F.posexplode("prefix").alias("place", "token")))
+    sizes = posted.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stage(posted.join(sizes, "token"), "postings")
     member = F.struct("node", "n", "place")
-    ends = stage(posted.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(member).alias("least"),
-                                             F.max(member).alias("most"))
-                 .where("size > 1 AND least.node < most.node"), "tokens")
-    shared = stage(posted.join(ends, "token"), "postings")
+    ends = shared.groupBy("token").agg(F.min(member).alias("least"), F.max(member).alias("most"))
+    near = stage(shared.join(ends, "token"), "ends")
 
     def ordered(node: str, other: str) -> list[Column]:
         return [F.least(node, other).alias("a"), F.greatest(node, other).alias("b")]
 
     def star(end: str) -> DataFrame:
         other = F.col(end)
-        return shared.where((F.col("node") != other["node"]) & _possible(
+        return near.where((F.col("node") != other["node"]) & _possible(
             F.col("n"), F.col("place"), other["n"], other["place"], percent)).select(*ordered("node", f"{end}.node"))
 
-    stars = stage(star("least").union(star("most")).distinct(), "stars")
-    links = stage(_verified(stars, rows, words, percent).union(_same_id(known)), "links")
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+    stars = stage(star("least").union(star("most")).distinct(), "pairs")
+    sets = stage(_sets(rows, ends_of(stars), words, percent), "sets")
+    links = stage(_verified(stars, sets, percent).union(_same_id(known)), "links")
     joined = components(links)
 
-    placed = shared.select("token", "node", "n", "place").join(
-        joined.withColumnRenamed("component", "found"), "node", "left").withColumn("part", F.coalesce("found", "node"))
+    placed = shared.join(joined.withColumnRenamed("component", "found"), "node", "left").withColumn(
+        "part", F.coalesce("found", "node"))
     mixed = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    left = stage(placed.join(mixed.select("token"), "token", "left_semi").select("token", "node", "n", "place", "part"), "left")
-    other = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "part")))
-    rest = (left.join(other, "token").where((F.col("node") < F.col("node_b")) & (F.col("part") != F.col("part_b"))
-                                            & _possible(F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"), percent))
-            .select(*ordered("node", "node_b")).distinct().join(stars, ["a", "b"], "left_anti"))
-    more = _verified(stage(rest, "rest"), rows, words, percent)
+    left = stage(placed.join(mixed.select("token"), "token", "left_semi").select("token", "node", "n", "place", "part", "size"), "left")
+    few, many = left.where(F.col("size") <= PAIR_NODES), left.where(F.col("size") > PAIR_NODES)
+    other = few.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "part")))
+    rest = stage(few.join(other, "token").where(
+        (F.col("node") < F.col("node_b")) & (F.col("part") != F.col("part_b"))
+        & _possible(F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"), percent))
+        .select(*ordered("node", "node_b")).distinct().join(stars, ["a", "b"], "left_anti"), "rest")
+    more_sets = stage(_sets(rows, ends_of(rest).union(many.select("node")), words, percent), "sets")
+    more = _verified(rest, more_sets, percent).union(_block_links(many, more_sets, percent))
     whole = components(links.union(more))
 
+    classes = filled.groupBy("set_a", "set_b").agg(F.min("row_key").alias("node"))
     nodes = classes.select("set_a", "set_b", "node").join(whole, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("class"))
     own = known.join(nodes, ["set_a", "set_b"], "left")
@@ -239,5 +345,6 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
              percent: int = 90) -> DataFrame:
     """One row of each group, that with the least id, with all its columns; rows without words or id stay."""
     found = groups(df, id_column, text_column, words, percent)
-    gone = found.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).alias("_gone"))
-    return df.join(gone, df[id_column].cast("bigint") == gone["_gone"], "left_anti")
+    gone = stage(found.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).cast("bigint").alias("gone")), "gone")
+    rest, maybe = split(df, id_column, gone)
+    return rest.unionAll(maybe.join(gone, maybe[id_column].cast("bigint") == gone["gone"], "left_anti"))
