@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path, stage
 from ..sources.files import arrow_location
 from .common import Sink, rows_of, whole_text
+from .idfilter import split
 
 BLANKS = b" \t\n\x0b\x0c\r"
 TASK_TABLE_BYTES = 48 << 20
@@ -236,12 +237,18 @@ def _buckets(spark) -> int:
 
 def keep_best(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns; of repeated rows one."""
-    groups = (exact_groups(df, id_column, text_column).where("kept")
-              .select(F.col(id_column).alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_points"))
-              .distinct())
+    found = stage(exact_groups(df, id_column, text_column), "groups")
+    key = F.col(id_column)
+    repeated = found.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(id_column)
+    gone = stage(found.where(~F.col("kept")).select(id_column).union(repeated), "gone")
+    # ids all of whose rows stay need no join; those in doubt are few, and meet their groups
+    rest, doubt = split(df, id_column, gone)
+    nulls, rest = rest.where(key.isNull()), rest.where(key.isNotNull())
+    doubt = doubt.unionAll(nulls)
     body = whole_text(text_column)
-    marked = df.withColumns({"_own_sha": F.sha2(F.regexp_replace(body, "[\\x20\\x09-\\x0D]+", ""), 256),
-                             "_own_points": F.length(body).cast("bigint")})
-    kept = marked.join(groups, F.col(id_column).cast("bigint").eqNullSafe(F.col("_id"))
-                       & (F.col("_own_sha") == F.col("_sha")) & (F.col("_own_points") == F.col("_points")))
-    return kept.dropDuplicates(["_own_sha"]).select(*(kept[c] for c in df.columns))
+    marked = doubt.withColumns({"_own_sha": F.sha2(F.regexp_replace(body, "[\\x20\\x09-\\x0D]+", ""), 256),
+                                "_own_points": F.length(body).cast("bigint")})
+    stay = found.where("kept").select(key.alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_points"))
+    kept = marked.join(stay, key.cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
+                       & (F.col("_own_points") == F.col("_points")), "left_semi").dropDuplicates(["_own_sha"])
+    return rest.unionAll(kept.select(*df.columns))
