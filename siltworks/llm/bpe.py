@@ -6,8 +6,8 @@ while reading bytes: each guess walks the trie of the vocabulary, and may end a
 neighbour test against the guess's last token holds. Every prefix has one complete guess.
 Determinisation keeps the set of live guesses with the tokens on which they do not yet agree, and
 emits a token as soon as all agree: a guess lives no longer than the longest token, which bounds
-the lookahead. States and transitions are made when first needed, and dropped together when they
-exceed a fixed number. Encodings of whole pieces are remembered in the same bounded way.
+the lookahead. Transitions and their states are made when met again, and dropped together when
+they exceed a fixed number. Encodings of whole pieces are remembered in the same bounded way.
 
 Decoding joins token bytes and feeds them through an incremental UTF-8 state machine, so that a
 character split between tokens or blocks is put together again.
@@ -20,7 +20,9 @@ encoded whole, with memory for its ids and one block of its characters.
 from __future__ import annotations
 
 import base64
+import gc
 import re
+import struct
 from bisect import bisect_left
 from typing import Iterator
 
@@ -34,6 +36,7 @@ from .common import Sink, per_process, rows_of, whole_text
 
 MAX_STATES = 100_000
 MAX_PIECES = 120_000
+ONCE = 64
 _BLOCK = 1 << 18
 
 # Code points that the `regex` module (Unicode 17) counts as letters or numbers
@@ -143,6 +146,9 @@ class Transducer:
                 self.plain &= max(self.parts[rank]) < rank
             self._insert(token, rank)
         self.pairs: dict[int, bool] = {}
+        self.ends: dict[int, list[tuple[bytes, int]]] = {}
+        self.begins: dict[int, list[tuple[bytes, int]]] = {}
+        self.met: set[int] = set()
         self.alike = self._contexts() if self.plain else {rank: rank for rank in self.bytes_of}
         self._reset()
 
@@ -188,20 +194,36 @@ class Transducer:
         lasts until the rank of the next. So on the right. A merge across happens at its rank if
         both pieces last until then; of equal ranks the leftmost goes first.
         """
-        end, until_left = left, None
-        while True:
-            begin, until_right = right, None
-            while True:
-                across = self.ranks.get(self.bytes_of[end] + self.bytes_of[begin])
-                if across is not None and (until_left is None or across < until_left) and (
-                        until_right is None or across <= until_right):
+        ranks, begins = self.ranks, self.begins.get(right)
+        if begins is None:
+            begins = self.begins[right] = self._spine(right, 0)
+        ends = self.ends.get(left)
+        if ends is None:
+            ends = self.ends[left] = self._spine(left, 1)
+        for end, until_left in ends:
+            for begin, until_right in begins:
+                across = ranks.get(end + begin)
+                if across is not None and across < until_left and across <= until_right:
                     return False
-                if begin not in self.parts:
-                    break
-                until_right, begin = begin, self.parts[begin][0]
-            if end not in self.parts:
-                return True
-            until_left, end = end, self.parts[end][1]
+        return True
+
+    def _spine(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """A token's ends (side 1) or beginnings (0) that any longer token can hold beyond them, and
+        until which rank each lasts."""
+        out, until = [], 1 << 62
+        while True:
+            piece = self.bytes_of[token]
+            if side == 0 or self.inner[self._node(piece)]:
+                out.append((piece, until))
+            if token not in self.parts:
+                return out
+            until, token = token, self.parts[token][side]
+
+    def _node(self, piece: bytes) -> int:
+        node = 0
+        for byte in piece:
+            node = self.arcs[node << 8 | byte]
+        return node
 
     def _contexts(self) -> dict[int, int]:
         """For each token the first one that every right neighbour meets in the same way.
@@ -235,6 +257,7 @@ class Transducer:
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
+        self.met.clear()
         self._state(((0, (-1,)),))
 
     def _state(self, guesses: tuple) -> int:
@@ -266,8 +289,9 @@ class Transducer:
         guesses.append(complete)
         emitted, agreed = (), 1
         first = guesses[0][1]
-        while len(first) > agreed and all(len(c) > agreed and c[agreed] == first[agreed] for _, c in guesses):
-            agreed += 1
+        if len(first) > 1:
+            while len(first) > agreed and all(len(c) > agreed and c[agreed] == first[agreed] for _, c in guesses):
+                agreed += 1
         if agreed > 1:
             emitted = first[1:agreed]
             context = (self.alike[first[agreed - 1]],)
@@ -279,16 +303,45 @@ class Transducer:
         found = self.moves[state << 8 | byte] = (number, emitted)
         return found
 
+    def _through(self, guesses: tuple, rest: bytes) -> tuple[int, ...]:
+        """The tokens of a short rest, by the same guesses without making states of them: a move is
+        made a state only when it is met again, since most endings of rare words are met once."""
+        arcs, tokens, inner, pairs = self.arcs, self.token_at, self.inner, self.pairs
+        for byte in rest:
+            following, complete = [], None
+            for guess in guesses:
+                child = arcs.get(guess[0] << 8 | byte)
+                if child is None:
+                    continue
+                if inner[child]:
+                    following.append((child, guess[1]))
+                if complete is None and (token := tokens[child]) >= 0:
+                    chain = guess[1]
+                    before = chain[-1]
+                    apart = True if before < 0 else pairs.get(before << 20 | token)
+                    if apart is None:
+                        apart = self.neighbours(before, token)
+                    if apart:
+                        complete = chain + (token,)
+            following.append((0, complete))
+            guesses = following
+        return complete[1:]
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states:
+        if len(self.states) > self.max_states or len(self.met) > 4 * self.max_states:
             self._reset()
         state, out, moves = 0, [], self.moves
-        for byte in piece:
+        for at, byte in enumerate(piece):
             move = moves.get(state << 8 | byte)
             if move is None:
+                key = state << 8 | byte
+                if key not in self.met and len(piece) <= ONCE:
+                    self.met.add(key)
+                    out.extend(self._through(self.states[state], piece[at:]))
+                    return out
                 move = self._move(state, byte)
                 if len(self.states) > self.max_states * 2:  # one long piece alone
                     kept = self.states[move[0]]
@@ -317,7 +370,7 @@ class Encoder:
         packed = self.old.get(piece)
         if packed is None:
             ids = self.machine.encode(piece.encode("utf-8", "replace"))
-            packed = np.array(ids, "<u4").tobytes()
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             if len(self.young) >= self.max_pieces:
                 self.old, self.young = self.young, {}
@@ -365,7 +418,12 @@ class Utf8Stream:
 
 def _encoder(path: str) -> Encoder:
     """One encoder a worker process: what it has learnt serves later tasks."""
-    return per_process(("bpe", path), lambda: Encoder(read_ranks(path)))
+    def make() -> Encoder:
+        encoder = Encoder(read_ranks(path))
+        gc.freeze()  # the vocabulary stays, so the collector need not look at it again
+        return encoder
+
+    return per_process(("bpe", path), make)
 
 
 def _token_bytes(path: str) -> dict[int, bytes]:
