@@ -55,7 +55,7 @@ def silver(bronze: DataFrame, location_ids: Sequence[int] | DataFrame | None = N
     rows = (rows.drop("locationid")
             .withColumns({"measured_at": to_moment("datetime", strict, zone),
                           "value": typed("value", "double", strict)})
-            .filter(F.col("value") >= 0)  # NULL fails the comparison as well
+            .filter((F.col("value") >= 0) & ~F.isnan("value"))  # NULL fails the comparison; NaN would not
             .withColumns({"measured_date": F.to_date("measured_at"),
                           "measured_year": F.year("measured_at"),
                           "measured_month": F.month("measured_at")})

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import LandingConfig
+from ..config import Landing
 from ..functions import with_lineage
 from ..operators.changes import require_op
 from ..operators.summarize import op_breakdown
@@ -24,46 +24,46 @@ FILE_ORDER = ["_source_file", "_source_row"]
 RENAMES = {"Op": "_op"}
 
 
-def add_lineage(df: DataFrame, config: LandingConfig, table: str) -> DataFrame:
+def add_lineage(df: DataFrame, landing: Landing, table: str) -> DataFrame:
     return with_lineage(df, ingested_at="_ingested_at", source_file="_source_file",
-                        source_row=FILE_ORDER[1] if config.keep_row_order else None,
-                        tags={"_source_table": config.source_table(table)})
+                        source_row=FILE_ORDER[1] if landing.row_order else None,
+                        tags={"_source_table": landing.layout(table).origin})
 
 
-def change_stream(spark: SparkSession, config: LandingConfig, table: str) -> DataFrame:
+def change_stream(spark: SparkSession, landing: Landing, table: str) -> DataFrame:
     """The change log of one table, ``Op`` renamed to ``_op``, with lineage."""
-    path = config.table_path(table)
-    log = SchemaLog(spark, config.schema_location(table))
-    schema = remembered_schema(spark, log, path, config.format,
-                               options={"recursiveFileLookup": "true"})
+    layout, reading = landing.layout(table), landing.reading
+    schema = remembered_schema(spark, SchemaLog(spark, layout.schemas), layout.landed, reading.format,
+                               reading.evolve, reading.all_options)
     if schema is None:
-        raise ValueError(f"{path} holds no {config.format} file to take a schema from")
-    stream = file_stream(spark, path, config.format, schema, {
-        "maxFilesPerTrigger": str(config.files_per_batch)}).withColumnsRenamed(RENAMES)
-    return add_lineage(require_op(stream), config, table)
+        raise ValueError(f"{layout.landed} holds no {reading.format} file to take a schema from")
+    stream = file_stream(spark, layout.landed, reading.format, schema, {
+        **reading.all_options, "maxFilesPerTrigger": str(reading.files_per_batch)}).withColumnsRenamed(RENAMES)
+    return add_lineage(require_op(stream), landing, table)
 
 
-def start_table(spark: SparkSession, config: LandingConfig, table: str,
+def start_table(spark: SparkSession, landing: Landing, table: str,
                 every: str | None = None) -> StreamingQuery:
-    if config.rescue:
-        return rescue_stream(spark, config.table_path(table), config.bronze_table(table),
-                             config.checkpoint_path(table), SchemaLog(spark, config.schema_location(table)),
-                             lambda rows: add_lineage(require_op(rows, "Op"), config, table), RENAMES, every,
-                             config.files_per_batch)
-    return append_stream(change_stream(spark, config, table), config.bronze_table(table),
-                         config.checkpoint_path(table), every)
-
-
-def run(spark: SparkSession, config: LandingConfig, at_once: int = 8) -> dict[str, Exception | None]:
-    """Drain every table found below the source; each table's error, or None, comes back."""
-    tables = tables_by_folder(spark, config.source_path)
+    layout = landing.layout(table)
+    if landing.row_order and landing.reading.format != "parquet":
+        raise ValueError("only Parquet files tell a row's position")
+    if landing.reading.rescues:
+        return rescue_stream(spark, layout.landed, layout.bronze, layout.state, SchemaLog(spark, layout.schemas),
+                             lambda rows: add_lineage(require_op(rows, "Op"), landing, table), RENAMES, every,
+                             landing.reading)
+    return append_stream(change_stream(spark, landing, table), layout.bronze, layout.state, every)
+
+
+def run(spark: SparkSession, landing: Landing, at_once: int = 8) -> dict[str, Exception | None]:
+    """Drain every table found below the landing; each table's error, or None, comes back."""
+    tables = tables_by_folder(spark, landing.folder)
     if not tables:
-        logger.warning("no tables below %s yet", config.source_path)
-    starts = {t: (lambda t=t: start_table(spark, config, t)) for t in tables}
+        logger.warning("no tables below %s yet", landing.folder)
+    starts = {t: (lambda t=t: start_table(spark, landing, t)) for t in tables}
     return drain_all(starts, at_once)
 
 
-def summary(spark: SparkSession, config: LandingConfig,
+def summary(spark: SparkSession, landing: Landing,
             outcomes: dict[str, Exception | None]) -> DataFrame:
     """Rows per table and change kind of the tables that finished."""
-    return op_breakdown({t: spark.table(config.bronze_table(t)) for t in finished(outcomes)})
+    return op_breakdown({t: spark.table(landing.layout(t).bronze) for t in finished(outcomes)})

@@ -5,39 +5,62 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..config import Reading
 from ..functions import with_lineage
+from ..session import stage
 from ..sinks.tables import describe_table
-from ..sources.discovery import tables_by_stem
+from ..sources.discovery import stems_of
+from ..sources.files import list_files
 from ..sources.schemas import SchemaLog, remembered_schema
 from ..streaming.fanout import drain_all, finished
 from ..streaming.landing import append_stream, stem_stream
+from ..streaming.rescue import rescue_stream
 
 
-def landed_stream(spark: SparkSession, root: str, stem: str, file_format: str,
-                  checkpoint: str) -> DataFrame:
-    only_stem = {"recursiveFileLookup": "true", "pathGlobFilter": f"{stem}.{file_format}"}
-    schema = remembered_schema(spark, SchemaLog(spark, f"{checkpoint}/_schema"), root, file_format,
-                               options=only_stem)
-    return with_lineage(stem_stream(spark, root, stem, file_format, schema),
-                        ingested_at="_ingest_ts", source_file="_source_file",
-                        tags={"_source_name": stem})
+def add_lineage(df: DataFrame, stem: str) -> DataFrame:
+    return with_lineage(df, ingested_at="_ingest_ts", source_file="_source_file", tags={"_source_name": stem})
 
 
-def run(spark: SparkSession, root: str, schema: str, checkpoint_base: str,
-        file_format: str = "parquet", every: str | None = None,
-        at_once: int = 8) -> dict[str, Exception | None]:
-    """Take in new files of every table found; ``every`` keeps the streams running instead."""
+def landed_stream(spark: SparkSession, root: str, stem: str, checkpoint: str, reading: Reading = Reading(),
+                  listing: DataFrame | None = None) -> DataFrame:
+    """The rows of one table's files; ``listing`` is that of the whole root."""
+    name = f"{stem}.{reading.format}"
+    options = {**reading.all_options, "recursiveFileLookup": "true", "pathGlobFilter": name}
+    if listing is not None:
+        listing = listing.where(F.substring_index("path", "/", -1) == name)
+    schema = remembered_schema(spark, SchemaLog(spark, f"{checkpoint}/_schema"), root, reading.format,
+                               reading.evolve, options, listing)
+    stream = stem_stream(spark, root, stem, reading.format, schema,
+                         {**reading.all_options, "maxFilesPerTrigger": str(reading.files_per_batch)})
+    return add_lineage(stream, stem)
+
+
+def run(spark: SparkSession, root: str, schema: str, checkpoint_base: str, reading: Reading = Reading(),
+        every: str | None = None, at_once: int = 8) -> dict[str, Exception | None]:
+    """Take in new files of every table found; ``every`` keeps the streams running instead.
+
+    The root is listed once for all tables' names and schemas.
+    """
     def start(stem: str) -> Callable[[], StreamingQuery]:
-        checkpoint = f"{checkpoint_base}/{schema}/{stem}"
-        return lambda: append_stream(landed_stream(spark, root, stem, file_format, checkpoint),
-                                     f"{schema}.{stem}_bronze", checkpoint, every)
+        checkpoint, table = f"{checkpoint_base}/{schema}/{stem}", f"{schema}.{stem}_bronze"
+        if reading.rescues:
+            return lambda: rescue_stream(spark, root, table, checkpoint, SchemaLog(spark, f"{checkpoint}/_schema"),
+                                         lambda rows: add_lineage(rows, stem), None, every, reading,
+                                         f"{stem}.{reading.format}")
+        return lambda: append_stream(landed_stream(spark, root, stem, checkpoint, reading, listing), table, checkpoint, every)
 
-    stems = tables_by_stem(spark, root, file_format)
+    listing = list_files(spark, root, f"*.{reading.format}")
+    if listing is None:
+        return {}
+    listing = stage(listing, "listing")
+    stems = stems_of(listing)
     # A stream without end holds its thread, so each continuous table needs one of its own.
     outcomes = drain_all({s: start(s) for s in stems}, len(stems) if every else at_once)
     for stem in finished(outcomes):
-        describe_table(spark, f"{schema}.{stem}_bronze",
-                       f"Raw append-only bronze of {stem}.", {"quality": "bronze"})
+        if spark.catalog.tableExists(f"{schema}.{stem}_bronze"):
+            describe_table(spark, f"{schema}.{stem}_bronze",
+                           f"Raw append-only bronze of {stem}.", {"quality": "bronze"})
     return outcomes

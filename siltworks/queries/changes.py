@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LandingConfig
+from ..config import Landing
 from ..operators.changes import current_rows, version_history
 from ..operators.quality import version_faults
 from ..operators.summarize import op_breakdown
@@ -103,8 +103,7 @@ def change_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "changes")
     for name, log in {"orders": order_log(spark, sf_dir), "lines": line_log(spark, sf_dir)}.items():
         log.withColumnRenamed("_op", "Op").write.parquet(f"{root}/{name}/2024/01/02")
-    config = LandingConfig(root, "shop", fresh_schema(spark),
-                           checkpoint_base=scratch_path(spark, "checkpoint"))
+    config = Landing(root, "shop", fresh_schema(spark), state=scratch_path(spark, "checkpoint"))
     outcomes = change_bronze.run(spark, config)
     for error in outcomes.values():
         if error is not None:

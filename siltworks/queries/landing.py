@@ -10,10 +10,12 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import DomainConfig, LandingConfig
+from ..config import DomainConfig, Landing, Reading
 from ..functions import with_lineage
 from ..operators.quality import missing_files
+from ..operators.rescue import rescue_types
 from ..plans import batch_files, change_bronze, shared_landing
 from ..plans.datasets import DatasetMap
 from ..session import scratch_path
@@ -49,33 +51,119 @@ def stream_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").withColumn("Op", F.lit("I"))
     early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     root = scratch_path(spark, "waves")
-    config = LandingConfig(root, "shop", fresh_schema(spark),
-                           checkpoint_base=scratch_path(spark, "checkpoint"))
+    config = Landing(root, "shop", fresh_schema(spark), state=scratch_path(spark, "checkpoint"))
     orders.where(early).drop("o_orderpriority").write.parquet(f"{root}/orders/1997/12/31")
     _raise_first(change_bronze.run(spark, config))
     orders.where(~early).write.parquet(f"{root}/orders/2001/12/31")
     _raise_first(change_bronze.run(spark, config))
-    return spark.table(config.bronze_table("orders")).select(
+    return spark.table(config.layout("orders").bronze).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "o_orderpriority", "_op", "_source_table")
 
 
 def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders land in two waves, the second with customer keys as text that is not always a number."""
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-                                                  F.lit("I").alias("Op"))
+    orders = read(spark, sf_dir, "orders").withColumn("Op", F.lit("I"))
     early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     odd = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("C"), "o_custkey")).otherwise(
         F.col("o_custkey").cast("string"))
     root = scratch_path(spark, "waves")
-    config = LandingConfig(root, "shop", fresh_schema(spark), rescue=True,
-                           checkpoint_base=scratch_path(spark, "checkpoint"))
+    config = Landing(root, "shop", fresh_schema(spark), state=scratch_path(spark, "checkpoint"),
+                     reading=Reading(rescue=True))
     orders.where(early).write.parquet(f"{root}/orders/1997/12/31")
     _raise_first(change_bronze.run(spark, config))
     orders.where(~early).withColumn("o_custkey", odd).write.parquet(f"{root}/orders/2001/12/31")
     _raise_first(change_bronze.run(spark, config))
-    return spark.table(config.bronze_table("orders")).select(
-        "o_orderkey", nullable("o_custkey"), "o_orderdate", F.col("_rescued_data").alias("rescued"))
+    return spark.table(config.layout("orders").bronze).select(
+        "o_orderkey", nullable("o_custkey"), "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+        F.col("_rescued_data").alias("rescued"))
+
+
+def shared_root_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers land as CSV in one root in two waves, the second of orders with one more
+    column that comes first; types are found from the new files of each wave."""
+    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    root, schema, base = (scratch_path(spark, label) for label in ("shared", "unused", "checkpoint"))
+    schema = fresh_schema(spark)
+    waves = [{"orders": orders.where(early).drop("o_orderpriority"), "customer": customers.where("c_custkey % 2 = 0")},
+             {"orders": orders.where(~early).select("o_orderpriority", *[c for c in orders.columns if c != "o_orderpriority"]),
+              "customer": customers.where("c_custkey % 2 = 1")}]
+    for number, wave in enumerate(waves):
+        for name, df in wave.items():
+            _write_one(df, f"{root}/{number}/{name}.csv")
+        _raise_first(shared_landing.run(spark, root, schema, base, Reading("csv")))
+    landed, people = spark.table(f"{schema}.orders_bronze"), spark.table(f"{schema}.customer_bronze")
+    return landed.join(people, landed["o_custkey"] == people["c_custkey"]).select(
+        *[F.col(c).cast(t).alias(c) for c, t in (*orders.dtypes, *customers.dtypes)], landed["_rescued_data"].alias("rescued"))
+
+
+def _write_one(df: DataFrame, path: str) -> None:
+    """Write rows as CSV files, each of which has the name that the landing knows the table by."""
+    spark, temporary = df.sparkSession, f"{path}.parts"
+    df.write.option("header", "true").csv(temporary)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(temporary)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for number, status in enumerate(files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{temporary}/part-*"))):
+        parent = jvm.org.apache.hadoop.fs.Path(f"{path}-{number}")
+        files.mkdirs(parent)
+        files.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(parent, path.rsplit("/", 1)[-1]))
+    files.delete(folder, True)
+
+
+def change_landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders land as JSON change files in two waves; in the second the priority is new and keys of
+    status P are no numbers."""
+    orders = read(spark, sf_dir, "orders").withColumn("Op", F.lit("I"))
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    odd = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("C"), "o_custkey")).otherwise(F.col("o_custkey").cast("string"))
+    root = scratch_path(spark, "waves")
+    config = Landing(root, "shop", fresh_schema(spark), state=scratch_path(spark, "checkpoint"), reading=Reading("json"))
+    orders.where(early).drop("o_orderpriority").write.json(f"{root}/orders/1997/12/31")
+    _raise_first(change_bronze.run(spark, config))
+    orders.where(~early).withColumn("o_custkey", odd).write.json(f"{root}/orders/2001/12/31")
+    _raise_first(change_bronze.run(spark, config))
+    return spark.table(config.layout("orders").bronze).select(
+        "o_orderkey", nullable("o_custkey"), "o_orderstatus", "o_totalprice",
+        F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "o_orderpriority", "_op",
+        F.col("_rescued_data").alias("rescued"))
+
+
+def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose second half lands later with a modification time of a month before the first."""
+    landing, table = scratch_path(spark, "events"), f"{fresh_schema(spark)}.events_bronze"
+    events, checkpoint = read(spark, sf_dir, "events"), scratch_path(spark, "checkpoint")
+    for number, half in enumerate((events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"))):
+        half.write.parquet(f"{landing}/{number}")
+        if number:
+            _age(spark, f"{landing}/{number}", 30)
+        append_stream(file_stream(spark, landing, "parquet", events.schema), table, checkpoint).awaitTermination()
+    return spark.table(table)
+
+
+def _age(spark: SparkSession, folder: str, days: int) -> None:
+    """Set the files' modification times back."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def rescued_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders cast to whole prices and to dates: what a cast would cut off is kept as it came."""
+    orders = read(spark, sf_dir, "orders").withColumns({
+        "o_totalprice": F.when(F.col("o_orderkey") % 3 == 0, F.floor("o_totalprice").cast("double")).otherwise(F.col("o_totalprice")),
+        "o_orderdate": F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate") + F.expr("INTERVAL 1 HOUR"))
+        .otherwise(F.col("o_orderdate"))})
+    target = T.StructType([T.StructField(f.name, {"o_totalprice": T.LongType(), "o_orderdate": T.DateType()}.get(f.name, f.dataType))
+                           for f in orders.schema.fields])
+    kept = rescue_types(orders, target)
+    return kept.select("o_orderkey", "o_custkey", "o_orderstatus", nullable("o_totalprice"),
+                       F.col("o_orderdate").cast("string").alias("o_orderdate"), "o_orderpriority",
+                       F.get_json_object("_rescued_data", "$.o_totalprice").cast("double").alias("rescued_price"),
+                       F.get_json_object("_rescued_data", "$.o_orderdate").alias("rescued_date"))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,9 +335,25 @@ QUERIES = {
                CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
                'I' AS _op, 'shop.orders' AS _source_table FROM orders"""),
     "stream_rescue": Query(stream_rescue, """
-        SELECT o_orderkey, CAST(CASE WHEN NOT odd THEN o_custkey END AS DOUBLE) AS o_custkey, o_orderdate,
-               CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued
+        SELECT o_orderkey, CAST(CASE WHEN NOT odd THEN o_custkey END AS DOUBLE) AS o_custkey, o_orderstatus,
+               o_totalprice, o_orderdate, o_orderpriority, CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued
         FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'P' AS odd FROM orders)"""),
+    "shared_root_csv": Query(shared_root_csv, """
+        SELECT o.* REPLACE (CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority),
+               c.*, CAST(NULL AS VARCHAR) AS rescued FROM orders o JOIN customer c ON o_custkey = c_custkey"""),
+    "change_landing_json": Query(change_landing_json, """
+        SELECT o_orderkey, CAST(CASE WHEN NOT odd THEN o_custkey END AS DOUBLE) AS o_custkey, o_orderstatus, o_totalprice,
+               o_orderdate, CASE WHEN late THEN o_orderpriority END AS o_orderpriority, 'I' AS _op,
+               CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued
+        FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AS late,
+                     o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'P' AS odd FROM orders)"""),
+    "stream_late_files": Query(stream_late_files, "SELECT * FROM events"),
+    "rescued_decimals": Query(rescued_decimals, """
+        SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN price = floor(price) THEN price END AS o_totalprice,
+               CASE WHEN o_orderkey % 2 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate, o_orderpriority,
+               CASE WHEN price <> floor(price) THEN price END AS rescued_price,
+               CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') END AS rescued_date
+        FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS price FROM orders)"""),
     "stream_events": Query(stream_events, "SELECT *, 'events' AS _source_name FROM events"),
     "batch_customers": Query(batch_customers, _CUSTOMERS),
     "batch_formats": Query(batch_formats, " UNION ALL ".join(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import list_files
@@ -23,6 +23,11 @@ def tables_by_stem(spark: SparkSession, root: str, file_format: str) -> list[str
     listing = list_files(spark, root, f"*.{file_format}")
     if listing is None:
         return []
+    return stems_of(listing)
+
+
+def stems_of(listing: DataFrame) -> list[str]:
+    """Sorted distinct file names of a listing, without extension."""
     stem = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
     stems = listing.select(stem.alias("stem")).where("stem <> ''").distinct()
     # One row per table, not per file.

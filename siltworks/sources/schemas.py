@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from typing import Iterator, Mapping
+from typing import Iterator, Mapping, Sequence
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .files import arrow_location, list_files, path_missing
 
 
-def infer_schema(spark: SparkSession, path: str, file_format: str,
+def infer_schema(spark: SparkSession, path: str | Sequence[str], file_format: str,
                  options: Mapping[str, str] | None = None) -> T.StructType | None:
     """Merged schema of all files at ``path``; None when there are none.
 
@@ -35,16 +35,19 @@ def infer_schema(spark: SparkSession, path: str, file_format: str,
         raise
 
 
-def _conflict_message(spark: SparkSession, path: str, options: Mapping[str, str] | None) -> str:
+def _conflict_message(spark: SparkSession, path: str | Sequence[str], options: Mapping[str, str] | None) -> str:
     """Name the files to look at; the message shows the first few."""
-    files = list_files(spark, path, (options or {}).get("pathGlobFilter", "*.parquet"))
+    if isinstance(path, str):
+        files = list_files(spark, path, (options or {}).get("pathGlobFilter", "*.parquet"))
+    else:
+        files = spark.createDataFrame([(p,) for p in path], "path string")
     rows = conflicting_files(files).orderBy("path").limit(20).collect()
     return "files disagree on column types: " + "; ".join(
         f"{r.path} has {r.column} as {r.type}, others as {r.usual_type}" for r in rows)
 
 
 class SchemaLog:
-    """Schema versions kept as small JSON files beside a checkpoint."""
+    """Schema versions kept as small JSON files beside a checkpoint, and the files they were taken from."""
 
     def __init__(self, spark: SparkSession, location: str):
         self.spark, self.location = spark, location
@@ -70,6 +73,21 @@ class SchemaLog:
             "append").json(self.location)
 
 
+    def unread(self, listing: DataFrame) -> DataFrame:
+        """Paths of a listing from which no version has been taken yet."""
+        try:
+            known = self.spark.read.schema("path string").parquet(f"{self.location}_files")
+        except AnalysisException as error:
+            if path_missing(error):
+                return listing.select("path")
+            raise
+        return listing.select("path").join(known, "path", "left_anti")
+
+    def read(self, paths: Sequence[str]) -> None:
+        """Remember that these files have been looked at."""
+        self.spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(f"{self.location}_files")
+
+
 def widen(stored: T.StructType, found: T.StructType) -> T.StructType:
     """``stored`` plus the columns only ``found`` has; a changed type of a known column is an error."""
     known = {f.name.lower(): f for f in stored.fields}
@@ -85,20 +103,34 @@ def widen(stored: T.StructType, found: T.StructType) -> T.StructType:
 
 def remembered_schema(spark: SparkSession, log: SchemaLog, path: str, file_format: str,
                       evolve: bool = True, options: Mapping[str, str] | None = None,
-                      ) -> T.StructType | None:
-    """Stored schema, widened by new columns of the landed files and stored again if it grew.
+                      listing: DataFrame | None = None) -> T.StructType | None:
+    """Stored schema, widened by new columns of files not looked at before, and stored if it grew.
 
-    With ``evolve=False`` a stored schema is returned without looking at the files.
+    Only those files are opened, so a run's work follows what has landed since the last one.
+    ``listing`` (``list_files``) spares listing ``path`` again. With ``evolve=False`` a stored
+    schema is returned without looking at the files.
     """
     stored = log.latest()
     if stored is not None and not evolve:
         return stored
-    found = infer_schema(spark, path, file_format, options)
+    if listing is None:
+        listing = list_files(spark, path, (options or {}).get("pathGlobFilter"))
+    if listing is None:
+        return stored
+    paths = [row.path for row in log.unread(listing).toLocalIterator()]  # the reader needs their names
+    if not paths:
+        return stored
+    own = {k: v for k, v in (options or {}).items() if k not in ("pathGlobFilter", "recursiveFileLookup")}
+    found = infer_schema(spark, paths, file_format, own)
     if found is None:
         return stored
-    current = found if stored is None else widen(stored, found)
+    try:
+        current = found if stored is None else widen(stored, found)
+    except ValueError as error:  # the message shows the first of the new files
+        raise ValueError(f"files disagree on column types: {error}; new files: {', '.join(sorted(paths)[:20])}") from error
     if stored is None or len(current) > len(stored):
         log.add(current)
+    log.read(paths)
     return current
 
 

@@ -1,77 +1,129 @@
-"""Take in Parquet files whose types do not all agree, without losing a value.
+"""Take in files whose columns and types do not all agree, without losing a value.
 
-The plain file stream reads every file with one schema and stops at a file that differs. Here
-the stream carries only the paths of new files. Each micro-batch groups its files by the types
-in their footers and reads each group as it is: values that fit the table are cast, the others
-go to the rescue column as JSON.
+The plain file stream reads every file with one schema and stops at a file that differs, or reads
+it wrong. Here the stream carries only the paths of new files. Each micro-batch groups its files by
+the columns they say they have (Parquet footers, CSV headers; JSON names each value) and reads each
+group as it is: values that fit the table are cast, the others go to the rescue column as JSON.
+Text is read as text, so that a number keeps all its digits. Only new files are ever looked at.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from typing import Callable, Mapping, Sequence
+from typing import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import FILES_PER_BATCH
+from ..config import Reading
 from ..operators.rescue import rescue_types
 from ..sinks.tables import append_table
-from ..sources.schemas import SchemaLog, parquet_columns
+from ..sources.files import arrow_location
+from ..sources.schemas import SchemaLog, infer_schema, parquet_columns
+from .landing import NEVER
 
 # The schema of the binary file source; only ``path`` is used, so contents are not read.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def files_by_types(files: DataFrame) -> list[list[str]]:
-    """Paths of the listed Parquet files, grouped by column names and types."""
-    types = parquet_columns(files).groupBy("path").agg(
-        F.to_json(F.sort_array(F.collect_list(F.struct("column", "type")))).alias("types"))
+def _headers(files: DataFrame) -> DataFrame:
+    """``path, types`` of CSV files: the first line, read by the executors."""
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lines = []
+            for uri in batch["path"]:
+                filesystem, name = arrow_location(uri)
+                with filesystem.open_input_stream(name) as source:  # inflates by the file's ending
+                    line = b""
+                    while b"\n" not in line and (block := source.read(4096)):
+                        line += block
+                lines.append(line.split(b"\n")[0].decode("utf-8", "replace").rstrip("\r"))
+            yield pd.DataFrame({"path": batch["path"], "types": lines})
+
+    return files.select("path").mapInPandas(first_lines, "path string, types string")
+
+
+def files_by_types(files: DataFrame, file_format: str = "parquet") -> list[list[str]]:
+    """Paths of the listed files, grouped by the columns (and types) they say they have."""
+    if file_format == "parquet":
+        types = parquet_columns(files).groupBy("path").agg(
+            F.to_json(F.sort_array(F.collect_list(F.struct("column", "type")))).alias("types"))
+    elif file_format == "csv":
+        types = _headers(files)
+    else:
+        types = files.select("path", F.lit("").alias("types"))
     groups: dict[str, list[str]] = {}
-    for row in types.toLocalIterator():
+    for row in types.toLocalIterator():  # at most the files of one batch
         groups.setdefault(row.types, []).append(row.path)
     return list(groups.values())
 
 
-def _with_new_columns(known: T.StructType, parts: Sequence[DataFrame]) -> T.StructType:
+def _read_as_written(spark: SparkSession, paths: Sequence[str], reading: Reading) -> DataFrame:
+    """Files of one group; of text formats every plain value as text."""
+    reader = spark.read.format(reading.format).options(**reading.all_options)
+    if reading.format == "json":
+        reader = reader.option("primitivesAsString", "true")
+    elif reading.format == "csv":
+        reader = reader.option("inferSchema", "false")
+    return reader.load(list(paths))
+
+
+def _inferred(spark: SparkSession, paths: Sequence[str], reading: Reading) -> T.StructType:
+    """What the columns of a group of files look like, for columns that no earlier file had."""
+    return infer_schema(spark, list(paths), reading.format, reading.all_options) or T.StructType([])
+
+
+def _with_new_columns(known: T.StructType, parts: Sequence[T.StructType]) -> T.StructType:
     """``known`` and every column it lacks, typed as in the first part that has it."""
     fields = {f.name.lower(): f for f in known.fields}
     for part in parts:
-        for field in part.schema.fields:
+        for field in part.fields:
             fields.setdefault(field.name.lower(), T.StructField(field.name, field.dataType, True))
     return T.StructType(list(fields.values()))
 
 
-def conforming_rows(files: DataFrame, known: T.StructType,
-                    lineage: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, T.StructType] | None:
+def conforming_rows(files: DataFrame, known: T.StructType, lineage: Callable[[DataFrame], DataFrame],
+                    reading: Reading = Reading()) -> tuple[DataFrame, T.StructType] | None:
     """Rows of the listed files in one schema with a rescue column, and that schema.
 
     ``lineage`` adds columns whose names start with ``_`` while the rows are still bound to
     their files.
     """
     spark = files.sparkSession
-    parts = [spark.read.parquet(*paths) for paths in files_by_types(files)]
-    if not parts:
+    groups = files_by_types(files, reading.format)
+    if not groups:
         return None
-    schema = _with_new_columns(known, parts)
+    parts = [_read_as_written(spark, paths, reading) for paths in groups]
+    names = {f.name.lower() for f in known.fields}
+    schema = known
+    if reading.evolve or not names:
+        schema = _with_new_columns(known, [
+            part.schema if reading.format == "parquet" else _inferred(spark, paths, reading)
+            for paths, part in zip(groups, parts) if {c.lower() for c in part.columns} - names])
     rows = [rescue_types(lineage(part), schema) for part in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows), schema
 
 
 def rescue_stream(spark: SparkSession, path: str, table: str, checkpoint: str, log: SchemaLog,
                   lineage: Callable[[DataFrame], DataFrame], renames: Mapping[str, str] | None = None,
-                  every: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
-    """Start appending all Parquet files below ``path`` to ``table``, misfits rescued.
+                  every: str | None = None, reading: Reading = Reading(),
+                  name_glob: str | None = None) -> StreamingQuery:
+    """Start appending all files below ``path`` (or those whose name matches) to ``table``, misfits rescued.
 
     The first batch of a run may repeat one whose append finished just before a crash, so it
     leaves out files the table already names; later batches are new for certain.
     """
-    paths = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
-             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-             .option("maxFilesPerTrigger", str(files_per_batch)).load(path)
-             .select("path", F.col("_metadata.file_path").alias("file_path")))
+    if reading.format not in ("parquet", "csv", "json"):
+        raise ValueError(f"values of {reading.format} files can't be rescued")
+    source = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
+              .option("recursiveFileLookup", "true").option("maxFileAge", NEVER)
+              .option("maxFilesPerTrigger", str(reading.files_per_batch)))
+    if name_glob:
+        source = source.option("pathGlobFilter", name_glob)
+    paths = source.load(path).select("path", F.col("_metadata.file_path").alias("file_path"))
     state = {"first": True}
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
@@ -81,7 +133,7 @@ def rescue_stream(spark: SparkSession, path: str, table: str, checkpoint: str, l
             batch = batch.join(seen.distinct(), "file_path", "left_anti")
         state["first"] = False
         known = log.latest()
-        found = conforming_rows(batch, known or T.StructType([]), lineage)
+        found = conforming_rows(batch, known or T.StructType([]), lineage, reading)
         if found is None:
             return
         rows, schema = found
@@ -93,4 +145,3 @@ def rescue_stream(spark: SparkSession, path: str, table: str, checkpoint: str, l
     writer = paths.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
-

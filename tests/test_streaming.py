@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltworks.config import LandingConfig
+from siltworks.config import Landing, Reading
 from siltworks.operators.changes import current_rows
 from siltworks.plans import air_quality, change_bronze, shared_landing
 from siltworks.plans.datasets import DatasetMap
-from siltworks.sources.files import list_files
+from siltworks.sources.files import arrow_location, list_files
 from siltworks.sources.schemas import SchemaLog, conflicting_files, remembered_schema, widen
 from siltworks.streaming.fanout import drain_all, finished
 from siltworks.streaming.landing import append_stream, file_stream, partition_stream
@@ -26,7 +26,7 @@ def land(spark, rows, schema, path):
 
 @pytest.fixture
 def config(scratch, schema):
-    return LandingConfig(scratch("root"), "shop", schema, checkpoint_base=scratch("checkpoint"))
+    return Landing(scratch("root"), "shop", schema, state=scratch("checkpoint"))
 
 
 def raise_any(outcomes):
@@ -36,10 +36,10 @@ def raise_any(outcomes):
 
 
 def test_two_waves_with_an_added_column(spark, config):
-    root = config.source_path
+    root = config.folder
     land(spark, [("I", 1, "a"), ("I", 2, "b")], "Op string, id int, nm string", f"{root}/people/2024/01/01")
     raise_any(change_bronze.run(spark, config))
-    bronze = config.bronze_table("people")
+    bronze = config.layout("people").bronze
     assert spark.table(bronze).count() == 2
     raise_any(change_bronze.run(spark, config))
     assert spark.table(bronze).count() == 2  # nothing new
@@ -55,18 +55,18 @@ def test_two_waves_with_an_added_column(spark, config):
 
 
 def test_file_order_sequences_changes(spark, config):
-    config = dataclasses.replace(config, keep_row_order=True)
+    config = dataclasses.replace(config, row_order=True)
     changes = [("I", 1, "a"), ("U", 1, "b"), ("U", 1, "c"), ("I", 2, "x"), ("D", 2, "x")]
-    land(spark, changes[:2], "Op string, id int, nm string", f"{config.source_path}/t/2024/01/01")
-    land(spark, changes[2:], "Op string, id int, nm string", f"{config.source_path}/t/2024/01/02")
+    land(spark, changes[:2], "Op string, id int, nm string", f"{config.folder}/t/2024/01/01")
+    land(spark, changes[2:], "Op string, id int, nm string", f"{config.folder}/t/2024/01/02")
     raise_any(change_bronze.run(spark, config))
-    log = spark.table(config.bronze_table("t"))
+    log = spark.table(config.layout("t").bronze)
     state = current_rows(log, ["id"], change_bronze.FILE_ORDER)
     assert [(r.id, r.nm) for r in state.collect()] == [(1, "c")]
 
 
 def test_bad_tables_do_not_stop_a_good_one(spark, config):
-    root = config.source_path
+    root = config.folder
     land(spark, [("I", 1)], "Op string, id int", f"{root}/good/1")
     land(spark, [(1,)], "id int", f"{root}/no_op/1")
     land(spark, [("I", 1)], "Op string, id int", f"{root}/clash/1")
@@ -81,18 +81,18 @@ def test_bad_tables_do_not_stop_a_good_one(spark, config):
 
 
 def test_type_change_of_a_later_wave_is_an_error(spark, config):
-    root = config.source_path
+    root = config.folder
     land(spark, [("I", 1)], "Op string, id int", f"{root}/t/1")
     raise_any(change_bronze.run(spark, config))
     land(spark, [("I", "x")], "Op string, id string", f"{root}/t/2")
     outcome = change_bronze.run(spark, config)["t"]
     assert "files disagree on column types" in str(outcome) and "/t/2/" in str(outcome)
-    assert spark.table(config.bronze_table("t")).count() == 1
+    assert spark.table(config.layout("t").bronze).count() == 1
 
 
 def test_misfits_are_rescued_by_a_stream(spark, config):
-    config = dataclasses.replace(config, rescue=True)
-    root, bronze = f"{config.source_path}/t", config.bronze_table("t")
+    config = dataclasses.replace(config, reading=Reading(rescue=True))
+    root, bronze = f"{config.folder}/t", config.layout("t").bronze
     land(spark, [("I", 1, 5)], "Op string, id int, qty int", f"{root}/2024/01/01")
     land(spark, [("I", 2, "6"), ("I", 3, "six")], "Op string, id int, qty string", f"{root}/2024/01/02")
     raise_any(change_bronze.run(spark, config))
@@ -111,12 +111,67 @@ def test_misfits_are_rescued_by_a_stream(spark, config):
 
 
 def test_rescue_repeats_nothing_after_a_lost_commit(spark, config):
-    config = dataclasses.replace(config, rescue=True)
-    land(spark, [("I", 1)], "Op string, id int", f"{config.source_path}/t/1")
+    config = dataclasses.replace(config, reading=Reading(rescue=True))
+    land(spark, [("I", 1)], "Op string, id int", f"{config.folder}/t/1")
     raise_any(change_bronze.run(spark, config))
-    again = dataclasses.replace(config, checkpoint_base=config.checkpoint_base + "-lost")
+    again = dataclasses.replace(config, state=config.state + "-lost")
     raise_any(change_bronze.run(spark, again))
-    assert spark.table(config.bronze_table("t")).count() == 1
+    assert spark.table(config.layout("t").bronze).count() == 1
+
+
+def test_later_runs_open_new_files_only(spark, config):
+    land(spark, [("I", 1)], "Op string, id int", f"{config.folder}/t/1")
+    raise_any(change_bronze.run(spark, config))
+    layout = config.layout("t")
+    log = SchemaLog(spark, layout.schemas)
+    listing = list_files(spark, layout.landed)
+    assert log.unread(listing).count() == 0
+    for row in listing.collect():  # an old file that can't be read any more does no harm
+        arrow_location(row.path)[0].open_output_stream(arrow_location(row.path)[1]).close()
+    land(spark, [("I", 2, "n")], "Op string, id int, nm string", f"{config.folder}/t/2")
+    found = remembered_schema(spark, log, layout.landed, "parquet", options={"recursiveFileLookup": "true"})
+    assert found.names == ["Op", "id", "nm"]
+
+
+def test_csv_changes_by_header(spark, config):
+    config = dataclasses.replace(config, reading=Reading("csv", {"sep": ";"}))
+    for day, text in (("1", "Op;id;qty\nI;1;5\n"), ("2", "qty;Op;id;note\n5.5;I;2;x\n7;D;3;\n")):
+        filesystem, name = arrow_location(f"{config.folder}/t/{day}")
+        filesystem.create_dir(name)
+        with filesystem.open_output_stream(f"{name}/a.csv") as out:
+            out.write(text.encode())
+        raise_any(change_bronze.run(spark, config))
+    rows = spark.table(config.layout("t").bronze).orderBy("id").select("_op", "id", "qty", "note", "_rescued_data").collect()
+    assert [tuple(r) for r in rows] == [("I", 1, 5, None, None), ("I", 2, None, "x", '{"qty":"5.5"}'), ("D", 3, 7, None, None)]
+    fixed = dataclasses.replace(config, row_order=True)
+    assert "position" in str(change_bronze.run(spark, fixed)["t"])
+
+
+def test_state_widens_and_is_vacuumed(spark, scratch):
+    state = ChangeState(spark, scratch(), T.StructType.fromDDL("id int, _op string, n int"), ["id"], ["n"])
+    for number in range(3):
+        extra = {2: "'late' AS added"}.get(number, "")
+        state.apply(spark.sql(f"SELECT {number % 2} AS id, 'U' AS _op, {number} AS n" + (f", {extra}" if extra else "")), number)
+        state.compact()
+    assert sorted(tuple(r) for r in state.current().collect()) == [(0, 2, "late"), (1, 1, None)]
+    assert state.vacuum() == ["base/v=1", "base/v=2", "changes/v=0", "changes/v=1", "changes/v=2"]
+    again = ChangeState(spark, state.location, T.StructType.fromDDL("id int, _op string, n int"), ["id"], ["n"])
+    assert sorted(tuple(r) for r in again.current().collect()) == [(0, 2, "late"), (1, 1, None)]
+
+
+def test_late_files_are_taken_in(spark, scratch, schema):
+    import os
+    import time
+
+    path, checkpoint = scratch(), scratch()
+    for number in range(2):
+        land(spark, [(number,)], "id int", f"{path}/p={number}")
+        if number:
+            for row in list_files(spark, f"{path}/p=1").collect():
+                os.utime(arrow_location(row.path)[1], (time.time() - 90 * 86400,) * 2)
+        stream = partition_stream(spark, path, "parquet", T.StructType().add("id", T.IntegerType()), p=[0, 1])
+        append_stream(stream, f"{schema}.late", checkpoint).awaitTermination()
+    assert spark.table(f"{schema}.late").count() == 2
 
 
 def test_absent_source_is_no_error(spark, config):
@@ -290,14 +345,12 @@ def test_declared_datasets(spark, scratch, schema):
     assert comment == ["it's raw"]
 
 
-def test_landing_config_paths():
-    config = LandingConfig("s3a://landing/cdc/mydb", "mydb", "hr_bronze", "main", "s3a://state")
-    assert config.table_path("employees") == "s3a://landing/cdc/mydb/employees/"
-    assert config.bronze_table("employees") == "main.hr_bronze.employees_raw"
-    assert config.checkpoint_path("employees") == "s3a://state/mydb/employees"
-    assert config.schema_location("employees") == "s3a://state/mydb/employees/_schema"
-    assert LandingConfig("s3a://l/cdc/mydb", "mydb", "hr").checkpoint_path("t") == "s3a://l/cdc/_checkpoints/hr/mydb/t"
-    assert LandingConfig("x", "a", "b", "c", "d", "_log").bronze_table("t") == "c.b.t_log"
+def test_landing_layout():
+    layout = Landing("s3a://landing/cdc/mydb", "mydb", "hr_bronze", "main", state="s3a://state").layout("employees")
+    assert layout == ("s3a://landing/cdc/mydb/employees/", "main.hr_bronze.employees_raw", "mydb.employees", "s3a://state/mydb/employees")
+    assert layout.schemas == "s3a://state/mydb/employees/_schema"
+    assert Landing("s3a://l/cdc/mydb/", "mydb", "hr").layout("t").state == "s3a://l/cdc/_checkpoints/hr/mydb/t"
+    assert Landing("x", "a", "b", "c", "_log").layout("t").bronze == "c.b.t_log"
     with pytest.raises(TypeError):
-        LandingConfig("only a path")
+        Landing("only a path")
     assert air_quality.PM25_BOUNDS[0].limit == 12.0 and dt.date.today().year > 2000
