@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .clean import first_per_key
-from .rank import HOT_GROUP_ROWS, with_next
+from .rank import with_next
 
 DELETE = "D"
 
@@ -33,14 +33,14 @@ def current_rows(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]
 
 
 def version_history(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[str],
-                    op: str = "_op", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                    op: str = "_op") -> DataFrame:
     """Every version of every key with ``valid_from``, ``valid_to`` and ``is_current``.
 
     A version ends where the next change of its key begins. A delete ends the version before
     it and is no version itself. The first sequence column is the validity time.
     """
     first = sequence_by[0]
-    timed = with_next(require_op(log, op), keys, list(sequence_by), {"valid_to": first}, hot_rows)
+    timed = with_next(require_op(log, op), keys, list(sequence_by), {"valid_to": first})
     last_seen = F.col("valid_to").isNull()
     return (timed.where(~F.col(op).eqNullSafe(DELETE))
             .withColumns({"valid_from": F.col(first), "is_current": last_seen})
@@ -48,10 +48,9 @@ def version_history(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
 
 
 def overlapping_versions(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
-                         valid_to: str = "valid_to",
-                         hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                         valid_to: str = "valid_to") -> DataFrame:
     """Versions that end after the next version of their key begins, or never end before it."""
     timed = with_next(history, keys, [F.col(valid_from), F.col(valid_to).asc_nulls_last()],
-                      {"_next_from": valid_from}, hot_rows)
+                      {"_next_from": valid_from})
     open_ended = F.col(valid_to).isNull() | (F.col(valid_to) > F.col("_next_from"))
     return timed.where(F.col("_next_from").isNotNull() & open_ended).drop("_next_from")

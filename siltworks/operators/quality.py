@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .changes import overlapping_versions
-from .rank import HOT_GROUP_ROWS, rolling_baseline
+from .rank import rolling_baseline
 
 RESULT_COLUMNS = ["table", "layer", "check", "metric", "threshold", "passed", "run_ts"]
 
@@ -189,12 +189,11 @@ def quarantine_rate(rules: Mapping[str, str], limit: float | None = None) -> Mea
 
 
 def version_faults(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
-                   valid_to: str = "valid_to", is_current: str = "is_current",
-                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                   valid_to: str = "valid_to", is_current: str = "is_current") -> DataFrame:
     """One row: keys with more than one current row, and versions that overlap the next."""
     several = (history.groupBy(*keys).agg(F.count_if(F.col(is_current)).alias("_current"))
                .agg(F.count_if(F.col("_current") > 1).alias("keys_with_several_current")))
-    overlaps = overlapping_versions(history, keys, valid_from, valid_to, hot_rows).agg(
+    overlaps = overlapping_versions(history, keys, valid_from, valid_to).agg(
         F.count(F.lit(1)).alias("overlapping_versions"))
     both = several.unionByName(overlaps, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns])

@@ -14,14 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage, task_slots
-from .keys import drop_renamed, renamed_keys, same_key, split_by_keys
 
 # monotonically_increasing_id keeps the partition number above bit 33, the row number below it.
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
-HOT_GROUP_ROWS = 5_000_000
-
 
 def _as_column(item: Column | str) -> Column:
     return F.col(item) if isinstance(item, str) else item
@@ -59,51 +56,39 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str) -> Da
     return _with_overall(_place(df, order), name).drop("_slice", "_placed")
 
 
-def hot_groups(df: DataFrame, by: Sequence[str],
-               min_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
-    """Groups too large for one task, or None.
-
-    A group is hot when it holds more than ``min_rows`` rows and more than two average slices.
-    At most half as many groups as slices can. That bounds the list kept here and its
-    broadcast, and keeping it spares both later uses a count of their own.
-    """
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = counts.agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
-    if sizes["largest"] is None:
-        return None
-    limit = max(min_rows, 2 * sizes["total"] // task_slots(df.sparkSession))
-    if sizes["largest"] <= limit:
-        return None
-    found = counts.where(F.col("_rows") > limit).select(*renamed_keys(by))
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
-
-
-def _position_in_group(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str],
-                       name: str) -> DataFrame:
-    """Positions inside a few huge groups: overall position less the start of the group."""
-    placed = with_position(rows, [*by, *order], "_overall")
-    starts = placed.groupBy(*by).agg(F.min("_overall").alias("_start"))
-    starts = starts.select(*renamed_keys(by), "_start")
-    joined = (placed.join(F.broadcast(starts), same_key(placed, starts, by))
-              .withColumn(name, F.col("_overall") - F.col("_start") + 1))
-    return drop_renamed(joined, by, "_overall", "_start")
-
-
 def global_rank(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """``row_number()`` over the whole table."""
     return with_position(df, order, name)
 
 
-def group_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str,
-               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """``row_number()`` per group; groups too large for one task take the range route."""
-    numbered = F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint")
-    hot = hot_groups(df, by, hot_rows)
-    if hot is None:
-        return df.withColumn(name, numbered)
-    cold_rows, hot_rows_df = split_by_keys(df, F.broadcast(hot), by)
-    return (cold_rows.withColumn(name, numbered)
-            .unionByName(_position_in_group(hot_rows_df, by, order, name)))
+def _by_group(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """Rows placed by group and order: a group's rows lie next to each other, over as many slices as
+    they need, and only a slice's first group can have begun in an earlier slice."""
+    return _place(df, [*by, *order]).withColumn("_key", F.struct(*by))
+
+
+def group_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """``row_number()`` per group, with no more of a group in one task than a slice holds.
+
+    Rows are numbered per slice and group; a slice's first group goes on counting from the slices
+    before. What is carried over is one row per slice.
+    """
+    placed = _by_group(df, by, order)
+    counts = placed.groupBy("_slice", "_key").agg(F.count(F.lit(1)).alias("_size"))
+    first = placed.groupBy("_slice").agg(F.min_by("_key", "_placed").alias("_key"))
+    ends = placed.groupBy("_slice").agg(F.max_by("_key", "_placed").alias("_key"))
+    # only a slice's last group can go on in later slices
+    tails = ends.join(counts, ["_slice", "_key"]).select("_slice", "_key", "_size")
+    both = (first.select("_slice", "_key", F.lit(0).alias("_end"), F.lit(0).cast("bigint").alias("_size"))
+            .union(tails.select("_slice", "_key", F.lit(1), "_size")))
+    ordered = Window.partitionBy("_key").orderBy("_slice", "_end").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (both.withColumn("_carried", F.coalesce(F.sum("_size").over(ordered), F.lit(0)))
+               .where("_end = 0 AND _carried > 0").select("_slice", F.col("_key").alias("_first_key"), "_carried"))
+    here = F.row_number().over(Window.partitionBy("_slice", "_key").orderBy("_placed"))
+    rows = placed.withColumn("_here", here).join(F.broadcast(carried), "_slice", "left")
+    more = F.when(F.col("_key") == F.col("_first_key"), F.col("_carried")).otherwise(0)
+    return (rows.withColumn(name, (F.col("_here") + F.coalesce(more, F.lit(0))).cast("bigint"))
+            .drop("_slice", "_placed", "_key", "_here", "_first_key", "_carried"))
 
 
 def overall_and_group_rank(df: DataFrame, order: Sequence[Column | str], overall: str,
@@ -112,41 +97,39 @@ def overall_and_group_rank(df: DataFrame, order: Sequence[Column | str], overall
 
     The slices already hold the rows in order, so a row's number in its group is its number
     among the group's rows of its slice plus the group's rows in earlier slices. No task gets
-    more of a group than one slice holds.
+    more of a group than one slice holds. Groups are compared as structs, in which NULL equals
+    NULL, so that the join needs no shuffle besides the window's.
     """
-    placed = _place(df, order)
-    counts = placed.groupBy("_slice", *by).agg(F.count(F.lit(1)).alias("_size"))
+    placed = _place(df, order).withColumn("_key", F.struct(*by))
+    counts = placed.groupBy("_slice", "_key").agg(F.count(F.lit(1)).alias("_size"))
     # Per group at most one row per slice.
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = counts.select(F.col("_slice").alias("_by__slice"), *renamed_keys(by),
-                            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_earlier"))
-    here = Window.partitionBy("_slice", *by).orderBy("_placed")
+    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select("_slice", "_key", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_earlier"))
+    here = Window.partitionBy("_slice", "_key").orderBy("_placed")
     rows = _with_overall(placed, overall).withColumn("_here", F.row_number().over(here))
-    joined = rows.join(earlier, same_key(rows, earlier, ["_slice", *by]))
-    return drop_renamed(joined.withColumn(within, F.col("_earlier") + F.col("_here")), ["_slice", *by],
-                        "_slice", "_placed", "_here", "_earlier")
+    joined = rows.join(earlier, ["_slice", "_key"])
+    return joined.withColumn(within, F.col("_earlier") + F.col("_here")).drop(
+        "_slice", "_placed", "_key", "_here", "_earlier")
 
 
 def with_next(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
-              following: Mapping[str, str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+              following: Mapping[str, str]) -> DataFrame:
     """Add ``output: column`` of the next row in the group (``lead``), NULL on the last row.
 
-    Groups too large for one task are numbered on the range route, and each row is joined to
-    the row numbered one higher; (group, number) is unique, so that join has no hot key.
+    The next row is in the same slice, or it is the first row of the next slice that has rows:
+    one row per slice, which is broadcast.
     """
-    window = Window.partitionBy(*by).orderBy(*order)
-    leads = {out: F.lead(column).over(window) for out, column in following.items()}
-    hot = hot_groups(df, by, hot_rows)
-    if hot is None:
-        return df.withColumns(leads)
-    cold_rows, hot_rows_df = split_by_keys(df, F.broadcast(hot), by)
-    # Staged, because both sides of the join below must see the same numbers.
-    numbered = stage(_position_in_group(hot_rows_df, by, order, "_nth"), "numbered")
-    later = numbered.select(*renamed_keys(by), (F.col("_nth") - 1).alias("_before_nth"),
-                            *[F.col(column).alias(out) for out, column in following.items()])
-    match = same_key(numbered, later, by) & (numbered["_nth"] == later["_before_nth"])
-    joined = drop_renamed(numbered.join(later, match, "left"), by, "_nth", "_before_nth")
-    return cold_rows.withColumns(leads).unionByName(joined)
+    placed = _by_group(df, by, order)
+    values = F.struct(*[F.col(column).alias(out) for out, column in following.items()])
+    here = F.lead(values).over(Window.partitionBy("_slice", "_key").orderBy("_placed"))
+    first = placed.groupBy("_slice").agg(F.min_by(F.struct(F.col("_key"), values.alias("_values")), "_placed").alias("_first"))
+    # One row per slice: this window and the broadcast are bounded by the slice count.
+    after = first.select("_slice", F.lead("_first").over(Window.orderBy("_slice")).alias("_after"))
+    rows = placed.withColumn("_next", here).join(F.broadcast(after), "_slice", "left")
+    beyond = F.when(F.col("_key") == F.col("_after._key"), F.col("_after._values"))
+    found = rows.withColumn("_next", F.coalesce("_next", beyond))
+    return found.withColumns({out: F.col(f"_next.{out}") for out in following}).drop(
+        "_slice", "_placed", "_key", "_next", "_after")
 
 
 def rolling_baseline(runs: DataFrame, by: Sequence[str], order: str, value: str, last: int,

@@ -18,7 +18,6 @@ from .base import Query, fresh_schema, read
 KEYS = ["o_custkey"]
 SEQUENCE = ["o_orderdate", "o_orderkey"]
 # Groups above this size take the range route already on small tables.
-HOT_ROWS = 50
 
 _LOG = """
   SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice,
@@ -69,7 +68,7 @@ def cdc_history_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History of a log with three keys, so each key holds a third of all changes."""
     log = read(spark, sf_dir, "orders").select(
         "o_orderstatus", "o_orderdate", "o_orderkey", F.lit("U").alias("_op"))
-    return version_history(log, ["o_orderstatus"], SEQUENCE, hot_rows=HOT_ROWS)
+    return version_history(log, ["o_orderstatus"], SEQUENCE)
 
 
 def cdc_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +115,8 @@ def dq_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     sound = cdc_history(spark, sf_dir)
     broken = sound.withColumns({"valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)})
     label = F.lit("sound").alias("history"), F.lit("broken").alias("history")
-    return (version_faults(sound, KEYS, hot_rows=HOT_ROWS).select(label[0], "*")
-            .unionAll(version_faults(broken, KEYS, hot_rows=HOT_ROWS).select(label[1], "*")))
+    return (version_faults(sound, KEYS).select(label[0], "*")
+            .unionAll(version_faults(broken, KEYS).select(label[1], "*")))
 
 
 QUERIES = {

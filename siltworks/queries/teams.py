@@ -13,7 +13,6 @@ from ..plans import teams
 from .base import NOW, Query, fresh_schema, nullable, read, rounded
 
 # Groups above this size take the range route already on small tables.
-HOT_ROWS = 4_000
 
 _NUMBERS = """
     CAST(20 + o_custkey % 10 AS INTEGER) AS players_used,
@@ -125,7 +124,7 @@ def line_rank_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return group_rank(lines, ["l_returnflag"],
                       [F.col("l_extendedprice").desc_nulls_last(), *lines.columns[1:5]],
-                      "flag_rank", HOT_ROWS)
+                      "flag_rank")
 
 
 def customer_rank_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:

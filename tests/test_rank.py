@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siltworks.operators.changes import overlapping_versions, version_history
-from siltworks.operators.rank import (_place, global_rank, group_rank, hot_groups,
+from siltworks.operators.rank import (_place, global_rank, group_rank,
                                       overall_and_group_rank, rolling_baseline, with_next, with_position)
 
 from .plans import plan_text
@@ -43,34 +43,42 @@ def test_both_ranks_equal_plain_windows(spark, seed):
     assert sorted(got.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 500, 10**9])
-def test_group_rank_equals_plain_window(spark, hot_rows):
-    df = sample(spark, 7)
+@pytest.mark.parametrize("rows", [0, 1, 7, 3000])
+def test_group_rank_equals_plain_window(spark, rows):
+    df = sample(spark, 7, rows)
     plain = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order())).cast("long"))
-    assert sorted(group_rank(df, ["g"], order(), "r", hot_rows).collect(), key=str) == \
+    assert sorted(group_rank(df, ["g"], order(), "r").collect(), key=str) == \
         sorted(plain.collect(), key=str)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**9])
-def test_next_row_equals_lead(spark, hot_rows):
-    df = sample(spark, 8)
+@pytest.mark.parametrize("rows", [0, 1, 7, 3000])
+def test_next_row_equals_lead(spark, rows):
+    df = sample(spark, 8, rows)
     plain = df.withColumn("n", F.lead("id").over(Window.partitionBy("g").orderBy(*order())))
-    assert sorted(with_next(df, ["g"], order(), {"n": "id"}, hot_rows).collect(), key=str) == \
+    assert sorted(with_next(df, ["g"], order(), {"n": "id"}).collect(), key=str) == \
         sorted(plain.collect(), key=str)
 
 
-def test_one_null_group_can_be_hot(spark):
+def test_one_null_group_can_fill_the_table(spark):
     df = spark.range(200).select("id", F.lit(None).cast("string").alias("g"), (-F.col("id")).alias("v"))
-    got = group_rank(df, ["g"], ["v"], "r", 1).collect()
+    got = group_rank(df, ["g"], ["v"], "r").collect()
     assert sorted((r.id, r.r) for r in got) == [(i, 200 - i) for i in range(200)]
 
 
-def test_hot_groups_are_few(spark):
-    df = sample(spark, 9)
-    assert hot_groups(df, ["g"], 10**9) is None
-    assert hot_groups(df.limit(0), ["g"]) is None
-    found = hot_groups(df, ["g"], 1)
-    assert found.count() <= 4 and "a" in [r[0] for r in found.collect()]
+def test_a_group_over_many_slices_has_no_task_of_its_own(spark):
+    """A range shuffle (staged) and one hash shuffle by slice and group; all else is one row per slice or group and slice."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = sample(spark, 9)
+        for result in (overall_and_group_rank(df, order(), "o", ["g"], "w"), group_rank(df, ["g"], order(), "r"),
+                       with_next(df, ["g"], order(), {"n": "id"})):
+            plan = plan_text(result)
+            whole = [line for line in plan.splitlines() if "Exchange hashpartitioning(_slice" in line and "_key" in line]
+            assert whole and not [line for line in plan.splitlines() if "Exchange hashpartitioning(_key" in line
+                                  and "_placed" in line]
+            assert "coalesce(g" not in plan and "isnull(g" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_rows_spread_over_slices_although_scores_tie(spark):
@@ -101,15 +109,14 @@ def test_rolling_baseline(spark):
     assert [r.base for r in got] == [None, 10.0, 15.0, 25.0, 35.0]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**9])
-def test_version_history_and_overlaps(spark, hot_rows):
+def test_version_history_and_overlaps(spark):
     log = spark.createDataFrame([(1, 1, "I"), (1, 5, "U"), (1, 9, "D"), (2, 3, "I"), (1, 12, "I")],
                                 "k int, t int, _op string")
-    history = version_history(log, ["k"], ["t"], hot_rows=hot_rows)
+    history = version_history(log, ["k"], ["t"])
     got = sorted((r.k, r.valid_from, r.valid_to, r.is_current) for r in history.collect())
     assert got == [(1, 1, 5, False), (1, 5, 9, False), (1, 12, None, True), (2, 3, None, True)]
-    assert overlapping_versions(history, ["k"], hot_rows=hot_rows).count() == 0
+    assert overlapping_versions(history, ["k"]).count() == 0
     crossed = spark.createDataFrame([(1, 1, 6), (1, 5, 9), (1, 9, None), (2, 1, None), (2, 4, None)],
                                     "k int, valid_from int, valid_to int")
-    found = overlapping_versions(crossed, ["k"], hot_rows=hot_rows).collect()
+    found = overlapping_versions(crossed, ["k"]).collect()
     assert sorted((r.k, r.valid_from) for r in found) == [(1, 1), (2, 1)]
