@@ -10,6 +10,8 @@ from siltworks.session import stage
 #: The rank file of the last stage, and the least quality score that stays.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LEAST_SCORE = quality.THRESHOLD
+#: Documents are similar if their sets of shingles of so many words share so much of their union.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +26,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of similar 3-word shingles join."""
-    return jaccard.keep_one(docs)
+    """One document of each group that links of similar shingles join."""
+    return jaccard.keep_one(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

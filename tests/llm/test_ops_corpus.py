@@ -296,7 +296,7 @@ def test_pipeline_stages(spark):
     for k, t in left:
         by[re.sub("[\x20\x09-\x0d]", "", t)].append((-len(t), k, t))
     left = sorted((min(v)[1], min(v)[2]) for v in by.values())
-    least = [eval(x) for x in brute_similar(left)]
+    least = [eval(x) for x in brute_similar(left, corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.SIMILAR_PERCENT)]
     left = [(k, t) for k, t in left if (k, k) in {(a, c) for a, _, c in least}]
     leaks = {r.doc_id for r in QUERIES["op6_decontamination"].run(spark, SF_DIR).collect()}
     bench = [r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
