@@ -143,8 +143,9 @@ def _nodes(rows: DataFrame, counts: np.ndarray, words: int, percent: int) -> Dat
     return rows.mapInArrow(run, "row_key bigint, n bigint, set_a bigint, set_b bigint, prefix array<bigint>")
 
 
-def _sets(rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Whole sets and the prefixes in the further orders of the given nodes.
+def _sets(rows: DataFrame, nodes: DataFrame, words: int, percent: int, prefixes: bool = True,
+          whole: bool = True) -> DataFrame:
+    """``node, n`` of the given nodes, with the prefixes in the further orders and with whole sets.
 
     Tasks look ids up in a bit table, so that texts need not be shuffled; the few ids that pass in
     error are left out by the joins that use the sets.
@@ -162,12 +163,14 @@ def _sets(rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFr
             p = prefix_length(len(found), percent)
             if not p:
                 continue
-            further = [_signed(found[np.argsort(mix(found ^ np.uint64(seed)), kind="stable")[:p]]) for seed in _ORDERS]
-            if sink.add((key, len(found), *further, _signed(found)), 64 + 10 * len(found)):
+            further = [_signed(found[np.argsort(mix(found ^ np.uint64(seed)), kind="stable")[:p]]) if prefixes else None
+                       for seed in _ORDERS]
+            if sink.add((key, len(found), *further, _signed(found) if whole else None), 64 + 10 * len(found)):
                 yield sink.flush()
         yield sink.flush()
 
-    return rows.mapInArrow(run, "node bigint, n bigint, second array<bigint>, third array<bigint>, tokens array<bigint>")
+    found = rows.mapInArrow(run, "node bigint, n bigint, second array<bigint>, third array<bigint>, tokens array<bigint>")
+    return found.drop(*(() if prefixes else ("second", "third")), *(() if whole else ("tokens",)))
 
 
 def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
@@ -261,17 +264,27 @@ def _possible(n: Column, place: Column, other_n: Column, other_place: Column, pe
     return (100 * least >= percent * most) & (shared * (100 + percent) >= percent * (n + other_n))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` that pass the filters of the further orders and whose sets are similar."""
-    def side(end: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
-    filters = ("second", "third")
-    passed = stage(pairs.join(side("a", *filters), "a").join(side("b", *filters), "b")
-                   .where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b"), "passed")
-    both = passed.join(side("a", "n", "tokens"), "a").join(side("b", "n", "tokens"), "b")
+
+def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` that pass the filters of the further orders and whose sets are similar.
+
+    Only prefixes are shuffled for all pairs; whole sets follow for those that pass.
+    """
+    def both(sets: DataFrame, left: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            own = sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in sets.columns if c != "node"))
+            left = left.join(own, end)
+        return left
+
+    prefixes = stage(_sets(rows, _ends(pairs), words, percent, whole=False).drop("n"), "prefixes")
+    passed = stage(both(prefixes, pairs).where(
+        F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b"), "passed")
+    sets = stage(_sets(rows, _ends(passed), words, percent, prefixes=False), "sets")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    return both.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+    return both(sets, passed).where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
 
 def groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3,
@@ -302,12 +315,8 @@ def groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return near.where((F.col("node") != other["node"]) & _possible(
             F.col("n"), F.col("place"), other["n"], other["place"], percent)).select(*ordered("node", f"{end}.node"))
 
-    def ends_of(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-
     stars = stage(star("least").union(star("most")).distinct(), "pairs")
-    sets = stage(_sets(rows, ends_of(stars), words, percent), "sets")
-    links = stage(_verified(stars, sets, percent).union(_same_id(known)), "links")
+    links = stage(_verified(stars, rows, words, percent).union(_same_id(known)), "links")
     joined = components(links)
 
     placed = shared.join(joined.withColumnRenamed("component", "found"), "node", "left").withColumn(
@@ -320,8 +329,8 @@ def groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         (F.col("node") < F.col("node_b")) & (F.col("part") != F.col("part_b"))
         & _possible(F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"), percent))
         .select(*ordered("node", "node_b")).distinct().join(stars, ["a", "b"], "left_anti"), "rest")
-    more_sets = stage(_sets(rows, ends_of(rest).union(many.select("node")), words, percent), "sets")
-    more = _verified(rest, more_sets, percent).union(_block_links(many, more_sets, percent))
+    dense = stage(_sets(rows, many.select("node"), words, percent), "sets")
+    more = _verified(rest, rows, words, percent).union(_block_links(many, dense, percent))
     whole = components(links.union(more))
 
     classes = filled.groupBy("set_a", "set_b").agg(F.min("row_key").alias("node"))
