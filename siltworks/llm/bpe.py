@@ -34,8 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import Sink, per_process, rows_of, whole_text
 
-MAX_STATES = 100_000
-MAX_PIECES = 120_000
+MAX_STATES = 60_000
+MAX_PIECES = 100_000
 ONCE = 64
 _BLOCK = 1 << 18
 
@@ -181,7 +181,7 @@ class Transducer:
         key = left << 20 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 400_000:
+            if len(self.pairs) > 300_000:
                 self.pairs.clear()
             known = self.pairs[key] = self._apart(left, right) if self.plain else [
                 self.ranks[x] for x in self._merge(self.bytes_of[left] + self.bytes_of[right])] == [left, right]
@@ -331,7 +331,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states or len(self.met) > 4 * self.max_states:
+        if len(self.states) > self.max_states or len(self.met) > 3 * self.max_states:
             self._reset()
         state, out, moves = 0, [], self.moves
         for at, byte in enumerate(piece):
@@ -377,6 +377,12 @@ class Encoder:
             self.young[piece] = packed
         return packed
 
+    def forget(self) -> None:
+        """Drop what was learnt from texts: an idle worker keeps the vocabulary only."""
+        self.young, self.old = {}, {}
+        self.machine.pairs.clear()
+        self.machine._reset()
+
     def encode(self, text: str) -> bytes:
         out = []
         for block in blocks(text):
@@ -417,7 +423,7 @@ class Utf8Stream:
 
 
 def _encoder(path: str) -> Encoder:
-    """One encoder a worker process: what it has learnt serves later tasks."""
+    """One encoder a worker process: its vocabulary serves later tasks."""
     def make() -> Encoder:
         encoder = Encoder(read_ranks(path))
         gc.freeze()  # the vocabulary stays, so the collector need not look at it again
@@ -441,6 +447,7 @@ def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_colum
             if sink.add((key, len(packed) // 4, packed), len(packed)):
                 yield sink.flush()
         yield sink.flush()
+        encoder.forget()
 
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     return rows.mapInArrow(run, "row_key bigint, n_tokens bigint, ids binary").withColumnRenamed("row_key", id_column)
