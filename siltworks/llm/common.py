@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A task hands results on when it holds this many bytes or rows of them.
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 FLUSH_ROWS = 4096
 
 

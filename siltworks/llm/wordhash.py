@@ -14,7 +14,7 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
