@@ -3,9 +3,9 @@
 Method. A text's words and runs of marks are hashed; single ones and neighbouring pairs, and a sign
 for a word that repeats the one before, are counted in 2**18 places. The value of a place is the
 square root of its count, and a text's values have a fixed length. Training takes a bounded sample
-of labelled rows: each shard's task runs FTRL-Proximal (per-coordinate steps, L1 and L2) over its
-rows in a fixed order for some epochs, and the shards' weights are averaged. A score is the sigmoid
-of a sparse dot product.
+of labelled rows: for each shard FTRL-Proximal (per-coordinate steps, L1 and L2) runs over its rows
+in a fixed order for some epochs, whichever shards share a task, and the models' weights are
+averaged. A score is the sigmoid of a sparse dot product.
 
 Bounds. ``max_examples`` labelled rows at most, in expectation, chosen by a hash of the id;
 ``2**bits`` weights, which the driver holds and sends to tasks whatever the size of the data.
@@ -20,6 +20,7 @@ whole, a block at a time.
 from __future__ import annotations
 
 import math
+from itertools import groupby
 from typing import Iterator, NamedTuple
 
 import numpy as np
@@ -103,6 +104,7 @@ def remainder(id_column: str) -> Column:
 _EXAMPLE = pa.schema([("shard", pa.int32()), ("turn", pa.int64()), ("label", pa.int32()),
                       ("places", pa.binary()), ("amounts", pa.binary())])
 _WEIGHT = pa.schema([("place", pa.int64()), ("weight", pa.float64())])
+_MODELS = -1  # the place at which each model adds a one
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -130,22 +132,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         yield sink.flush()
 
     def train(batches):
-        model, kept = Ftrl(1 << bits, steps), []
-        for _, _, label, places, amounts in rows_of(batches):
-            kept.append((np.frombuffer(places, np.int64), np.frombuffer(amounts), label))
-        for _ in range(steps.epochs):
-            for places, amounts, label in kept:
-                model.learn(places, amounts, label)
-        weights = model.weights()
-        at = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weights[at])], schema=_WEIGHT)
+        for _, shard in groupby(rows_of(batches), key=lambda row: row[0]):  # a task may hold several shards
+            model = Ftrl(1 << bits, steps)
+            kept = [(np.frombuffer(places, np.int64), np.frombuffer(amounts), label) for _, _, label, places, amounts in shard]
+            for _ in range(steps.epochs):
+                for places, amounts, label in kept:
+                    model.learn(places, amounts, label)
+            weights = model.weights()
+            at = np.flatnonzero(weights)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(at, _MODELS)), pa.array(np.append(weights[at], 1.0))], schema=_WEIGHT)
 
     trained = (rows.mapInArrow(examples, "shard int, turn bigint, label int, places binary, amounts binary")
                .repartition(shards, "shard").sortWithinPartitions("shard", "turn")
                .mapInArrow(train, "place bigint, weight double"))
     weights = np.zeros((1 << bits) + 1)
-    for place, total in trained.groupBy("place").agg(F.sum("weight")).collect():  # at most 2**bits + 1 rows
-        weights[place] = total / shards
+    sums = dict(trained.groupBy("place").agg(F.sum("weight")).collect())  # at most 2**bits + 2 rows
+    models = sums.pop(_MODELS, 1.0)
+    for place, total in sums.items():
+        weights[place] = total / models
     return weights
 
 

@@ -72,6 +72,26 @@ def test_quality_of_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == 6
 
 
+@pytest.mark.parametrize("shards", [2, 3, 4, 5])
+def test_weights_are_the_mean_of_the_shards_models(spark, monkeypatch, shards):
+    monkeypatch.setattr(quality, "SHARD_EXAMPLES", 40)
+    ids = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2][:40 * shards]
+    generator = random.Random(shards)
+    rows = [(k, " ".join(generator.choices("good plain words".split() if k % 3 else "bad $$$ junk".split(), k=8)), 1 if k % 3 else 0) for k in ids]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    got = quality.fit(df.select("doc_id", "text"), df.select("doc_id", "quality"), bits=10)
+    models = []
+    for shard in range(shards):
+        held = sorted((k * 0x9E3779B97F4A7C15 % (1 << 63), text.encode(), label) for k, text, label in rows if k % shards == shard)
+        model = quality.Ftrl(1 << 10, quality.Steps())
+        examples = [(*next(quality.Features(10).texts([(None, text)]))[1:], label) for _, text, label in held]
+        for _ in range(quality.Steps().epochs):
+            for example in examples:
+                model.learn(*example)
+        models.append(model.weights())
+    assert np.allclose(got, np.mean(models, axis=0)) and np.any(got)
+
+
 def test_scores_are_sparse_dot_products():
     features = quality.Features()
     text = b"one two two $$$ two"
