@@ -190,7 +190,8 @@ class Page:
 
     @staticmethod
     def _step(tag: str, attributes: dict[str, str]) -> str:
-        names = {re.sub(r"\d+", "#", name.lower()) for name in attributes.get("class", "").split()}
+        # no class holds a blank, so one stands for ">", which joins steps to paths
+        names = {re.sub(r"\d+", "#", name.lower()).replace(">", " ") for name in attributes.get("class", "").split()}
         return ".".join([tag, *sorted(names)])
 
 

@@ -123,6 +123,14 @@ def test_hosts_agree_on_a_path(spark):
     assert got[90] == "the text" and got[0].startswith("long text")
 
 
+@pytest.mark.parametrize("child", ["[&>p]:mt-4", "[&amp;&gt;p]:mt-4", "a>b>c", ">"])
+def test_classes_may_hold_the_sign_that_joins_paths(spark, child):
+    html = f'<body><div class=menu>no</div><article class="prose {child} x.y"><p>The text of {{n}}.</p></article></body>'
+    rows = [(k, "http://h/", html.replace("{n}", str(k))) for k in range(3)]
+    found = maintext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in found) == [(k, f"The text of {k}.") for k in range(3)]
+
+
 def test_no_pages_no_text(spark):
     assert maintext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
