@@ -3,7 +3,8 @@ r"""Secrets in texts: known shapes, and literals by the names that they are assi
 Method. A lexer reads source and configuration syntax into names and values: ``name = "literal"``,
 ``name := value``, ``"name": "value"``, ``name: value``, ``export NAME=value``, ``<name>value</name>``,
 with literals joined by ``+``. The values of names are remembered, so that a name assigned to
-another passes its literal on, as often as needed; a later assignment replaces an earlier one. Each
+another passes its literal on, as often as needed; a later assignment replaces an earlier one. A
+value without quotes that is no known name is a literal itself. Each
 literal gets a score: how sensitive its target's name is, how long and mixed its characters are,
 and less if it looks like a placeholder. Literals that reach ``THRESHOLD`` are reported where they
 stand, once. Besides, three shapes are found wherever they stand: assignments by a fixed list of
@@ -48,7 +49,6 @@ _LEX = re.compile(r"""
   | <(?P<tag>[A-Za-z_][A-Za-z0-9_.-]*)>(?P<body>[^<>\n]+)</(?P=tag)>
 """, re.X)
 _STRING = re.compile(r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`""")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -73,26 +73,25 @@ def shapes(text: str) -> list[Span]:
     return found
 
 
-def assignments(text: str) -> Iterator[tuple[str, Value | str]]:
-    """Names and what they are assigned: a literal, or another name."""
+def assignments(text: str) -> Iterator[tuple[str, Value, bool]]:
+    """Names, what they are assigned, and whether that may be another name, as it stands without quotes."""
     if "=" not in text and ":" not in text and "</" not in text:
         return
     for match in _LEX.finditer(text):
         if match["tag"]:
-            yield match["tag"], Value(match["body"], (match.span("body"),))
+            yield match["tag"], Value(match["body"], (match.span("body"),)), False
             continue
         first = match.start("value")
         raw = match["value"]
         strings = list(_STRING.finditer(raw))
         if strings:
             parts = [(m.lastindex, m) for m in strings]
-            yield match["name"], Value("".join(m[k] for k, m in parts), tuple((first + m.start(k), first + m.end(k)) for k, m in parts))
-        elif _NAME.match(raw) and not any(c.isdigit() for c in raw):
-            yield match["name"], raw
+            places = tuple((first + m.start(k), first + m.end(k)) for k, m in parts)
+            yield match["name"], Value("".join(m[k] for k, m in parts), places), False
         else:
             raw = raw.rstrip(".,:")
             if raw:
-                yield match["name"], Value(raw, ((first, first + len(raw)),))
+                yield match["name"], Value(raw, ((first, first + len(raw)),)), True
 
 
 def sensitivity(name: str) -> float:
@@ -120,11 +119,9 @@ def named(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """The spans of literals that reach sensitive names, straight or by other names."""
     known: dict[str, Value] = {}
     found: set[Span] = set()
-    for name, value in assignments(text):
-        if isinstance(value, str):
-            value = known.get(value)
-            if value is None:
-                continue
+    for name, value, bare in assignments(text):
+        if bare:
+            value = known.get(value.text, value)
         known[name] = value
         weight = sensitivity(name)
         if weight and weight * strength(value.text) >= threshold:

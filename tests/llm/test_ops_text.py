@@ -238,6 +238,14 @@ def test_literals_reach_sensitive_names(text, literals):
     assert [text[s.start:s.end] for s in secrets.named(text)] == literals
 
 
+@pytest.mark.parametrize("text, literals", [
+    ("passphrase: correcthorsebatterystaple", ["correcthorsebatterystaple"]), ("pwd=SuperSecretLetters", ["SuperSecretLetters"]),
+    ("private_key=abcdefghijklmnop.", ["abcdefghijklmnop"]), ('DB_PASS_V2 = "s3cr3tV4lue99"\npassword = DB_PASS_V2', ["s3cr3tV4lue99"]),
+    ('a1 = "s3cr3tV4lue99"\nb-2 = a1\npassword: b-2', ["s3cr3tV4lue99"]), ('plain_V2 = "no"\npassword = plain_V2', [])])
+def test_values_without_quotes_are_names_or_literals(text, literals):
+    assert [text[s.start:s.end] for s in secrets.named(text)] == literals
+
+
 # --- byte-level BPE ---------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
