@@ -8,6 +8,12 @@ first ``m - a + 1`` words. For blocks with such a word, the length filter asks f
 all and the positional filter for enough words after the first shared one in both orders; what
 passes is verified by counting the shared words. Templates are a bounded list that tasks hold.
 
+Notices may be wrapped. The paragraphs of a document, which lines without words part, are put through
+the same filters. A paragraph holds a wrapped template if it has the same share of the template's words
+(each counted where it first stands) in the template's order, over at least two lines, and with so few
+other words between that they are within ``100 / percent`` times the template's length. A paragraph's
+words alone don't count: long ones hold those of short templates anywhere.
+
 Phrases are words that stand consecutively, and are counted wherever they stand.
 
 Defined cases: null text counts as empty and has no words, places or labels; repeated rows each
@@ -101,6 +107,7 @@ class Templates:
         blocks = Blocks()
         self.rank = {w: k for k, w in enumerate(sorted(frequencies, key=lambda w: (frequencies[w], w)))}
         self.sets, self.labels, self.least = [], [], []
+        self.orders, self.rooms = [], []
         self.index: dict[int, list[tuple[int, int]]] = {}
         for number, (label, text) in enumerate(templates):
             ordered = sorted(set(blocks.words(text)), key=self.rank.__getitem__)
@@ -108,6 +115,9 @@ class Templates:
             self.sets.append(ordered)
             self.labels.append(label)
             self.least.append(least)
+            spoken = blocks.words(text)
+            self.orders.append({word: place for place, word in enumerate(dict.fromkeys(spoken))})
+            self.rooms.append(len(spoken) * 100 // percent)
             for place, word in enumerate(ordered[:len(ordered) - least + 1]):
                 self.index.setdefault(word, []).append((number, place))
         self.first = np.array(sorted(self.index), np.uint64)
@@ -134,6 +144,40 @@ class Templates:
                         out.append((line, number, shared / len(template)))
         return out
 
+    def wrapped(self, hashes: np.ndarray, lines: np.ndarray) -> list[tuple[int, int, float]]:
+        """First line, template number and containment of notices that stand on several lines, once for each paragraph."""
+        if not len(lines) or lines[0] == lines[-1]:
+            return []
+        paragraphs = np.concatenate(([0], np.cumsum(np.diff(lines) > 1)))
+        out = []
+        for paragraph, number, _ in self.matches(hashes, paragraphs):
+            first, last = np.searchsorted(paragraphs, (paragraph, paragraph + 1))
+            if lines[first] != lines[last - 1]:
+                count, line = self._in_order(hashes[first:last], lines[first:last], number)
+                if count >= self.least[number]:
+                    out.append((line, number, count / len(self.sets[number])))
+        return out
+
+    def _in_order(self, words: np.ndarray, lines: np.ndarray, number: int) -> tuple[int, int]:
+        """The most words of a template that stand in its order over several lines, and the line of the first."""
+        order, least, room = self.orders[number], self.least[number], self.rooms[number]
+        at = np.flatnonzero(_among(words, np.array(sorted(order), np.uint64)))
+        turns = [order[word] for word in words[at].tolist()]
+        ends = np.searchsorted(at, at + room)
+        lines = lines[at]
+        starts = np.flatnonzero((ends - np.arange(len(at)) >= least) & (lines != lines[ends - 1]) & (np.array(turns) <= len(order) - least))
+        best, best_line = 0, -1
+        for start in starts.tolist():
+            if len(order) - turns[start] <= best:
+                continue
+            longest = {start: 1}  # chains from the start word, by their last word
+            for k in range(start + 1, int(ends[start])):
+                if turns[k] > turns[start]:
+                    longest[k] = 1 + max(n for j, n in longest.items() if turns[j] < turns[k])
+                    if longest[k] > best and lines[k] != lines[start]:
+                        best, best_line = longest[k], int(lines[start])
+        return best, best_line
+
 
 def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known):
@@ -166,7 +210,7 @@ def scan(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
          percent: int = PERCENT) -> DataFrame:
     """``<id>, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks`` of every row.
 
-    ``blocks`` are the pairs of line and template with their containment, ``score`` is the highest
+    ``blocks`` are the pairs of line (of wrapped notices, the first) and template with their containment, ``score`` is the highest
     containment, and 1 where a phrase stands.
     """
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
@@ -188,7 +232,7 @@ def _scan(rows: DataFrame, templates, phrases, percent: int, frequencies: dict[i
             base = {label for _, label in found}
             first = min((int(p[0]) for p, _ in found), default=None)
             last = max((int(p[-1]) for p, _ in found), default=None)
-            pairs = index.matches(hashes, lines)
+            pairs = index.matches(hashes, lines) + index.wrapped(hashes, lines)
             labels = base | {index.labels[number] for _, number, _ in pairs}
             score = 1.0 if base else max((c for _, _, c in pairs), default=0.0)
             row = (key, len(hashes), sum(len(p) for p, _ in found), first, last, ",".join(sorted(base)), ",".join(sorted(labels)),

@@ -8,6 +8,7 @@ import hashlib
 import json
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -204,6 +205,22 @@ def test_license_join_finds_all_blocks(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "REM "])
+@pytest.mark.parametrize("width", [30, 60, 80])
+def test_wrapped_notices_are_found(spark, mark, width):
+    templates = [(k, label, text) for k, (label, text) in enumerate(licenses.TEMPLATES) if len(text) > 50]
+    around = [f"{mark}Copyright 2020 by us.", mark.rstrip()]
+    texts = ["\n".join(["/*", *around, *(mark + line for line in textwrap.wrap(text, width)), mark.rstrip(), "int x;"]) for _, _, text in templates]
+    # the same words on many lines, but not as a notice
+    texts += ["\n".join(f"{w} and so on with other things" for w in text.split()) for _, _, text in templates]
+    texts += ["\n".join(reversed(text.split())) for _, _, text in templates]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    for (number, label, _), row in zip(templates, rows):
+        assert label in row.labels.split(",") and row.score == 1.0
+        assert [b.line for b in row.blocks if b.template == number][-1] == 3
+    assert not [b for row in rows[len(templates):] for b in row.blocks]
+
+
 # --- secrets ----------------------------------------------------------------------------
 
 def brute_shapes(text: str) -> list[tuple[int, int, str]]:
