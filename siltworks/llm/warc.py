@@ -8,8 +8,12 @@ writes the files, so they are as safe as any table it writes and can go to any s
 Reading. Every archive is read as a stream by one task, a record in memory at a time; archives that
 :func:`write` makes are as large as a partition. A record passes if its version line, headers and
 length are right, the block ends in two line ends, and its digests agree. After a failed check the
-reader searches for the next version line (in gzip archives: the next member) with which a whole
-record passes, goes on there, and reports the bytes between as a quarantined gap.
+reader searches for the next version line with which a whole record passes, goes on there, and
+reports the bytes between as a quarantined gap. In gzip archives it does so within each member, which
+may hold any number of records; what it finds there has the start and end of the member. A member that
+is cut off or fails to inflate yields the records before that, and is reported as a gap up to the next
+member; if it failed, only records whose digests agree are taken from it, as damage can inflate to
+wrong bytes.
 
 Defined cases: null payloads are empty; rows without id are always responses; among rows that share
 the largest id of their payload each is a response; repeated rows each give a record; empty tables
@@ -36,6 +40,8 @@ from .common import Sink, rows_of
 MAX_RECORD = 1 << 30
 MAX_HEADER = 1 << 16
 _CHUNK = 1 << 20
+_STEP = 1 << 14
+_HELD = 1 << 25
 _VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 
@@ -135,6 +141,12 @@ def _failure(record: Record) -> str | None:
     return None
 
 
+def _verified(record: Record) -> bool:
+    """Whether a record that passed has a digest which says so."""
+    fields = ["warc-block-digest"] + ["warc-payload-digest"] * (record.headers.get("warc-type") in ("response", "resource"))
+    return any(record.headers.get(f, "").lower().startswith("sha1:") for f in fields)
+
+
 class Salvage:
     """Records and gaps of one archive, from a file that can seek."""
 
@@ -143,25 +155,66 @@ class Salvage:
 
     def read(self) -> Iterator[tuple[int, int, Record | str]]:
         """Start, end, and the record there or the reason of a gap."""
+        if self._bytes(0, 3) == _MEMBER:
+            yield from self._read_members()
+            return
         gap, reason, at = -1, "", 0
-        gzip = self._bytes(0, 3) == _MEMBER
         while at < self.size:
-            found = self._member(at) if gzip else self._record(at)
+            self._forget(at)
+            found = self._record(at)
             if isinstance(found, str):
                 if gap < 0:
                     gap, reason = at, found
-                at = self._next(at + 1, gzip)
+                at = self._next(at + 1, False)
                 continue
             if gap >= 0:
                 yield gap, at, reason
                 gap = -1
-            end, records = found
-            for record in records:
-                yield at, end, record
+            end, record = found
+            yield at, end, record
             at = end
         if gap >= 0:
             yield gap, self.size, reason
 
+    def _read_members(self) -> Iterator[tuple[int, int, Record | str]]:
+        """As :meth:`read`, for gzip; what lies within a member has the member's start and end."""
+        gap, reason, at = -1, "", 0
+        while at < self.size:
+            self._forget(at)
+            member = _Member(self, at)
+            inner = Salvage(*member.content())
+            failure, good, bad = member.failure, False, ""
+            for _, stop, found in inner.read():
+                if not isinstance(found, str) and failure == "gzip member" and not _verified(found):
+                    found = failure  # damaged bytes can inflate to wrong ones
+                if isinstance(found, str):
+                    if not good:
+                        bad = bad or found
+                    elif not (failure and (found == failure or stop == inner.size)):  # else told by the member's gap
+                        yield at, member.end, found
+                    continue
+                if gap >= 0:
+                    yield gap, at, reason
+                    gap = -1
+                if bad and not good and bad != failure:
+                    yield at, member.end, bad
+                good = True
+                yield at, member.end, found
+            if failure or bad and not good:
+                if gap < 0:
+                    gap, reason = at, failure or bad
+            elif gap >= 0:
+                yield gap, at, reason
+                gap = -1
+            at = self._next(at + 1, True) if failure else member.end
+        if gap >= 0:
+            yield gap, self.size, reason
+
+    def _forget(self, at: int) -> None:
+        """Nothing before ``at`` will be read again."""
+        if isinstance(self.source, _Window):
+            self.source.forget(at)
+
     def _bytes(self, at: int, count: int) -> bytes:
         self.source.seek(at)
         return self.source.read(max(0, min(count, self.size - at)))
@@ -169,6 +222,7 @@ class Salvage:
     def _next(self, at: int, gzip: bool) -> int:
         """Where the next version line or member begins that is at least spelled right."""
         while at < self.size:
+            self._forget(at)
             chunk = self._bytes(at, _CHUNK)
             if gzip:
                 found = chunk.find(_MEMBER)
@@ -182,7 +236,7 @@ class Salvage:
                 break
         return self.size
 
-    def _record(self, at: int) -> tuple[int, list[Record]] | str:
+    def _record(self, at: int) -> tuple[int, Record] | str:
         head = self._bytes(at, 4096)
         if not _VERSION.match(head):
             return "version line"
@@ -205,27 +259,81 @@ class Salvage:
         if data[-4:] != b"\r\n\r\n":
             return "record end"
         record = Record(headers, data[:-4])
-        return _failure(record) or (end + 4, [record])
-
-    def _member(self, at: int) -> tuple[int, list[Record]] | str:
-        inflate, parts, size, place = zlib.decompressobj(31), [], 0, at
-        try:
-            while not inflate.eof:
-                chunk = self._bytes(place, _CHUNK)
-                if not chunk:
-                    return "truncated"
-                place += len(chunk)
-                parts.append(inflate.decompress(chunk, MAX_RECORD))
-                size += len(parts[-1])
-                if size > MAX_RECORD or inflate.unconsumed_tail:
-                    return "length"
-        except zlib.error:
-            return "gzip member"
-        content = b"".join(parts)
-        inner = Salvage(pa.BufferReader(content), len(content))
-        found = [x for _, _, x in inner.read()]
-        bad = next((x for x in found if isinstance(x, str)), None)
-        return bad or (place - len(inflate.unused_data), found)
+        return _failure(record) or (end + 4, record)
+
+
+class _Member:
+    """A gzip member, inflated as a stream up to its end or to where it fails."""
+
+    def __init__(self, archive: Salvage, at: int):
+        self.archive, self.at, self.end, self.failure = archive, at, at, None
+
+    def content(self) -> tuple:
+        """A source of what can be inflated, and its size; long contents are inflated a second time while they are read."""
+        kept, size = [], 0
+        for piece in self.pieces():
+            size += len(piece)
+            if size <= _HELD:
+                kept.append(piece)
+            else:
+                kept.clear()
+        return (pa.BufferReader(b"".join(kept)) if size <= _HELD else _Window(self.pieces())), size
+
+    def pieces(self) -> Iterator[bytes]:
+        inflate, place = zlib.decompressobj(31), self.at
+        while True:
+            chunk = self.archive._bytes(place, _CHUNK)
+            if not chunk:
+                self.end, self.failure = place, "truncated"
+                return
+            for start in range(0, len(chunk), _STEP):
+                part = chunk[start:start + _STEP]
+                before = inflate.copy()
+                try:
+                    piece = inflate.decompress(part)
+                except zlib.error:
+                    yield from self._rest(before, part, place + start)
+                    return
+                if piece:
+                    yield piece
+                if inflate.eof:
+                    self.end = place + start + len(part) - len(inflate.unused_data)
+                    return
+            place += len(chunk)
+
+    def _rest(self, inflate, part: bytes, place: int) -> Iterator[bytes]:
+        """What comes before the byte at which inflating fails."""
+        for k in range(len(part)):
+            self.end, self.failure = place + k, "gzip member"
+            try:
+                piece = inflate.decompress(part[k:k + 1])
+            except zlib.error:
+                return
+            if piece:
+                yield piece
+
+
+class _Window:
+    """A source over pieces, which keeps what has not been forgotten."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.first, self.at = pieces, bytearray(), 0, 0
+
+    def forget(self, at: int) -> None:
+        self._fill(at)
+        del self.held[:at - self.first]
+        self.first = max(self.first, at)
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, count: int) -> bytes:
+        self._fill(self.at + count)
+        return bytes(self.held[self.at - self.first:self.at - self.first + count])
+
+    def _fill(self, end: int) -> None:
+        while self.first + len(self.held) < end and (piece := next(self.pieces, None)) is not None:
+            self.held += piece
 
 
 _ROW = pa.schema([("archive", pa.string()), ("first_byte", pa.int64()), ("end_byte", pa.int64()), ("gap", pa.string()),

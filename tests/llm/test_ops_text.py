@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import json
 import random
 import re
@@ -95,6 +96,47 @@ def test_changed_payload_fails_its_digest(spark, scratch):
     assert [(r.gap, r.record_id) for r in rows] == [("payload digest", None), (None, "<1>")]
 
 
+def digested(number: int, body: bytes) -> bytes:
+    digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    return record(number, body).replace(b"\r\nContent-Length", f"\r\nWARC-Block-Digest: sha1:{digest}\r\nContent-Length".encode())
+
+
+def salvaged(data: bytes) -> tuple[list[str], list[str]]:
+    """Ids of the records and reasons of the gaps."""
+    found = [x for _, _, x in warc.Salvage(io.BytesIO(data), len(data)).read()]
+    return [x.headers["warc-record-id"] for x in found if not isinstance(x, str)], [x for x in found if isinstance(x, str)]
+
+
+@pytest.mark.parametrize("held", [warc.__dict__.get("_HELD", 0), 1000])
+def test_members_of_many_records(monkeypatch, held):
+    monkeypatch.setattr(warc, "_HELD", held, raising=False)
+    noise = random.Random(1)
+    parts = [digested(k, noise.randbytes(20_000)) for k in range(20)]
+    names = [f"<{k}>" for k in range(20)]
+    assert salvaged(gzip.compress(b"".join(parts))) == (names, [])
+    damaged = [*parts[:7], parts[7][:-3000], *parts[8:], record(20, b"q", 10**12)]
+    assert salvaged(gzip.compress(b"".join(damaged)))[0] == names[:7] + names[8:]
+    assert len(salvaged(gzip.compress(b"".join(damaged)))[1]) == 2
+    assert salvaged(gzip.compress(parts[0][:-9] + parts[1])) == (["<1>"], ["record end"])
+    whole = gzip.compress(b"".join(parts))
+    assert salvaged(whole[:len(whole) // 2]) == (names[:9], ["truncated"])
+    broken = whole[:len(whole) // 2] + bytes(200) + whole[len(whole) // 2 + 200:]
+    ids, gaps = salvaged(broken + gzip.compress(record(30)))
+    assert ids[:9] == names[:9] and ids[-1] == "<30>" and gaps
+
+
+def test_records_and_not_members_have_a_bound(monkeypatch):
+    monkeypatch.setattr(warc, "MAX_RECORD", 5000)
+    data = gzip.compress(b"".join(record(k, b"x" * 4000) for k in range(5)))
+    assert salvaged(data) == ([f"<{k}>" for k in range(5)], [])
+
+
+def test_damaged_records_without_digest_are_not_believed():
+    packed = gzip.compress(record(1, b"y" * 3000) + digested(2, b"z" * 3000), 0)
+    at = packed.index(b"yyy")
+    assert salvaged(packed[:at] + b"x" + packed[at + 1:]) == (["<2>"], ["gzip member"])
+
+
 # --- main text --------------------------------------------------------------------------
 
 PAGE = """<html><body class="has-sidebar"><header class="site"><h1>Site</h1></header><div id="cookie-notice">We use cookies</div>
