@@ -18,7 +18,7 @@ wrong bytes.
 Defined cases: null payloads are empty; rows without id are always responses; among rows that share
 the largest id of their payload each is a response; repeated rows each give a record; empty tables
 give no record; further columns are ignored; control characters in addresses are percent-encoded.
-A record may have ``MAX_RECORD`` bytes; a larger length counts as damage.
+A record's block may have ``MAX_RECORD`` bytes, and so may its headers; more counts as damage.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ from ..sources.files import arrow_location, list_files
 from .common import Sink, rows_of
 
 MAX_RECORD = 1 << 30
-MAX_HEADER = 1 << 16
 _CHUNK = 1 << 20
 _STEP = 1 << 14
 _HELD = 1 << 25
@@ -104,19 +103,19 @@ class Record(NamedTuple):
 
 def _headers(raw: bytes) -> dict[str, str] | None:
     """Fields of a header block by lower-case name; None if a line is no field."""
-    out: dict[str, str] = {}
+    out: dict[str, list[str]] = {}
     last = ""
     for line in raw.split(b"\r\n"):
         text = line.decode("utf-8", "replace")
         if text[:1] in (" ", "\t") and last:
-            out[last] += " " + text.strip()
+            out[last].append(text.strip())
             continue
         name, colon, value = text.partition(":")
         if not colon or not name or name != name.strip():
             return None
         last = name.lower()
-        out.setdefault(last, value.strip())
-    return out
+        out.setdefault(last, [value.strip()])
+    return {name: " ".join(values) for name, values in out.items()}
 
 
 def payload_of(record: Record) -> tuple[dict[str, str], bytes]:
@@ -240,12 +239,15 @@ class Salvage:
         head = self._bytes(at, 4096)
         if not _VERSION.match(head):
             return "version line"
-        stop = head.find(b"\r\n\r\n")
-        if stop < 0:
-            head = self._bytes(at, MAX_HEADER)
-            stop = head.find(b"\r\n\r\n")
-            if stop < 0:
+        count = len(head)
+        while (stop := head.find(b"\r\n\r\n")) < 0:
+            if len(head) < count or count >= MAX_RECORD:
                 return "header end"
+            lines = head[:max(head.rfind(b"\r\n"), 0)].partition(b"\r\n")[2]
+            if lines and _headers(lines) is None:
+                return "header field"
+            count = min(8 * max(count, 4096), MAX_RECORD)
+            head = self._bytes(at, count)
         headers = _headers(head[:stop].partition(b"\r\n")[2])
         if headers is None:
             return "header field"

@@ -137,6 +137,15 @@ def test_damaged_records_without_digest_are_not_believed():
     assert salvaged(packed[:at] + b"x" + packed[at + 1:]) == (["<2>"], ["gzip member"])
 
 
+def test_addresses_of_any_length(spark, scratch):
+    path = scratch("warc")
+    pages = [(1, "data:," + "x" * 70_000, "same"), (2, "data:," + "y" * 3_000_000, "same"), (3, "u", "other")]
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    rows = warc.read(spark, path).collect()
+    assert sorted((r.gap, r.target_uri) for r in rows) == sorted((None, url) for _, url, _ in pages)
+    assert salvaged(b"WARC/1.0\r\nA: b\r\n" * 20_000 + record(1)) == (["<1>"], ["header field"])
+
+
 # --- main text --------------------------------------------------------------------------
 
 PAGE = """<html><body class="has-sidebar"><header class="site"><h1>Site</h1></header><div id="cookie-notice">We use cookies</div>
