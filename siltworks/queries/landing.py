@@ -248,7 +248,7 @@ def stem_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _zip_customers(spark: SparkSession, sf_dir: str) -> str:
-    """Customers as zip archives of CSV files, one archive per batch of rows."""
+    """Customers as zip archives of CSV files, two archives per batch of rows; all members have one name."""
     folder = scratch_path(spark, "archives")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,11 +258,12 @@ def _zip_customers(spark: SparkSession, sf_dir: str) -> str:
         for number, batch in enumerate(batches):
             target, base = arrow_location(folder)
             target.create_dir(base, recursive=True)
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(f"customer-{part}-{number}.csv", batch.to_csv(index=False))
-            with target.open_output_stream(f"{base}/{part}-{number}.zip") as sink:
-                sink.write(packed.getvalue())
+            for half in range(2):
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("customer.csv", batch[half::2].to_csv(index=False))
+                with target.open_output_stream(f"{base}/{part}-{number}-{half}.zip") as sink:
+                    sink.write(packed.getvalue())
             yield pd.DataFrame({"rows": [len(batch)]})
 
     read(spark, sf_dir, "customer").mapInPandas(pack, "rows bigint").agg(F.sum("rows")).first()
@@ -283,10 +284,10 @@ def archive_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members unpacked to a landing folder and read from there."""
+    """Members unpacked to a landing folder and read from there, also below folders of archives."""
     landing = scratch_path(spark, "unpacked")
     extract_members(spark, _zip_customers(spark, sf_dir), landing).agg(F.sum("bytes")).first()
-    return read_files(spark, landing, "csv", read(spark, sf_dir, "customer").schema)
+    return read_files(spark, landing, "csv", read(spark, sf_dir, "customer").schema, {"recursiveFileLookup": "true"})
 
 
 def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import arrow_location
+from .files import _qualified, arrow_location
 
 _BATCH_BYTES = 8 << 20
 MEMBER_SCHEMA = "archive string, entry string, content binary"
@@ -80,28 +80,50 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: bool = True)
     return parsed.select("archive", "entry", "r.*")
 
 
+def _parts(archive: str, entry: str) -> list[str]:
+    parts = [p for p in entry.replace("\\", "/").split("/") if p not in ("", ".")]
+    if ".." in parts:
+        raise ValueError(f"{entry} of {archive} points outside its archive")
+    return parts
+
+
 def extract_members(spark: SparkSession, path: str, landing: str,
                     name_glob: str = "*.zip") -> DataFrame:
     """Write every member to ``landing`` and return ``archive, entry, written_to, bytes``.
 
-    Runs when the result is read. Members are copied in small blocks. A member is written
+    Of members with the same path in several archives, that of the first archive in path order goes
+    to its path, and the others below the path of their archive as seen from ``path``. Runs when the
+    result is read; archives are listed first. Members are copied in small blocks. A member is written
     under a temporary name and then renamed, so a repeated task leaves one whole file.
     """
+    root = _qualified(spark, path).rstrip("/") + "/"
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for archive_path, _, info in _members(batches):
+            yield pd.DataFrame({"path": [archive_path], "entry": ["/".join(_parts(archive_path, info.filename))]})
+
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, base = arrow_location(landing)
-        for archive_path, archive, info in _members(batches):
-            parts = [p for p in info.filename.replace("\\", "/").split("/") if p not in ("", ".")]
-            if ".." in parts:
-                raise ValueError(f"{info.filename} of {archive_path} points outside its archive")
-            final = "/".join([base.rstrip("/"), *parts])
-            partial = f"{os.path.dirname(final)}/.{uuid.uuid4().hex}.part"
-            target.create_dir(os.path.dirname(final), recursive=True)
-            with archive.open(info) as source, target.open_output_stream(partial) as sink:
-                while block := source.read(_BATCH_BYTES):
-                    sink.write(block)
-            target.move(partial, final)
-            yield pd.DataFrame({"archive": [archive_path], "entry": [info.filename],
-                                "written_to": [final], "bytes": [info.file_size]})
-
-    return _archives(spark, path, name_glob).mapInPandas(
+        for batch in batches:
+            others = {p: frozenset(() if m is None else m) for p, m in zip(batch["path"], batch["moved"])}
+            for archive_path, archive, info in _members(iter([batch])):
+                parts = _parts(archive_path, info.filename)
+                if "/".join(parts) in others[archive_path]:
+                    parts = [p for p in archive_path.removeprefix(root).split("/") if p] + parts
+                final = "/".join([base.rstrip("/"), *parts])
+                partial = f"{os.path.dirname(final)}/.{uuid.uuid4().hex}.part"
+                target.create_dir(os.path.dirname(final), recursive=True)
+                with archive.open(info) as source, target.open_output_stream(partial) as sink:
+                    while block := source.read(_BATCH_BYTES):
+                        sink.write(block)
+                target.move(partial, final)
+                yield pd.DataFrame({"archive": [archive_path], "entry": [info.filename],
+                                    "written_to": [final], "bytes": [info.file_size]})
+
+    archives = _archives(spark, path, name_glob)
+    names = archives.mapInPandas(entries, "path string, entry string")
+    first = names.groupBy("entry").agg(F.min("path").alias("first"))
+    moved = (names.join(first, "entry").where("path > first")
+             .groupBy("path").agg(F.collect_set("entry").alias("moved")))
+    return archives.join(moved, "path", "left").select("path", "content", "moved").mapInPandas(
         unpack, "archive string, entry string, written_to string, bytes bigint")

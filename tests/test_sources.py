@@ -147,6 +147,20 @@ def test_archives(spark, tmp_path):
     assert sorted(p.name for p in landing.rglob("*") if p.is_file()) == ["example.txt", "two.txt"]
 
 
+def test_members_of_one_name_stay_apart(spark, tmp_path):
+    texts = {"a.zip": "one", "b.zip": "two", "sub/b.zip": "three"}
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    for name, text in texts.items():
+        with zipfile.ZipFile(tmp_path / "in" / name, "w") as archive:
+            archive.writestr("data.csv", text)
+            archive.writestr(f"only-{text}.csv", text)
+    rows = extract_members(spark, str(tmp_path / "in"), (tmp_path / "landing").as_uri()).collect()
+    files = {str(p.relative_to(tmp_path / "landing")): p.read_text() for p in (tmp_path / "landing").rglob("*.csv")}
+    assert len(rows) == len({r.written_to for r in rows}) == 6
+    assert files == {"data.csv": "one", "b.zip/data.csv": "two", "sub/b.zip/data.csv": "three",
+                     **{f"only-{text}.csv": text for text in texts.values()}}
+
+
 def test_archive_must_not_write_outside(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("../evil.txt", "x")
