@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..queries.base import Query, read
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, grace, jaccard, licenses, maintext, quality, secrets, warc
+from . import bpe, chat, decontaminate, grace, jaccard, licenses, maintext, merkle, quality, secrets, warc
 
 
 def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,6 +204,70 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def _merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, and of copies of every other one whose text has lost its line ends."""
+    docs = read(spark, sf_dir, "documents")
+    fields = {name: F.col(name) for name in merkle.FIELDS}
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    altered = F.when(chosen, F.unhex(merkle.leaf_of(fields | {"text": F.translate("text", "\n", "")})))
+    found = merkle.manifest(docs, carry={"altered": altered})
+    start = F.coalesce(F.lower(F.hex("altered")), F.col("leaf"))
+    folded = found.withColumn("folded_root", merkle.fold(start, F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+#: Unsigned crc32 of a text of ASCII letters and digits, as SQL.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len({0})), lambda i: ascii({0}[i + 1])::BIGINT)),
+    lambda c, b: xor(c >> 8, list_reduce(list_prepend(xor(c, b) & 255, [0::BIGINT for z in range(8)]),
+                                         lambda r, z: xor(r >> 1, 3988292384::BIGINT * (r & 1))))), 4294967295::BIGINT)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value} END"
+
+
+_MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place,
+           sha256({' || '.join(map(_field_sql, merkle.FIELDS))}) AS leaf,
+           sha256({' || '.join(map(_field_sql, [*merkle.FIELDS[:-1], "replace(text, chr(10), '')"]))}) AS altered,
+           {_CRC32.format('CAST(doc_id AS VARCHAR)')} % 2 = 0 AS chosen
+    FROM documents
+), grown AS (
+    SELECT source, 0 AS height, list(leaf ORDER BY place) AS nodes FROM leaves GROUP BY source
+    UNION ALL
+    SELECT source, height + 1, list_transform(range((len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+    FROM grown WHERE len(nodes) > 1
+), subroots AS (
+    SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM grown WHERE len(nodes) = 1
+), joined AS (
+    SELECT 0 AS height, list(subroot ORDER BY place) AS nodes FROM subroots
+    UNION ALL
+    SELECT height + 1, list_transform(range((len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+    FROM joined WHERE len(nodes) > 1
+), spots AS (
+    SELECT l.doc_id, g.height, place // CAST(power(3, g.height) AS BIGINT) AS spot, nodes
+    FROM leaves l JOIN grown g ON g.source IS NOT DISTINCT FROM l.source AND len(nodes) > 1
+    UNION ALL
+    SELECT l.doc_id, 1000 + j.height, s.place // CAST(power(3, j.height) AS BIGINT), nodes
+    FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source JOIN joined j ON len(nodes) > 1
+), paths AS (
+    SELECT doc_id, list({{'l': array_to_string(nodes[spot // 3 * 3 + 1:spot], ''), 'r': array_to_string(nodes[spot + 2:spot // 3 * 3 + 3], '')}} ORDER BY height) AS path
+    FROM spots GROUP BY doc_id
+), proofs AS (
+    SELECT l.*, subroot, (SELECT nodes[1] FROM joined WHERE len(nodes) = 1) AS root, coalesce(path, []) AS path
+    FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source LEFT JOIN paths p ON p.doc_id = l.doc_id
+), folded AS (
+    SELECT *, list_reduce(list_prepend({{'l': CASE WHEN chosen THEN altered ELSE leaf END, 'r': ''}}, path),
+                          lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}}).l AS folded_root
+    FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_warc_salvage": Query(_archives, _ARCHIVES_SQL),
     "op2_main_text": Query(_main_text),
@@ -215,4 +279,5 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": Query(_licenses, _LICENSES_SQL),
     "op9_secret_scan": Query(_secrets),
     "op10_byte_bpe": Query(_tokens),
+    "op11_merkle_manifest": Query(_merkle, _MERKLE_SQL),
 }
