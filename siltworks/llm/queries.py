@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..queries.base import Query, read
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, grace, jaccard, licenses, maintext, merkle, quality, secrets, warc
+from . import bpe, chat, decontaminate, grace, jaccard, licenses, maintext, merkle, quality, repair, secrets, warc
 
 
 def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +268,16 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path,
 FROM folded
 """
 
+WORDS = "word_bpe_49k.json"
+
+
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = repair.write(read(spark, sf_dir, "documents"), scratch_path(spark, "token-ids"), public_tokenizers.path(WORDS))
+    return repair.read(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_salvage": Query(_archives, _ARCHIVES_SQL),
     "op2_main_text": Query(_main_text),
@@ -280,4 +290,5 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": Query(_secrets),
     "op10_byte_bpe": Query(_tokens),
     "op11_merkle_manifest": Query(_merkle, _MERKLE_SQL),
+    "op12_repair_ids": Query(_token_files),
 }
