@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..queries.base import Query, read
+from ..queries.base import Query, nullable, read
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, grace, jaccard, licenses, maintext, merkle, quality, repair, secrets, warc
+from . import bpe, chat, decontaminate, grace, jaccard, licenses, maintext, merkle, quality, repair, secrets, spelling, warc
 
 
 def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +278,52 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among all words of the documents, one in 97 of whose occurrences has lost a letter."""
+    runs = spelling.runs(read(spark, sf_dir, "documents"), points=5)
+    drawn = F.crc32(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), "run"))
+    marked = runs.withColumn("drawn", drawn)
+    word = F.when(F.col("drawn") % 97 == 0, spelling.without_letter(F.col("run"), F.col("drawn") % F.length("run"))).otherwise(F.col("run"))
+    found = spelling.variants(spelling.vocabulary(marked, word))
+    return found.select("word", "form", "root", "n", "n_near", nullable("form_n"))
+
+
+_SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, [0::BIGINT for z in range(8)]),
+                          lambda r, z: xor(r >> 1, 3988292384::BIGINT * (r & 1)))) AS parts
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents
+), hashed AS (
+    SELECT run, count(*) AS times, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(doc_id || ':' || run))),
+               lambda i: ('0x' || substr(hex(encode(doc_id || ':' || run)), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT)),
+               lambda c, b: xor(c >> 8, parts[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h
+    FROM runs, crc GROUP BY doc_id, run, parts
+), words AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n
+    FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, times FROM hashed)
+    WHERE len(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cut AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(len(word))) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+    SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+    SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word
+), ends AS (
+    SELECT word, word AS root FROM forms WHERE form IS NULL
+    UNION ALL SELECT f.word, e.root FROM forms f JOIN ends e ON f.form = e.word
+)
+SELECT f.word, form, root, n, n_near, CAST(form_n AS DOUBLE) AS form_n FROM forms f JOIN ends e ON e.word = f.word
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_warc_salvage": Query(_archives, _ARCHIVES_SQL),
     "op2_main_text": Query(_main_text),
@@ -291,4 +337,5 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": Query(_tokens),
     "op11_merkle_manifest": Query(_merkle, _MERKLE_SQL),
     "op12_repair_ids": Query(_token_files),
+    "op13_spelling_variants": Query(_spelling, _SPELLING_SQL),
 }
