@@ -159,7 +159,8 @@ def manifest(df: DataFrame, id_column: str = "doc_id", group_column: str = "sour
     leaf = leaf_of({name: F.col(name) for name in fields})
     rows = df.select(F.col(group_column).alias("grp"), F.col(id_column).alias("id"), F.unhex(leaf).alias("leaf"),
                      F.struct(F.lit(None).cast("string").alias("none"), *[c.alias(n) for n, c in carried.items()]).alias("more"))
-    ranked = stage(group_rank(rows, ["grp"], ["id", "leaf"], "place"), "leaves")
+    # staged, so that the range shuffle's sample does not hash all fields once more
+    ranked = stage(group_rank(stage(rows, "leaves"), ["grp"], ["id", "leaf"], "place"), "ranks")
     leaves = ranked.select("grp", (F.col("place") - 1).alias("place"),
                            F.struct(F.col("leaf").alias("hash"), F.struct("id", "leaf", "more").alias("load")).alias("node"))
     most = ranked.agg(F.max("place")).first()[0] or 1
