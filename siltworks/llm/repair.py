@@ -30,6 +30,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from typing import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from ..session import stage, task_slots
 from ..sources.files import arrow_location
 from .common import Sink, per_process, rows_of, whole_text
 
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 19
 #: Pairs that occur less often in a shard get no rule.
 LEAST = 8
 END_ID = 2
@@ -51,14 +52,19 @@ MAGIC = b"SILTGRM1"
 
 # --- grammar ----------------------------------------------------------------------------
 
-_BUCKETS = 20
+_BUCKETS = 18
 _NEVER = np.int32(2**31 - 1)
 
 
 def _frequent(symbols: np.ndarray, inner: np.ndarray, total: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that occur ``least`` times, most frequent first, and for each place the rank of its pair."""
-    pair = symbols[:-1].astype(np.uint64) * np.uint64(total) + symbols[1:].astype(np.uint64)
-    bucket = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
+    if total < 1 << 16:
+        pair = symbols[:-1].astype(np.uint32) * np.uint32(total) + symbols[1:].astype(np.uint32)
+        bucket = pair * np.uint32(0x9E3779B1) >> np.uint32(32 - _BUCKETS)
+    else:
+        pair = symbols[:-1].astype(np.uint64) * np.uint64(total) + symbols[1:].astype(np.uint64)
+        bucket = pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BUCKETS)
+    bucket = bucket.astype(np.intp)
     counts = np.bincount(bucket[inner], minlength=1 << _BUCKETS)
     places = np.flatnonzero((counts >= least)[bucket] & inner)  # a bucket's count is no less than its pairs'
     found, which, n = np.unique(pair[places], return_inverse=True, return_counts=True)
@@ -101,7 +107,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.
             ends[taken] = ends[taken + 1]
             keep = np.ones(len(symbols), bool)
             keep[taken + 1] = False
-            rules.append(np.stack(np.divmod(pairs[worth], np.uint64(total)), 1).astype(np.int32))
+            rules.append(np.stack(np.divmod(pairs[worth], pairs.dtype.type(total)), 1).astype(np.int32))
             symbols, ends = symbols[keep], ends[keep]
             total += int(worth.sum())
         if threshold > least:
@@ -216,9 +222,12 @@ _MARKS = re.compile("[\u0300-\u036f]")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: A splitter with this pattern takes plain letters and plain signs apart, and its model gets them as they are.
 _SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+_WORD = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
+#: Signs that may follow a word and are no part of its tokens; special tokens must not end with one.
+_SIGNS = "!\"#$%&()*+,-./:;<=?@[\\]^_`{|}~"
+_LAST = frozenset("abcdefghijklmnopqrstuvwxyz0123456789" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7))
 _SMALL = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
-LONGEST_KEPT, KEPT = 64, 200_000
+LONGEST_KEPT, KEPT = 64, 400_000
 
 
 def _byte_letters() -> list[str]:
@@ -243,25 +252,23 @@ class Encoder:
         # a text's capital letters may be lowered before it is cut, as the library does so anyway
         self.lowers = steps == ["NFC", "Replace", "Lowercase"]
         self.splits = self.lowers and [p.get("pattern", {}).get("Regex") for p in splitter.get("pretokenizers", [])] == [_SPLITTER, None]
+        special = [token["content"] for token in parts["added_tokens"]]
+        self.signs = _SIGNS if self.splits and not any(token[-1] in _SIGNS or token.split() != [token] for token in special) else ""
         self.letters = _byte_letters()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _run(self, run: str) -> bytes:
-        found = self.new.get(run) or self.old.get(run)
-        if found is None:
-            plain = _PLAIN.fullmatch(run.translate(_SMALL)) if self.splits else None
-            if plain is None:
-                found = np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
-            elif not plain[2]:
-                word = plain[1] if run.isascii() else "".join(self.letters[b] for b in plain[1].encode())
-                found = np.array([token.id for token in self.model.tokenize(word)], "<u4").tobytes()
-            else:
-                return self._keep(run, self._run(plain[1]) + self._signs(plain[2]))
-        return self._keep(run, found)
-
-    def _signs(self, signs: str) -> bytes:
-        return self.new.get(signs) or self._keep(signs, np.array(self.tokenizer.encode(signs, add_special_tokens=False).ids, "<u4").tobytes())
+        """The ids of a run that the current generation lacks."""
+        found = self.old.get(run)
+        if found is not None:
+            return self._keep(run, found)
+        word = run if run.isascii() else run.translate(_SMALL)
+        if self.splits and _WORD.fullmatch(word):
+            if not word.isascii():
+                word = "".join([self.letters[b] for b in word.encode()])
+            return self._keep(run, array("I", [token.id for token in self.model.tokenize(word)]).tobytes())
+        return self._keep(run, array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes())
 
     def _keep(self, run: str, found: bytes) -> bytes:
         if len(run) <= LONGEST_KEPT:
@@ -271,13 +278,20 @@ class Encoder:
         return found
 
     def ids(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
+        """The ids as 32-bit integers."""
         if self.lowers and not _MARKS.search(text):
             text = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
-        parts = []
-        for run in _RUN.findall(text) if _ODD.search(text) else text.split():
-            found = self.new.get(run)
-            parts.append(self._run(run) if found is None else found)
+        runs = _RUN.findall(text) if _ODD.search(text) else text.split()
+        parts = list(map(self.new.get, runs))
+        for k in [k for k, part in enumerate(parts) if part is None]:
+            word = runs[k].rstrip(self.signs)
+            if word and word[-1] in _LAST:  # letters and signs are never in one token, so words are kept alone
+                parts[k] = self.new.get(word) or self._run(word)
+                if len(word) < len(runs[k]):
+                    signs = runs[k][len(word):]
+                    parts[k] += self.new.get(signs) or self._run(signs)
+            else:
+                parts[k] = self._run(runs[k])
         return b"".join(parts)
 
 
