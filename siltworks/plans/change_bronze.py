@@ -12,10 +12,10 @@ from ..functions import with_lineage
 from ..operators.changes import require_op
 from ..operators.summarize import op_breakdown
 from ..sources.discovery import tables_by_folder
-from ..sources.schemas import SchemaLog, remembered_schema
+from ..sources.files import list_files
+from ..sources.register import FileRegister
 from ..streaming.fanout import drain_all, finished
-from ..streaming.landing import append_stream, file_stream
-from ..streaming.rescue import rescue_stream
+from ..streaming.intake import Target, intake_stream
 
 logger = logging.getLogger(__name__)
 
@@ -30,28 +30,19 @@ def add_lineage(df: DataFrame, landing: Landing, table: str) -> DataFrame:
                         tags={"_source_table": landing.layout(table).origin})
 
 
-def change_stream(spark: SparkSession, landing: Landing, table: str) -> DataFrame:
-    """The change log of one table, ``Op`` renamed to ``_op``, with lineage."""
-    layout, reading = landing.layout(table), landing.reading
-    schema = remembered_schema(spark, SchemaLog(spark, layout.schemas), layout.landed, reading.format,
-                               reading.evolve, reading.all_options)
-    if schema is None:
-        raise ValueError(f"{layout.landed} holds no {reading.format} file to take a schema from")
-    stream = file_stream(spark, layout.landed, reading.format, schema, {
-        **reading.all_options, "maxFilesPerTrigger": str(reading.files_per_batch)}).withColumnsRenamed(RENAMES)
-    return add_lineage(require_op(stream), landing, table)
-
-
 def start_table(spark: SparkSession, landing: Landing, table: str,
                 every: str | None = None) -> StreamingQuery:
+    """Take in one table's change files, ``Op`` renamed to ``_op``, with lineage."""
     layout = landing.layout(table)
     if landing.row_order and landing.reading.format != "parquet":
         raise ValueError("only Parquet files tell a row's position")
-    if landing.reading.rescues:
-        return rescue_stream(spark, layout.landed, layout.bronze, layout.state, SchemaLog(spark, layout.schemas),
-                             lambda rows: add_lineage(require_op(rows, "Op"), landing, table), RENAMES, every,
-                             landing.reading)
-    return append_stream(change_stream(spark, landing, table), layout.bronze, layout.state, every)
+    if not spark.catalog.tableExists(layout.bronze):
+        landed = list_files(spark, layout.landed)
+        if landed is None or landed.isEmpty():
+            raise ValueError(f"{layout.landed} holds no {landing.reading.format} file to take a schema from")
+    target = Target(layout.bronze, lambda rows: add_lineage(require_op(rows, "Op"), landing, table), RENAMES)
+    return intake_stream(spark, layout.landed, layout.state, FileRegister.beside(spark, layout.bronze),
+                         lambda _: target, landing.reading, every)
 
 
 def run(spark: SparkSession, landing: Landing, at_once: int = 8) -> dict[str, Exception | None]:

@@ -2,63 +2,49 @@
 
 from __future__ import annotations
 
-from typing import Callable
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Reading
 from ..functions import with_lineage
-from ..session import stage
 from ..sinks.tables import describe_table
-from ..sources.discovery import stems_of
-from ..sources.files import list_files
-from ..sources.schemas import SchemaLog, remembered_schema
-from ..streaming.fanout import drain_all, finished
-from ..streaming.landing import append_stream, stem_stream
-from ..streaming.rescue import rescue_stream
+from ..sources.discovery import stem_of
+from ..sources.files import root_exists
+from ..sources.register import FileRegister
+from ..streaming.fanout import finished
+from ..streaming.intake import Target, intake_stream
 
 
 def add_lineage(df: DataFrame, stem: str) -> DataFrame:
     return with_lineage(df, ingested_at="_ingest_ts", source_file="_source_file", tags={"_source_name": stem})
 
 
-def landed_stream(spark: SparkSession, root: str, stem: str, checkpoint: str, reading: Reading = Reading(),
-                  listing: DataFrame | None = None) -> DataFrame:
-    """The rows of one table's files; ``listing`` is that of the whole root."""
-    name = f"{stem}.{reading.format}"
-    options = {**reading.all_options, "recursiveFileLookup": "true", "pathGlobFilter": name}
-    if listing is not None:
-        listing = listing.where(F.substring_index("path", "/", -1) == name)
-    schema = remembered_schema(spark, SchemaLog(spark, f"{checkpoint}/_schema"), root, reading.format,
-                               reading.evolve, options, listing)
-    stream = stem_stream(spark, root, stem, reading.format, schema,
-                         {**reading.all_options, "maxFilesPerTrigger": str(reading.files_per_batch)})
-    return add_lineage(stream, stem)
+def register_of(spark: SparkSession, root: str, schema: str) -> FileRegister:
+    """The register of all files of a root."""
+    name = hashlib.sha1(root.rstrip("/").encode()).hexdigest()[:12]
+    return FileRegister.beside(spark, f"{schema}.root", f"root-{name}")
 
 
 def run(spark: SparkSession, root: str, schema: str, checkpoint_base: str, reading: Reading = Reading(),
         every: str | None = None, at_once: int = 8) -> dict[str, Exception | None]:
-    """Take in new files of every table found; ``every`` keeps the streams running instead.
+    """Take in new files of every table found; ``every`` keeps the stream running instead.
 
-    The root is listed once for all tables' names and schemas.
+    One stream feeds all tables, so that a run lists the root once and enters its files in one
+    register; a name that turns up later becomes a table of its own. Each table's error, or None,
+    comes back.
     """
-    def start(stem: str) -> Callable[[], StreamingQuery]:
-        checkpoint, table = f"{checkpoint_base}/{schema}/{stem}", f"{schema}.{stem}_bronze"
-        if reading.rescues:
-            return lambda: rescue_stream(spark, root, table, checkpoint, SchemaLog(spark, f"{checkpoint}/_schema"),
-                                         lambda rows: add_lineage(rows, stem), None, every, reading,
-                                         f"{stem}.{reading.format}")
-        return lambda: append_stream(landed_stream(spark, root, stem, checkpoint, reading, listing), table, checkpoint, every)
-
-    listing = list_files(spark, root, f"*.{reading.format}")
-    if listing is None:
+    if not root_exists(spark, root):
         return {}
-    listing = stage(listing, "listing")
-    stems = stems_of(listing)
-    # A stream without end holds its thread, so each continuous table needs one of its own.
-    outcomes = drain_all({s: start(s) for s in stems}, len(stems) if every else at_once)
+    register, errors = register_of(spark, root, schema), {}
+    query = intake_stream(
+        spark, root, f"{checkpoint_base}/{schema}/_root", register,
+        lambda stem: Target(f"{schema}.{stem}_bronze", lambda rows: add_lineage(rows, stem)), reading, every,
+        f"*.{reading.format}", stem_of(F.col("path")), at_once, errors)
+    query.awaitTermination()
+    stems = [r.table_name for r in register.planned().select("table_name").distinct().collect()]
+    outcomes = {stem: errors.get(stem) for stem in sorted(stems)}
     for stem in finished(outcomes):
         if spark.catalog.tableExists(f"{schema}.{stem}_bronze"):
             describe_table(spark, f"{schema}.{stem}_bronze",

@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources.archives import archive_lines, archive_members, extract_members, parse_csv_lines
 from ..sources.discovery import tables_by_folder, tables_by_stem, tables_by_suffix
 from ..sources.files import arrow_location, list_files, read_files, read_partitions
+from ..sources.register import FileRegister
 from ..streaming.landing import append_stream, file_stream
 from .base import Query, fresh_schema, nullable, read
 
@@ -61,6 +62,39 @@ def stream_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority", "_op", "_source_table")
 
 
+def stream_schema_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose later half, with one more column, lands while the stream of the first half is running."""
+    orders = read(spark, sf_dir, "orders").withColumn("Op", F.lit("I"))
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    root = scratch_path(spark, "waves")
+    config = Landing(root, "shop", fresh_schema(spark), state=scratch_path(spark, "checkpoint"))
+    orders.where(early).drop("o_orderpriority").write.parquet(f"{root}/orders/1997/12/31")
+    query = change_bronze.start_table(spark, config, "orders", every="1 second")
+    try:
+        query.processAllAvailable()
+        orders.where(~early).write.parquet(f"{root}/orders/2001/12/31")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.table(config.layout("orders").bronze).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "_op", "_source_table")
+
+
+def files_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of files that landed after the last run, found from the register without reading the table."""
+    orders, root = read(spark, sf_dir, "orders").withColumn("Op", F.lit("I")), scratch_path(spark, "waves")
+    config = Landing(root, "shop", fresh_schema(spark), state=scratch_path(spark, "checkpoint"))
+    for number, status in enumerate(("F", "O", "P")):
+        orders.where(F.col("o_orderstatus") == status).write.parquet(f"{root}/orders/{number}")
+        if status != "P":
+            _raise_first(change_bronze.run(spark, config))
+    register = FileRegister.beside(spark, config.layout("orders").bronze)
+    landed = list_files(spark, f"{root}/orders", "*.parquet")
+    pending = landed.join(missing_files(landed, register.taken(), file_column="file_path"), "file_path", "left_semi")
+    waiting = [r.path for r in pending.select("path").toLocalIterator()]  # the reader needs their names
+    return read_files(spark, waiting, "parquet", orders.schema).drop("Op")
+
+
 def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders land in two waves, the second with customer keys as text that is not always a number."""
     orders = read(spark, sf_dir, "orders").withColumn("Op", F.lit("I"))
@@ -335,6 +369,11 @@ QUERIES = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
                'I' AS _op, 'shop.orders' AS _source_table FROM orders"""),
+    "stream_schema_race": Query(stream_schema_race, """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+               CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+               'I' AS _op, 'shop.orders' AS _source_table FROM orders"""),
+    "files_pending": Query(files_pending, "SELECT * FROM orders WHERE o_orderstatus = 'P'"),
     "stream_rescue": Query(stream_rescue, """
         SELECT o_orderkey, CAST(CASE WHEN NOT odd THEN o_custkey END AS DOUBLE) AS o_custkey, o_orderstatus,
                o_totalprice, o_orderdate, o_orderpriority, CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued

@@ -22,6 +22,11 @@ def table_format(spark: SparkSession) -> str:
     return spark.conf.get("siltworks.table.format", "parquet")
 
 
+def keeps_files(spark: SparkSession) -> bool:
+    """Whether a table is a folder of data files, whose times the store knows."""
+    return table_format(spark) in _FILE_FORMATS
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import list_files
+from .files import list_files, root_exists
 
 
 def tables_by_folder(spark: SparkSession, root: str) -> list[str]:
     """Sorted names of the folders directly below ``root``; [] when it does not exist yet."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    if not root_exists(spark, root):
         return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
 
 
@@ -26,13 +25,23 @@ def tables_by_stem(spark: SparkSession, root: str, file_format: str) -> list[str
     return stems_of(listing)
 
 
+def stem_of(path: Column) -> Column:
+    """The file name in a path, without extension."""
+    return F.regexp_extract(path, r"([^/]+)\.[^./]+$", 1)
+
+
 def stems_of(listing: DataFrame) -> list[str]:
     """Sorted distinct file names of a listing, without extension."""
-    stem = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
-    stems = listing.select(stem.alias("stem")).where("stem <> ''").distinct()
+    stems = listing.select(stem_of(F.col("path")).alias("stem")).where("stem <> ''").distinct()
     # One row per table, not per file.
     return sorted(row.stem for row in stems.toLocalIterator())
 
 
+def database_location(spark: SparkSession, database: str = "") -> str:
+    """Where a database keeps its tables."""
+    return spark.sql(f"DESCRIBE SCHEMA {database or spark.catalog.currentDatabase()}").where(
+        "info_name = 'Location'").first().info_value.rstrip("/")
+
+
 def tables_by_suffix(spark: SparkSession, schema: str, suffix: str = "_bronze") -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(schema) if t.name.endswith(suffix))

@@ -65,6 +65,11 @@ def list_files(spark: SparkSession, root: str, name_glob: str | None = None) ->
         raise
 
 
+def root_exists(spark: SparkSession, root: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def _qualified(spark: SparkSession, root: str) -> str:
     """``root`` as a listing spells it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)

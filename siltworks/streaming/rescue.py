@@ -1,32 +1,24 @@
 """Take in files whose columns and types do not all agree, without losing a value.
 
-The plain file stream reads every file with one schema and stops at a file that differs, or reads
-it wrong. Here the stream carries only the paths of new files. Each micro-batch groups its files by
-the columns they say they have (Parquet footers, CSV headers; JSON names each value) and reads each
-group as it is: values that fit the table are cast, the others go to the rescue column as JSON.
-Text is read as text, so that a number keeps all its digits. Only new files are ever looked at.
+A batch of files is grouped by the columns the files say they have (Parquet footers, CSV headers; JSON
+names each value) and each group is read as it is: values that fit the table are cast, the others go
+to the rescue column as JSON. Text is read as text, so that a number keeps all its digits.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from typing import Callable, Iterator, Mapping, Sequence
+from typing import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Reading
 from ..operators.rescue import rescue_types
-from ..sinks.tables import append_table
 from ..sources.files import arrow_location
-from ..sources.schemas import SchemaLog, infer_schema, parquet_columns
-from .landing import NEVER
-
-# The schema of the binary file source; only ``path`` is used, so contents are not read.
-_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+from ..sources.schemas import infer_schema, parquet_columns
 
 
 def _headers(files: DataFrame) -> DataFrame:
@@ -105,43 +97,3 @@ def conforming_rows(files: DataFrame, known: T.StructType, lineage: Callable[[Da
             for paths, part in zip(groups, parts) if {c.lower() for c in part.columns} - names])
     rows = [rescue_types(lineage(part), schema) for part in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows), schema
-
-
-def rescue_stream(spark: SparkSession, path: str, table: str, checkpoint: str, log: SchemaLog,
-                  lineage: Callable[[DataFrame], DataFrame], renames: Mapping[str, str] | None = None,
-                  every: str | None = None, reading: Reading = Reading(),
-                  name_glob: str | None = None) -> StreamingQuery:
-    """Start appending all files below ``path`` (or those whose name matches) to ``table``, misfits rescued.
-
-    The first batch of a run may repeat one whose append finished just before a crash, so it
-    leaves out files the table already names; later batches are new for certain.
-    """
-    if reading.format not in ("parquet", "csv", "json"):
-        raise ValueError(f"values of {reading.format} files can't be rescued")
-    source = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
-              .option("recursiveFileLookup", "true").option("maxFileAge", NEVER)
-              .option("maxFilesPerTrigger", str(reading.files_per_batch)))
-    if name_glob:
-        source = source.option("pathGlobFilter", name_glob)
-    paths = source.load(path).select("path", F.col("_metadata.file_path").alias("file_path"))
-    state = {"first": True}
-
-    def take_in(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if state["first"] and session.catalog.tableExists(table):
-            seen = session.table(table).select(F.col("_source_file").alias("file_path"))
-            batch = batch.join(seen.distinct(), "file_path", "left_anti")
-        state["first"] = False
-        known = log.latest()
-        found = conforming_rows(batch, known or T.StructType([]), lineage, reading)
-        if found is None:
-            return
-        rows, schema = found
-        if known is None or len(schema) > len(known):
-            log.add(schema)
-        append_table(rows.withColumnsRenamed(dict(renames or {})), table)
-        spark.catalog.refreshTable(table)  # a batch has a session of its own
-
-    writer = paths.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()

@@ -56,7 +56,7 @@ if __name__ == "__main__":
     from siltworks.session import build_session
 
     session = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8",
-                                                  "spark.driver.memory": "8g"})
+                                                  "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     database, bad = connect(), 0
     for query_name in sys.argv[1:] or registry():
