@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
+#: A record that can't be cut into the fields it should have, as it was written.
+RECORD = "_record"
 
 
 def fits(column: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -32,11 +34,11 @@ def rescue_types(df: DataFrame, schema: T.StructType, rescued: str = RESCUED) ->
     """Cast columns to ``schema``; a value that a cast would change goes to a JSON column by name.
 
     Columns of ``df`` outside the schema are rescued as well, whatever their value, so added
-    source columns are never lost.
+    source columns are never lost, and so is the text of a column ``RECORD``.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     known = [f for f in schema.fields if f.name in types]
-    extra = [c for c in df.columns if c not in schema.fieldNames() and not c.startswith("_")]
+    extra = [c for c in df.columns if c not in schema.fieldNames() and (c == RECORD or not c.startswith("_"))]
     whole = {f.name: fits(F.col(f"`{f.name}`"), types[f.name], f.dataType) for f in known}
     misfits = []
     for name, fit in whole.items():
@@ -45,5 +47,5 @@ def rescue_types(df: DataFrame, schema: T.StructType, rescued: str = RESCUED) ->
         misfits += [F.lit(name), F.col(f"`{name}`").cast("string")]
     kept = F.map_filter(F.create_map(*misfits), lambda _, v: v.isNotNull())
     typed = [F.when(whole[f.name], F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name) for f in known]
-    passed_on = [F.col(c) for c in df.columns if c.startswith("_") and c not in schema.fieldNames()]
+    passed_on = [F.col(c) for c in df.columns if c.startswith("_") and c not in (*schema.fieldNames(), RECORD)]
     return df.select(*typed, *passed_on, F.when(F.size(kept) > 0, F.to_json(kept)).alias(rescued))

@@ -132,10 +132,10 @@ def shared_root_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(c).cast(t).alias(c) for c, t in (*orders.dtypes, *customers.dtypes)], landed["_rescued_data"].alias("rescued"))
 
 
-def _write_one(df: DataFrame, path: str) -> None:
-    """Write rows as CSV files, each of which has the name that the landing knows the table by."""
+def _write_one(df: DataFrame, path: str, file_format: str = "csv") -> None:
+    """Write rows as files, each of which has the name that the landing knows the table by."""
     spark, temporary = df.sparkSession, f"{path}.parts"
-    df.write.option("header", "true").csv(temporary)
+    df.write.format(file_format).options(**({"header": "true"} if file_format == "csv" else {})).save(temporary)
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(temporary)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -164,6 +164,31 @@ def change_landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_rescued_data").alias("rescued"))
 
 
+def csv_surplus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders land as CSV in which records have fields too many, fields too few, quoted line breaks and
+    escaped quotes; no field of any record is lost."""
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 5
+    plain = F.concat_ws(",", key, F.col("o_custkey").cast("string"))
+    line = (F.when(kind == 1, F.concat_ws(",", plain, "o_orderstatus", F.concat(F.lit("more-"), key), F.lit("")))
+            .when(kind == 2, plain)
+            .when(kind == 3, F.concat(plain, F.lit(',"first '), key, F.lit('\nsecond, line"')))
+            .when(kind == 4, F.concat(plain, F.lit(',"said \\"'), key, F.lit('\\" twice"')))
+            .otherwise(F.concat_ws(",", plain, "o_orderpriority")))
+
+    def headed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": ["id,customer,note"]})
+        yield from batches
+
+    root, schema, checkpoint = scratch_path(spark, "waves"), fresh_schema(spark), scratch_path(spark, "checkpoint")
+    lines = read(spark, sf_dir, "orders").select(line.alias("value"), kind.alias("kind"))
+    for number, wave in enumerate(("kind < 3", "kind >= 3")):  # files of the first can be split, of the second not
+        _write_one(lines.where(wave).select("value").mapInPandas(headed, "value string"), f"{root}/{number}/orders.csv", "text")
+        _raise_first(shared_landing.run(spark, root, schema, checkpoint, Reading("csv")))
+    return spark.table(f"{schema}.orders_bronze").select(
+        F.col("id").cast("bigint").alias("id"), F.col("customer").cast("bigint").alias("customer"), "note",
+        F.col("_rescued_data").alias("rescued"))
+
+
 def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events whose second half lands later with a modification time of a month before the first."""
     landing, table = scratch_path(spark, "events"), f"{fresh_schema(spark)}.events_bronze"
@@ -387,6 +412,13 @@ QUERIES = {
                CASE WHEN odd THEN '{"o_custkey":"C' || o_custkey || '"}' END AS rescued
         FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AS late,
                      o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'P' AS odd FROM orders)"""),
+    "csv_surplus": Query(csv_surplus, """
+        SELECT o_orderkey AS id, o_custkey AS customer,
+               CASE o_orderkey % 5 WHEN 1 THEN o_orderstatus WHEN 3 THEN 'first ' || o_orderkey || chr(10) || 'second, line'
+                    WHEN 4 THEN 'said "' || o_orderkey || '" twice' WHEN 0 THEN o_orderpriority END AS note,
+               CASE o_orderkey % 5 WHEN 1 THEN '{"_record":"' || o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',more-' || o_orderkey || ',"}'
+                    WHEN 2 THEN '{"_record":"' || o_orderkey || ',' || o_custkey || '"}' END AS rescued
+        FROM orders"""),
     "stream_late_files": Query(stream_late_files, "SELECT * FROM events"),
     "rescued_decimals": Query(rescued_decimals, """
         SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN price = floor(price) THEN price END AS o_totalprice,

@@ -2,7 +2,9 @@
 
 A batch of files is grouped by the columns the files say they have (Parquet footers, CSV headers; JSON
 names each value) and each group is read as it is: values that fit the table are cast, the others go
-to the rescue column as JSON. Text is read as text, so that a number keeps all its digits.
+to the rescue column as JSON. Text is read as text, so that a number keeps all its digits, and a CSV
+record whose fields are more or fewer than the header's is kept as it was written, beside the fields
+that it has.
 """
 
 from __future__ import annotations
@@ -11,12 +13,12 @@ from functools import reduce
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Reading
-from ..operators.rescue import rescue_types
+from ..operators.rescue import RECORD, rescue_types
 from ..sources.files import arrow_location
 from ..sources.schemas import infer_schema, parquet_columns
 
@@ -38,8 +40,28 @@ def _headers(files: DataFrame) -> DataFrame:
     return files.select("path").mapInPandas(first_lines, "path string, types string")
 
 
-def files_by_types(files: DataFrame, file_format: str = "parquet") -> list[list[str]]:
-    """Paths of the listed files, grouped by the columns (and types) they say they have."""
+def _with_line_breaks(files: DataFrame, reading: Reading) -> DataFrame:
+    """``path`` of the CSV files in which a quoted field may go on in the next line: a line of theirs has
+    an odd number of quotes. These are read whole; all others can be split between tasks."""
+    quote = reading.options.get("quote", '"')
+    if not quote or "multiLine" in reading.options:
+        return files.select("path").limit(0)
+    spark, paths = files.sparkSession, [row.path for row in files.select("path").toLocalIterator()]  # those of one batch
+    own = {k: v for k, v in reading.options.items() if k in ("lineSep", "compression")}
+    lines = spark.read.options(**own).text(paths).select("value", F.col("_metadata.file_path").alias("file_path"))
+
+    def odd(text: Column) -> Column:
+        return (F.length(text) - F.length(F.replace(text, F.lit(quote), F.lit("")))) % 2 == 1
+
+    hits = lines.where(odd(F.col("value")) | odd(F.regexp_replace("value", r"\\.", ""))).select("file_path").distinct()
+    listed = spark.read.format("binaryFile").load(paths).select("path", F.col("_metadata.file_path").alias("file_path"))
+    return listed.join(hits, "file_path", "left_semi").select("path")
+
+
+def files_by_types(files: DataFrame, reading: Reading = Reading()) -> list[tuple[list[str], bool]]:
+    """Paths of the listed files, grouped by the columns (and types) they say they have, and whether their
+    records may go over several lines."""
+    file_format = reading.format
     if file_format == "parquet":
         types = parquet_columns(files).groupBy("path").agg(
             F.to_json(F.sort_array(F.collect_list(F.struct("column", "type")))).alias("types"))
@@ -47,25 +69,35 @@ def files_by_types(files: DataFrame, file_format: str = "parquet") -> list[list[
         types = _headers(files)
     else:
         types = files.select("path", F.lit("").alias("types"))
-    groups: dict[str, list[str]] = {}
+    whole = {row.path for row in _with_line_breaks(files, reading).toLocalIterator()} if file_format == "csv" else set()
+    groups: dict[tuple[str, bool], list[str]] = {}
     for row in types.toLocalIterator():  # at most the files of one batch
-        groups.setdefault(row.types, []).append(row.path)
-    return list(groups.values())
+        groups.setdefault((row.types, row.path in whole), []).append(row.path)
+    return [(paths, over_lines) for (_, over_lines), paths in groups.items()]
+
 
+def _read_as_written(spark: SparkSession, paths: Sequence[str], reading: Reading, over_lines: bool) -> DataFrame:
+    """Files of one group; of text formats every plain value as text.
 
-def _read_as_written(spark: SparkSession, paths: Sequence[str], reading: Reading) -> DataFrame:
-    """Files of one group; of text formats every plain value as text."""
+    A CSV record with more or fewer fields than the header comes whole in the column ``RECORD`` as well.
+    """
     reader = spark.read.format(reading.format).options(**reading.all_options)
     if reading.format == "json":
         reader = reader.option("primitivesAsString", "true")
     elif reading.format == "csv":
-        reader = reader.option("inferSchema", "false")
+        if over_lines:
+            reader = reader.option("multiLine", "true")
+        columns = reader.option("inferSchema", "false").load(list(paths)).schema
+        # without pruning all fields of a record are counted, whatever is asked for later
+        reader = (reader.schema(columns.add(RECORD, "string")).option("columnNameOfCorruptRecord", RECORD)
+                  .option("mode", "PERMISSIVE").option("columnPruning", "false"))
     return reader.load(list(paths))
 
 
-def _inferred(spark: SparkSession, paths: Sequence[str], reading: Reading) -> T.StructType:
+def _inferred(spark: SparkSession, paths: Sequence[str], reading: Reading, over_lines: bool) -> T.StructType:
     """What the columns of a group of files look like, for columns that no earlier file had."""
-    return infer_schema(spark, list(paths), reading.format, reading.all_options) or T.StructType([])
+    options = {**reading.all_options, **({"multiLine": "true"} if over_lines else {})}
+    return infer_schema(spark, list(paths), reading.format, options) or T.StructType([])
 
 
 def _with_new_columns(known: T.StructType, parts: Sequence[T.StructType]) -> T.StructType:
@@ -85,15 +117,15 @@ def conforming_rows(files: DataFrame, known: T.StructType, lineage: Callable[[Da
     their files.
     """
     spark = files.sparkSession
-    groups = files_by_types(files, reading.format)
+    groups = files_by_types(files, reading)
     if not groups:
         return None
-    parts = [_read_as_written(spark, paths, reading) for paths in groups]
+    parts = [_read_as_written(spark, paths, reading, over_lines) for paths, over_lines in groups]
     names = {f.name.lower() for f in known.fields}
     schema = known
     if reading.evolve or not names:
         schema = _with_new_columns(known, [
-            part.schema if reading.format == "parquet" else _inferred(spark, paths, reading)
-            for paths, part in zip(groups, parts) if {c.lower() for c in part.columns} - names])
+            part.schema if reading.format == "parquet" else _inferred(spark, paths, reading, over_lines)
+            for (paths, over_lines), part in zip(groups, parts) if {c.lower() for c in part.columns if c != RECORD} - names])
     rows = [rescue_types(lineage(part), schema) for part in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows), schema
