@@ -5,6 +5,8 @@ Tables are Parquet unless the session setting ``siltworks.table.format`` names a
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from typing import Mapping, Sequence
 
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import TableSpec
 from ..operators.rescue import fits
+from ..sources.discovery import database_location
 
 _FILE_FORMATS = ("parquet", "orc")
 
@@ -111,8 +114,12 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Replace rows and schema of a table, partitioned if asked.
 
-    The new rows are written whole to a folder of their own before the table is pointed at it, so
-    a failing write leaves the table as it was. Table formats that replace atomically do it themselves.
+    The new rows are written whole to a folder of their own, a version of the table, and then the
+    table is pointed at it, so that a failing write leaves the table as it was. A table whose columns
+    all stay is pointed there in one step: no reader ever misses it, and comments and properties stay as
+    they are. Only where columns go or change their type is the catalog entry made anew, under another
+    name first, with the old comment and properties. Old versions stay until :func:`vacuum`. Table
+    formats that replace atomically do it themselves.
     """
     spark, kind = df.sparkSession, table_format(df.sparkSession)
     writer = _laid_out(df, partition_by).write.format(kind)
@@ -122,17 +129,83 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
         writer.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
         return
     *parent, name = table.split(".")
-    database = spark.sql(f"DESCRIBE SCHEMA {'.'.join(parent) or spark.catalog.currentDatabase()}").where(
-        "info_name = 'Location'").first().info_value
-    location = f"{database.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    location = f"{database_location(spark, '.'.join(parent))}/{name}-{uuid.uuid4().hex}"
     writer.save(location)
-    order = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    if not spark.catalog.tableExists(table):
+        _create_at(spark, table, df.schema, partition_by, kind, location)
+    elif _points_on(spark, table, df.schema, partition_by):
+        add_columns(spark, table, df.schema)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(location)}")
+        spark.catalog.refreshTable(table)
+    else:
+        comment, properties = described(spark, table)
+        fresh = ".".join([*parent, f"{name}_{uuid.uuid4().hex}"])
+        _create_at(spark, fresh, df.schema, partition_by, kind, location, comment, properties)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
+
+def _create_at(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str], kind: str, location: str,
+               comment: str | None = None, properties: Mapping[str, str] | None = None) -> None:
+    order = [f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order)
     layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING {kind}{layout} LOCATION {_quoted(location)}")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+    setting = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")  # partitions are those of the folder, so that it can be exchanged in one step
+    try:
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING {kind}{layout} LOCATION {_quoted(location)}")
+    finally:
+        spark.conf.set(setting, before)
+    describe_table(spark, table, comment, properties)
+
+
+def described(spark: SparkSession, table: str) -> tuple[str | None, dict[str, str]]:
+    """Comment and properties of a table."""
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    own = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return rows.get("Comment"), {k: v for k, v in own.items() if k != "transient_lastDdlTime" and not k.startswith("option.")}
+
+
+def _points_on(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str]) -> bool:
+    """Whether the table only needs a new location, and perhaps further columns: its columns stay, and
+    it knows its partitions from its folder."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    facts = {r.col_name: r.data_type for r in rows}
+    have = {f.name.lower(): f.dataType for f in schema.fields}
+    kept = spark.table(table).schema.fields
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return (facts.get("Provider") in _FILE_FORMATS and facts.get("Partition Provider") is None
+            and partitions == list(partition_by) and all(have.get(f.name.lower()) == f.dataType for f in kept)
+            and not (partition_by and len(have) > len(kept)))
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first().data_type
+
+
+def old_versions(spark: SparkSession, table: str) -> list[tuple[str, int]]:
+    """Folders of versions that the table points to no more (or never did, when a run broke off), and
+    when each was written, in milliseconds."""
+    *parent, name = table.split(".")
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(database_location(spark, ".".join(parent)))
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = jvm.org.apache.hadoop.fs.Path(table_location(spark, table)).getName()
+    folders = [s for s in files.listStatus(base) if s.isDirectory()] if files.exists(base) else []
+    return sorted((s.getPath().toString(), s.getModificationTime()) for s in folders
+                  if re.fullmatch(re.escape(name) + "(-[0-9a-f]{32})?", s.getPath().getName()) and s.getPath().getName() != current)
+
+
+def vacuum(spark: SparkSession, table: str, older_than_hours: float = 168) -> list[str]:
+    """Delete old versions last written so long ago; readers and writers that take longer would fail."""
+    jvm = spark.sparkContext._jvm
+    limit = time.time() * 1000 - older_than_hours * 3_600_000
+    gone = [path for path, written in old_versions(spark, table) if written <= limit]
+    for path in gone:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append",
