@@ -33,7 +33,7 @@ from ..session import stage, task_slots
 from .common import Sink, rows_of
 
 GROUPS = 12
-SUBTREE, BLOCK = 50_000, 50_000
+SUBTREE, BLOCK = 100_000, 100_000
 #: Queries whose candidates are compared at once.
 BATCH = 256
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]"
@@ -82,11 +82,11 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + 1:] == b[at + 1:] if len(a) == len(b) else a[at:] == b[at + 1:]
 
 
-def _ends(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The first two and the last two letters as one number each; 0 for words too short to tell."""
-    first = np.array([ord(w[0]) << 21 | ord(w[1]) if len(w) > 4 else 0 for w in words], np.int64)
-    last = np.array([ord(w[-1]) << 21 | ord(w[-2]) if len(w) > 4 else 0 for w in words], np.int64)
-    return first, last
+def _halves(words: list[str], less: int) -> np.ndarray:
+    """16 bits each of hashes of the first and of the last letters, half as many as a word has; of a word
+    that is the longer one of a pair (``less`` is 1), half as many as the other has."""
+    keys = [(hash(w[:len(w) - less >> 1]) & 0xFFFF) << 16 | hash(w[len(w) - (len(w) - less >> 1):]) & 0xFFFF if w else 0 for w in words]
+    return np.array(keys, np.uint32)
 
 
 class Subtree:
@@ -95,7 +95,7 @@ class Subtree:
     def __init__(self, entries: list[tuple[str, int]]):
         placed = sorted((vector(word), word, n) for word, n in entries)
         self.words, self.counts = [w for _, w, _ in placed], [n for _, _, n in placed]
-        self.first, self.last = _ends(self.words)
+        self.halves = {less: _halves(self.words, less) for less in (0, 1)}
         self.root: dict = {}
         for place, (counts, _, _) in enumerate(placed):
             node = self.root
@@ -103,48 +103,49 @@ class Subtree:
                 node = node.setdefault(count, {})
             node[counts[-1]] = (node[counts[-1]][0] if counts[-1] in node else place, place + 1)
 
-    def leaves(self, word: str) -> list[tuple[int, int]]:
-        """The ranges of words at the leaves that one surplus and one deficit can reach."""
+    def leaves(self, word: str) -> list[tuple[int, int, int]]:
+        """The ranges of words at the leaves that one surplus and one deficit can reach, and how many
+        letters more than ``word`` these have."""
         counts, found = vector(word), []
-        stack = [(self.root, 0, True, True)]
+        stack = [(self.root, 0, 1, 1)]
         while stack:
             node, level, surplus, deficit = stack.pop()
             if level == GROUPS:
-                found.append(node)
+                found.append((*node, deficit - surplus))
                 continue
             count = counts[level]
             level += 1
             if (child := node.get(count)) is not None:
                 stack.append((child, level, surplus, deficit))
             if surplus and (child := node.get(count + 1)) is not None:
-                stack.append((child, level, False, deficit))
+                stack.append((child, level, 0, deficit))
             if deficit and count and (child := node.get(count - 1)) is not None:
-                stack.append((child, level, surplus, False))
+                stack.append((child, level, surplus, 0))
         return found
 
     def near(self, queries: list[str]) -> Iterator[tuple[int, int]]:
         """Places of a query and of a near word of it."""
-        if not self.words:
-            return
-        owners, ranges = [], []
+        ranges, owners = [], []
         for k, word in enumerate(queries):
             found = self.leaves(word)
             ranges += found
             owners += [k] * len(found)
-        if not ranges:
-            return
-        spans = np.array(ranges, np.int64)
-        sizes = spans[:, 1] - spans[:, 0]
-        into = np.cumsum(sizes) - sizes
-        places = np.repeat(spans[:, 0] - into, sizes) + np.arange(int(sizes.sum()))
-        owner = np.repeat(np.array(owners, np.int64), sizes)
-        first, last = _ends(queries)
-        # one edit leaves the first two or the last two letters of longer words as they are
-        mine, yours = first[owner], self.first[places]
-        likely = (mine == yours) | (last[owner] == self.last[places]) | (mine == 0) | (yours == 0)
-        for k, place in zip(owner[likely].tolist(), places[likely].tolist()):
-            if one_edit(queries[k], self.words[place]):
-                yield k, place
+        spans, owner = np.array(ranges, np.int64).reshape(-1, 3), np.array(owners, np.int64)
+        for more in (-1, 0, 1):
+            here = spans[:, 2] == more
+            if not here.any():
+                continue
+            starts, sizes = spans[here, 0], spans[here, 1] - spans[here, 0]
+            into = np.cumsum(sizes) - sizes
+            places = np.repeat(starts - into, sizes) + np.arange(int(sizes.sum()))
+            mine = _halves(queries, int(more < 0))[owner[here]]
+            # one edit leaves the first or the last half of the shorter word as it is
+            differ = np.repeat(mine, sizes) ^ self.halves[int(more > 0)][places]
+            likely = np.flatnonzero((differ & 0xFFFF == 0) | (differ >> 16 == 0))
+            asked = owner[here][np.searchsorted(into, likely, "right") - 1]
+            for k, place in zip(asked.tolist(), places[likely].tolist()):
+                if one_edit(queries[k], self.words[place]):
+                    yield k, place
 
 
 # --- all words --------------------------------------------------------------------------
