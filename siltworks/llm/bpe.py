@@ -378,8 +378,9 @@ class Encoder:
         return packed
 
     def forget(self) -> None:
-        """Drop what was learnt from texts: an idle worker keeps the vocabulary only."""
-        self.young, self.old = {}, {}
+        """Drop what was learnt from texts but for the newest pieces, which are bounded in number and
+        length: an idle worker keeps these and the vocabulary, and its next task does not learn them anew."""
+        self.old = {}
         self.machine.pairs.clear()
         self.machine._reset()
 

@@ -64,9 +64,15 @@ class Flatten:
 
     def __init__(self):
         self.pieces: list[str] = []
+        self.open: list[str] = []
         self.length = 0
         self.attachments: list[Attachment] = []
 
+    def visit_all(self, parts: list[dict]) -> None:
+        for part in parts:
+            self.visit(part)
+        self._close()
+
     def visit(self, part: dict) -> None:
         kind = part.get("type") or "text"
         method = getattr(self, f"visit_{kind}", None)
@@ -75,7 +81,12 @@ class Flatten:
         method(part)
 
     def visit_text(self, part: dict) -> None:
-        self._put(escape(str(part.get("text") or "")))
+        self.open.append(str(part.get("text") or ""))
+
+    def _close(self) -> None:
+        """Neighbouring texts are escaped as one: a control string may begin in one and end in the next."""
+        self._put(escape("".join(self.open)))
+        self.open = []
 
     def visit_image(self, part: dict) -> None:
         wide, high = part.get("width") or self.PATCH, part.get("height") or self.PATCH
@@ -88,6 +99,7 @@ class Flatten:
         self._attach("document", part, max(1, part.get("pages") or 1) * self.TOKENS_A_PAGE)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
+        self._close()
         self.attachments.append(Attachment(kind, self.length, str(part.get("url") or ""), tokens))
         self._put(f"<|{kind}|>")
 
@@ -126,8 +138,7 @@ def format_turns(df: DataFrame, conversation: str = "conv_id", turn: str = "turn
         sink = Sink(_TURN)
         for conv, number, who, body in rows_of(batches):
             flat = Flatten()
-            for part in parts_of(body, typed):
-                flat.visit(part)
+            flat.visit_all(parts_of(body, typed))
             head = TURN + escape(who or "") + TEXT
             segment = head + "".join(flat.pieces) + END
             span = (len(head), len(segment) - len(END)) if who in learn else (None, None)

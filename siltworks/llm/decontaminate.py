@@ -32,6 +32,8 @@ from .wordhash import mix
 
 RATE = 0.07
 Q = 8
+#: Pairs of a text's and an item's equal q-grams that are counted at once.
+SHARED_GRAMS = 1 << 20
 BLOCK_CHARS = 2_000_000
 TEXT_BLOCK = 1 << 19
 _FILTER_BITS = 22
@@ -127,14 +129,23 @@ class Index:
         if not len(at):
             return
         counts = self.first[found + 1] - self.first[found]
-        which = np.repeat(self.first[found] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        owner = self.owner[which]
-        diagonal = np.repeat(at, counts) - self.place[which]
-        width = self.edits[owner] + 1
-        band = diagonal // width
         span = np.int64(len(points) + self.longest * 2 + 4)
-        keys = np.concatenate((owner * span + band + self.longest + 1, owner * span + band + self.longest))
-        keys, hits = np.unique(keys, return_counts=True)
+        keys, hits = np.empty(0, np.int64), np.empty(0, np.int64)
+        # bands are counted a chunk of shared grams at a time: a gram may stand at very many places of an item
+        ends = np.cumsum(counts)
+        start = 0
+        while start < len(at):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SHARED_GRAMS, "right")))
+            n = counts[start:stop]
+            which = np.repeat(self.first[found[start:stop]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            owner = self.owner[which]
+            band = (np.repeat(at[start:stop], n) - self.place[which]) // (self.edits[owner] + 1)
+            mine, own = np.unique(np.concatenate((owner * span + band + self.longest + 1, owner * span + band + self.longest)),
+                                  return_counts=True)
+            both, back = np.unique(np.concatenate((keys, mine)), return_inverse=True)
+            total = np.zeros(len(both), np.int64)
+            np.add.at(total, back, np.concatenate((hits, own)))
+            keys, hits, start = both, total, stop
         item = keys // span
         enough = hits >= self.least[item]
         for number, key in zip(item[enough].tolist(), keys[enough].tolist()):
@@ -197,11 +208,13 @@ class Search:
         for item in items:
             by_length.setdefault(item.q, []).append(item)
         self.indexes = [Index(group, q) for q, group in sorted(by_length.items())]
+        self.items = {(x.q, number): item for x in self.indexes for number, item in enumerate(x.items)}
         self.longest = max((x.longest for x in self.indexes), default=0)
 
-    def text(self, text: str) -> dict[int | None, tuple[int, int, int]]:
-        """For each item found its least edits and where that passage begins and ends."""
-        best: dict[int | None, tuple[int, int, int]] = {}
+    def text(self, text: str) -> list[tuple[int | None, tuple[int, int, int]]]:
+        """For each item found (a row of the benchmark, whatever its id) its least edits and where that
+        passage begins and ends."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         points, at = _folded().of(text)
         overlap = 2 * self.longest + 2
         for start in range(0, max(len(points), 1), TEXT_BLOCK):
@@ -209,8 +222,8 @@ class Search:
             shift = max(0, start - overlap)
             for index in self.indexes:
                 for number, low, high in index.regions(part):
-                    item = index.items[number]
-                    if item.key in best and not best[item.key][0]:
+                    item, place = index.items[number], (index.q, number)
+                    if place in best and not best[place][0]:
                         continue  # bands come in the order of the text
                     found = _equal(item.points, part, low, high) or align(item.points, part, low, high, item.edits)
                     if found is None:
@@ -219,9 +232,9 @@ class Search:
                     first = int(at[begin]) if begin < len(at) else len(text)
                     last = int(at[end - 1]) + 1 if end > begin else first
                     mine = (edits, first, last)
-                    if item.key not in best or mine < best[item.key]:
-                        best[item.key] = mine
-        return best
+                    if place not in best or mine < best[place]:
+                        best[place] = mine
+        return [(self.items[place].key, hit) for place, hit in best.items()]
 
 
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str, rate: float, q: int, block_chars: int):
@@ -251,7 +264,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
         def run(batches, items=items):
             search, sink = Search(items), Sink(_HIT)
             for key, body in rows_of(batches):
-                for item, hit in search.text(body).items():
+                for item, hit in search.text(body):
                     if sink.add((key, item, *hit)):
                         yield sink.flush()
             yield sink.flush()

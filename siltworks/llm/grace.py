@@ -246,9 +246,10 @@ def keep_best(df: DataFrame, id_column: str = "doc_id", text_column: str = "text
     nulls, rest = rest.where(key.isNull()), rest.where(key.isNotNull())
     doubt = doubt.unionAll(nulls)
     body = whole_text(text_column)
-    marked = doubt.withColumns({"_own_sha": F.sha2(F.regexp_replace(body, "[\\x20\\x09-\\x0D]+", ""), 256),
-                                "_own_points": F.length(body).cast("bigint")})
-    stay = found.where("kept").select(key.alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_points"))
-    kept = marked.join(stay, key.cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
-                       & (F.col("_own_points") == F.col("_points")), "left_semi").dropDuplicates(["_own_sha"])
-    return rest.unionAll(kept.select(*df.columns))
+    # all columns travel in one struct, so that no name can clash
+    marked = doubt.select(key.cast("bigint").alias("own_id"), F.sha2(F.regexp_replace(body, "[\\x20\\x09-\\x0D]+", ""), 256).alias("own_sha"),
+                          F.length(body).cast("bigint").alias("own_points"), F.struct("*").alias("row"))
+    stay = found.where("kept").select(key.alias("id"), F.col("text_sha256").alias("sha"), F.col("n_points").alias("points"))
+    kept = marked.join(stay, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_sha") == F.col("sha"))
+                       & (F.col("own_points") == F.col("points")), "left_semi").dropDuplicates(["own_sha"])
+    return rest.unionAll(kept.select("row.*"))

@@ -352,7 +352,8 @@ def _same_id(known: DataFrame) -> DataFrame:
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3,
              percent: int = 90) -> DataFrame:
-    """One row of each group, that with the least id, with all its columns; rows without words or id stay."""
+    """The rows of the least id of each group, with all their columns: one, or all that share that id.
+    Rows without words or id stay."""
     found = groups(df, id_column, text_column, words, percent)
     gone = stage(found.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).cast("bigint").alias("gone")), "gone")
     rest, maybe = split(df, id_column, gone)

@@ -301,7 +301,7 @@ def test_long_texts_are_searched_across_blocks(monkeypatch):
     search = decontaminate.Search([decontaminate.item_of(1, passage)])
     for before in range(0, 700, 37):
         text = "z" * before + " " + passage + " " + "y" * 400
-        assert search.text(text)[1] == (0, before + 1, before + 1 + len(passage))
+        assert dict(search.text(text))[1] == (0, before + 1, before + 1 + len(passage))
 
 
 # --- pipeline ---------------------------------------------------------------------------
