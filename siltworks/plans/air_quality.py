@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import Bound, tier, to_moment, typed
 from ..operators.clean import drop_repeats, keep_members
 from ..operators.summarize import spread_summary
-from ..sinks.tables import replace_table
+from ..session import stage
+from ..sinks.tables import replace_partitions, replace_table
 from ..streaming.landing import append_stream, partition_stream
 
 # Fixed values.
@@ -79,6 +82,49 @@ def gold(readings: DataFrame) -> DataFrame:
         {"pm25_aqi_category": pm25_category(), "rel_humidity_index": humidity_index()})
 
 
+def months_of(rows: DataFrame) -> Column | None:
+    """A condition on the partition columns that holds for the months of ``rows``; None without rows."""
+    months = rows.select(*MONTH_LAYOUT).distinct().collect()  # a row per month
+    each = [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in MONTH_LAYOUT]) for r in months]
+    return reduce(or_, each) if each else None
+
+
+def refresh(fresh_bronze: DataFrame, clean: str, daily: str, prefer: Sequence | None = None,
+            location_ids: Sequence[int] | None = None) -> None:
+    """Bring the clean and daily tables up to date with new bronze rows.
+
+    Only the months that these rows touch are read and written. A reading that is already there
+    competes with its new copies by ``prefer``, so that late and corrected readings give the tables that a
+    rebuild from all of bronze would give, and repeated rows change nothing.
+    """
+    spark = fresh_bronze.sparkSession
+    fresh = stage(silver(fresh_bronze, location_ids, prefer=prefer), "fresh")
+    touched = months_of(fresh)
+    if touched is None:
+        return
+    if spark.catalog.tableExists(clean):
+        known = spark.table(clean).where(touched)
+        # staged, because the partitions that are read are those that are replaced
+        fresh = stage(drop_repeats(known.unionByName(fresh, allowMissingColumns=True), READING_KEYS, prefer), "merged")
+    replace_partitions(fresh, clean, MONTH_LAYOUT)
+    replace_partitions(gold(spark.table(clean).where(touched)), daily, MONTH_LAYOUT)
+
+
+def run_incremental(spark: SparkSession, root: str, csv_schema: T.StructType, schema: str, checkpoint: str,
+                    location_ids: Sequence[int], years: Iterable[int], prefer: Sequence | None = None) -> None:
+    """As :func:`run`, but silver and gold follow what is new in bronze, month by month."""
+    raw, clean, daily = (f"{schema}.{name}" for name in
+                         ("bronze_readings_raw", "silver_readings_clean", "gold_readings_daily"))
+    append_stream(bronze_stream(spark, root, csv_schema, location_ids, years), raw, checkpoint).awaitTermination()
+
+    def follow(batch: DataFrame, _: int) -> None:
+        refresh(batch, clean, daily, prefer, location_ids)
+
+    # a batch may be repeated after a crash: refreshing twice is refreshing once
+    (spark.readStream.table(raw).writeStream.foreachBatch(follow).option("checkpointLocation", f"{checkpoint}-silver")
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def run(spark: SparkSession, root: str, csv_schema: T.StructType, schema: str, checkpoint: str,
         location_ids: Sequence[int], years: Iterable[int], prefer: Sequence | None = None) -> None:
     """Bronze, silver and gold tables in that order, each from the table before."""

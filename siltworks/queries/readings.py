@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import keep_members
+from ..operators.moments import Moments
 from ..operators.summarize import spread_summary
 from ..plans import air_quality
 from ..session import scratch_path
@@ -104,6 +105,37 @@ def air_quality_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
         "measured_date", text("measured_date"))
 
 
+def air_quality_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings land in two waves, the second with late and corrected ones; only the months that it touches
+    are made anew."""
+    landed = landed_readings(spark, sf_dir).withColumn("year", F.year("datetime"))
+    root, late = scratch_path(spark, "readings"), F.col("event_id") % 3 == 0
+    wrong = (F.col("event_id") % 7 == 1) & F.col("value").try_cast("double").between(0, 1e9) & ~late
+    first = landed.where(~late).withColumns({"value": F.when(wrong, F.lit("1.5")).otherwise(F.col("value")), "revision": F.lit(0)})
+    second = landed.where(late | wrong).withColumn("revision", F.lit(1))
+    csv = [f for f in first.schema.fields if f.name not in ("locationid", "year")]
+    schema = T.StructType(csv + [T.StructField("locationid", T.LongType()), T.StructField("year", T.IntegerType())])
+    ids = [r.locationid for r in landed.select("locationid").distinct().toLocalIterator()]  # one row each
+    years = [r.year for r in landed.select("year").distinct().toLocalIterator()]
+    tables, checkpoint = fresh_schema(spark), scratch_path(spark, "checkpoint")
+    for wave in (first, second):
+        wave.write.mode("append").partitionBy("locationid", "year").option("header", "true").csv(root)
+        air_quality.run_incremental(spark, root, schema, tables, checkpoint, ids, years,
+                                    prefer=["event_id", F.col("revision").desc()])
+    return spark.table(f"{tables}.gold_readings_daily").withColumn("measured_date", text("measured_date"))
+
+
+def moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily statistics of events from partial summaries of three batches in odd order, one entered twice
+    and two compacted."""
+    events = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
+    moments = Moments(f"{fresh_schema(spark)}.event_moments", ["event_type", "day"], "value")
+    for batch in (2, 0, 1, 0):
+        moments.add(events.where(F.col("event_id") % 3 == batch), batch)
+    moments.compact(spark, 1)
+    return moments.summary(spark)
+
+
 def event_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
     return spread_summary(events, ["event_type", "day"], "value")
@@ -116,16 +148,20 @@ def member_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_members(wanted, "c_custkey", read(spark, sf_dir, "orders").select("o_custkey"))
 
 
-QUERIES = {
-    "daily_summary": Query(daily_summary, _EXPECTED_GOLD),
-    "silver_readings": Query(silver_readings, _EXPECTED_SILVER),
-    "air_quality_medallion": Query(air_quality_medallion, _EXPECTED_GOLD),
-    "event_spread": Query(event_spread, f"""
+_SPREAD = f"""
         SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
                {rounded('avg(value)', 4)} AS daily_avg, {rounded('max(value)', 4)} AS daily_max,
                {rounded('min(value)', 4)} AS daily_min, {rounded('stddev_samp(value)', 4)} AS daily_stddev,
                count(value) AS reading_count
-        FROM events GROUP BY ALL"""),
+        FROM events GROUP BY ALL"""
+
+QUERIES = {
+    "daily_summary": Query(daily_summary, _EXPECTED_GOLD),
+    "silver_readings": Query(silver_readings, _EXPECTED_SILVER),
+    "air_quality_medallion": Query(air_quality_medallion, _EXPECTED_GOLD),
+    "air_quality_refresh": Query(air_quality_refresh, _EXPECTED_GOLD),
+    "moments_merged": Query(moments_merged, _SPREAD),
+    "event_spread": Query(event_spread, _SPREAD),
     "member_filter": Query(member_filter, """
         SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
           AND c_custkey IN (SELECT o_custkey FROM orders)"""),

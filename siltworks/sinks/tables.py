@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from contextlib import contextmanager
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,17 @@ def keeps_files(spark: SparkSession) -> bool:
     return table_format(spark) in _FILE_FORMATS
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    """A session setting for one statement."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -102,13 +114,31 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
     if not spark.catalog.tableExists(table):
         return replace_table(df, table, partition_by)
     add_columns(spark, table, df.schema)
+    _laid_out(_aligned(df, table), partition_by).write.mode("append").insertInto(table)
+
+
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """The columns of ``df`` as the table has them."""
     have = {f.name.lower(): f for f in df.schema.fields}
     aligned = []
-    for field in spark.table(table).schema.fields:
+    for field in df.sparkSession.table(table).schema.fields:
         own = have.get(field.name.lower())
         value = F.lit(None).cast(field.dataType) if own is None else _kept_whole(table, own.name, own.dataType, field.dataType)
         aligned.append(value.alias(field.name))
-    _laid_out(df.select(*aligned), partition_by).write.mode("append").insertInto(table)
+    return df.select(*aligned)
+
+
+def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of, and no others. ``df`` must not read them itself.
+
+    Doing it again with the same rows changes nothing, so a run that breaks off can be repeated.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return replace_table(df, table, partition_by)
+    add_columns(spark, table, df.schema)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        _laid_out(_aligned(df, table), partition_by).write.mode("overwrite").insertInto(table)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
@@ -150,13 +180,9 @@ def _create_at(spark: SparkSession, table: str, schema: T.StructType, partition_
     order = [f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order)
     layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    setting = "spark.sql.hive.manageFilesourcePartitions"
-    before = spark.conf.get(setting, "true")
-    spark.conf.set(setting, "false")  # partitions are those of the folder, so that it can be exchanged in one step
-    try:
+    # partitions are those of the folder, so that it can be exchanged in one step
+    with _setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
         spark.sql(f"CREATE TABLE {table} ({columns}) USING {kind}{layout} LOCATION {_quoted(location)}")
-    finally:
-        spark.conf.set(setting, before)
     describe_table(spark, table, comment, properties)
 
 
