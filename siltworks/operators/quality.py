@@ -106,11 +106,13 @@ def added_columns(actual: Sequence[str], expected: Sequence[str]) -> list[str]:
 def repeat_counts(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows per key, or per whole row. Combined on the map side, so a hot key is one row per
     task in the shuffle. Whole rows are compared by 128 hash bits instead of being shuffled; a
-    hash passes over NULLs, so each value comes with a flag that says whether it is one."""
-    marks = [part for c in df.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    hash passes over NULLs, so a row's NULLs are flagged in numbers that are hashed with it."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    flags = [reduce(lambda a, b: a + b, [F.when(c.isNull(), F.lit(1 << k).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+                                         for k, c in enumerate(columns[start:start + 60])]) for start in range(0, len(columns), 60)]
     by = [F.col(k) for k in keys] if keys else [
-        F.xxhash64(*marks).alias("_row_hash"),
-        F.xxhash64(F.lit("again"), *marks).alias("_row_hash_again")]
+        F.xxhash64(*flags, *columns).alias("_row_hash"),
+        F.xxhash64(F.lit("again"), *flags, *columns).alias("_row_hash_again")]
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_copies"))
 
 

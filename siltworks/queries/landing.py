@@ -275,6 +275,40 @@ def batch_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _loaded(spark: SparkSession, written: DataFrame, file_format: str, pattern: str, options: dict[str, str] | None = None) -> DataFrame:
+    """All rows of a table that was written in a format and loaded as a domain's file."""
+    root, schema = scratch_path(spark, "domain"), fresh_schema(spark)
+    written.write.format(file_format).options(**(options or {})).save(f"{root}/day/table")
+    files = {"filenames": [{"name": pattern, "table": "loaded", "options": options or {}}]}
+    batch_files.run(spark, DomainConfig.from_dict(root, schema, files))
+    return spark.table(f"{schema}.loaded").drop("_ingest_timestamp", "_source_file")
+
+
+def batch_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of documents, blank and very long lines among them, landed as text files: every line."""
+    texts = read(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value"))
+    return _loaded(spark, texts, "text", "table/*.txt", {"lineSep": "\n"})
+
+
+def batch_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as JSON: every column of every row."""
+    orders = read(spark, sf_dir, "orders")
+    rows = _loaded(spark, orders, "json", "table/*.json")
+    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in orders.dtypes])
+
+
+def batch_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items landed as ORC: every column of every row."""
+    lines = read(spark, sf_dir, "lineitem")
+    rows = _loaded(spark, lines.select(*[F.col(c).cast(_storable(t)).alias(c) for c, t in lines.dtypes]), "orc", "*.orc")
+    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in lines.dtypes])
+
+
+def batch_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as Parquet: every column of every row, whole texts."""
+    return _loaded(spark, read(spark, sf_dir, "documents"), "parquet", "table/*.parquet")
+
+
 def _storable(type_name: str) -> str:
     """Timestamps keep a zone in ORC files that older readers open."""
     return "timestamp" if type_name == "timestamp_ntz" else type_name
@@ -432,6 +466,11 @@ QUERIES = {
         f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(sum({k}) AS BIGINT) AS key_total FROM {t}"
         for t, k in [("customer", "c_custkey"), ("orders", "o_orderkey"), ("part", "p_partkey"),
                      ("lineitem", "l_orderkey"), ("documents", "doc_id")])),
+    "batch_text": Query(batch_text, """
+        SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS value FROM documents"""),
+    "batch_json": Query(batch_json, "SELECT * FROM orders"),
+    "batch_orc": Query(batch_orc, "SELECT * FROM lineitem"),
+    "batch_parquet": Query(batch_parquet, "SELECT * FROM documents"),
     "partition_pruned": Query(partition_pruned, "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')"),
     "folder_discovery": Query(folder_discovery, _counts(["orders", "customer", "part"], "table_name")),
     "stem_discovery": Query(stem_discovery, _counts(TABLES, "table_name")),
