@@ -11,6 +11,7 @@ from ..operators.quality import version_faults
 from ..operators.summarize import op_breakdown
 from ..plans import change_bronze
 from ..session import scratch_path, task_slots
+from ..sinks.history import History
 from ..streaming.landing import file_stream
 from ..streaming.replay import ChangeState, replay_stream
 from .base import Query, fresh_schema, read
@@ -64,6 +65,15 @@ def cdc_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return version_history(order_log(spark, sf_dir), KEYS, SEQUENCE)
 
 
+def cdc_history_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in five shuffled batches with late changes and deletes, one of them twice, merged one by one."""
+    log = order_log(spark, sf_dir)
+    history = History(f"{fresh_schema(spark)}.order_history", KEYS, SEQUENCE, buckets=8)
+    for batch in (3, 0, 4, 1, 0, 2):
+        history.merge(log.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(5)) == batch))
+    return history.versions(spark)
+
+
 def cdc_history_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History of a log with three keys, so each key holds a third of all changes."""
     log = read(spark, sf_dir, "orders").select(
@@ -129,6 +139,7 @@ QUERIES = {
         SELECT *, CAST(sum(op_rows) OVER (PARTITION BY table_name) AS BIGINT) AS total_rows FROM counted"""),
     "cdc_current": Query(cdc_current, _EXPECTED_CURRENT),
     "cdc_history": Query(cdc_history, _EXPECTED_HISTORY),
+    "cdc_history_merge": Query(cdc_history_merge, _EXPECTED_HISTORY),
     "cdc_history_by_status": Query(cdc_history_by_status, """
         SELECT o_orderstatus, o_orderdate, o_orderkey, o_orderdate AS valid_from, valid_to,
                valid_to IS NULL AS is_current
