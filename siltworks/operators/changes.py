@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .clean import first_per_key
@@ -50,7 +50,14 @@ def version_history(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
 def overlapping_versions(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
                          valid_to: str = "valid_to") -> DataFrame:
     """Versions that end after the next version of their key begins, or never end before it."""
-    timed = with_next(history, keys, [F.col(valid_from), F.col(valid_to).asc_nulls_last()],
-                      {"_next_from": valid_from})
+    return with_next_start(history, keys, valid_from, valid_to).where(overlaps_next(valid_to)).drop("_next_from")
+
+
+def with_next_start(history: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str) -> DataFrame:
+    """Add ``_next_from``, where the next version of a key begins."""
+    return with_next(history, keys, [F.col(valid_from), F.col(valid_to).asc_nulls_last()], {"_next_from": valid_from})
+
+
+def overlaps_next(valid_to: str) -> Column:
     open_ended = F.col(valid_to).isNull() | (F.col(valid_to) > F.col("_next_from"))
-    return timed.where(F.col("_next_from").isNotNull() & open_ended).drop("_next_from")
+    return F.col("_next_from").isNotNull() & open_ended

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .changes import overlapping_versions
+from .changes import overlaps_next, with_next_start
 from .rank import rolling_baseline
 
 RESULT_COLUMNS = ["table", "layer", "check", "metric", "threshold", "passed", "run_ts"]
@@ -192,13 +192,16 @@ def quarantine_rate(rules: Mapping[str, str], limit: float | None = None) -> Mea
 
 def version_faults(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
                    valid_to: str = "valid_to", is_current: str = "is_current") -> DataFrame:
-    """One row: keys with more than one current row, and versions that overlap the next."""
-    several = (history.groupBy(*keys).agg(F.count_if(F.col(is_current)).alias("_current"))
-               .agg(F.count_if(F.col("_current") > 1).alias("keys_with_several_current")))
-    overlaps = overlapping_versions(history, keys, valid_from, valid_to).agg(
-        F.count(F.lit(1)).alias("overlapping_versions"))
-    both = several.unionByName(overlaps, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    """One row: keys with more than one current row, and versions that overlap the next.
+
+    The history is read once, and of it the columns that are needed.
+    """
+    needed = history.select(*dict.fromkeys([*keys, valid_from, valid_to, is_current]))
+    timed = with_next_start(needed, keys, valid_from, valid_to)
+    per_key = timed.groupBy(*keys).agg(F.count_if(F.col(is_current)).alias("_current"),
+                                       F.count_if(overlaps_next(valid_to)).alias("_overlaps"))
+    return per_key.agg(F.count_if(F.col("_current") > 1).alias("keys_with_several_current"),
+                       F.coalesce(F.sum("_overlaps"), F.lit(0)).alias("overlapping_versions"))
 
 
 def reconcile(bronze: DataFrame, kept: DataFrame, quarantined: DataFrame,
