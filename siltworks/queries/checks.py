@@ -9,6 +9,7 @@ from ..config import CheckSpec
 from ..functions import steady_round
 from ..operators import quality as q
 from ..operators.clean import drop_repeats
+from ..operators.locate import locate_differences
 from ..plans import monitor
 from .base import NOW, Query, fresh_schema, read, rounded
 
@@ -63,6 +64,18 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(by_key.unionAll(by_row).unionAll(by_flag).unionAll(by_place))
 
 
+def dq_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items against a copy with changed, lost, repeated and foreign rows: the orders concerned."""
+    lines = read(spark, sf_dir, "lineitem")
+    order = F.col("l_orderkey")
+    copy = lines.where(~((order % 1009 == 7) & (F.col("l_linenumber") == 1))).withColumn(
+        "l_quantity", F.when(order % 997 == 5, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    repeated = lines.where(order % 1501 == 11)
+    foreign = lines.where(order % 2003 == 1).withColumn("l_orderkey", order + 100_000_000)
+    found = locate_differences(lines, copy.unionByName(repeated).unionByName(foreign), "l_orderkey")
+    return found.select("l_orderkey", "left_rows", "right_rows")
+
+
 def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that fail a rule, with the rules they fail."""
     _, quarantined = q.quarantine(read(spark, sf_dir, "orders"), ORDER_RULES)
@@ -245,6 +258,18 @@ QUERIES = {
         _result("orders by moved status", "bronze", "duplicate_rate", "1 - count(*) / (sum(n) + 0e0)", "NULL", "true",
                 "(SELECT a, b, count(*) AS n FROM (SELECT o_orderkey, NULL AS a, o_orderstatus AS b FROM orders UNION ALL "
                 "SELECT o_orderkey, o_orderstatus, NULL FROM orders) GROUP BY o_orderkey, a, b)"))),
+    "dq_locate": Query(dq_locate, """
+        WITH copy AS (
+          SELECT * REPLACE (CASE WHEN l_orderkey % 997 = 5 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+          FROM lineitem WHERE NOT (l_orderkey % 1009 = 7 AND l_linenumber = 1)
+          UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 1501 = 11
+          UNION ALL SELECT * REPLACE (l_orderkey + 100000000 AS l_orderkey) FROM lineitem WHERE l_orderkey % 2003 = 1
+        ), unlike AS (
+          (SELECT DISTINCT l_orderkey FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM copy))
+          UNION (SELECT DISTINCT l_orderkey FROM (SELECT * FROM copy EXCEPT ALL SELECT * FROM lineitem)))
+        SELECT l_orderkey, (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = u.l_orderkey) AS left_rows,
+               (SELECT count(*) FROM copy c WHERE c.l_orderkey = u.l_orderkey) AS right_rows
+        FROM unlike u"""),
     "dq_quarantine": Query(dq_quarantine, f"""
         SELECT o_orderkey, concat_ws(',',
                  CASE WHEN o_totalprice NOT BETWEEN 1000 AND 400000 THEN 'price_in_range' END,
