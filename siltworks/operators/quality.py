@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from functools import reduce
 from typing import Mapping, NamedTuple, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -53,7 +54,31 @@ def _holds(rule: str) -> Column:
 def measure(df: DataFrame, table: str, layer: str, measures: Sequence[Measure],
             now: dt.datetime | None = None) -> DataFrame:
     """Evaluate all measures in one aggregate of ``df`` and turn them into result rows."""
-    totals = df.agg(*[m.value.cast("double").alias(f"m{i}") for i, m in enumerate(measures)])
+    return _results(df.agg(*_values(measures)), table, layer, measures, now)
+
+
+def observe(df: DataFrame, measures: Sequence[Measure]) -> tuple[DataFrame, Observation]:
+    """``df`` whose measures are taken while it is written, and what will hold them: a batch is checked
+    without reading it again. Only the first action on the rows counts."""
+    seen = Observation(f"measures-{uuid.uuid4().hex}")
+    return df.observe(seen, *_values(measures)), seen
+
+
+def observed(spark: SparkSession, seen: Observation, table: str, layer: str, measures: Sequence[Measure],
+             now: dt.datetime | None = None) -> DataFrame:
+    """The same result rows as :func:`measure`, from rows that have been written."""
+    found = seen.get
+    names = [f"m{i}" for i in range(len(measures))]
+    totals = spark.createDataFrame([tuple(found.get(name) for name in names)], ", ".join(f"{name} double" for name in names))
+    return _results(totals, table, layer, measures, now)
+
+
+def _values(measures: Sequence[Measure]) -> list[Column]:
+    return [m.value.cast("double").alias(f"m{i}") for i, m in enumerate(measures)]
+
+
+def _results(totals: DataFrame, table: str, layer: str, measures: Sequence[Measure], now: dt.datetime | None) -> DataFrame:
+    """A row per measure from one row of their values."""
     rows = []
     for i, m in enumerate(measures):
         metric = F.col(f"m{i}")

@@ -11,6 +11,7 @@ from ..operators import quality as q
 from ..operators.clean import drop_repeats
 from ..operators.locate import locate_differences
 from ..plans import monitor
+from ..sinks.tables import append_table
 from .base import NOW, Query, fresh_schema, read, rounded
 
 ORDER_RULES = {"price_in_range": "o_totalprice BETWEEN 1000 AND 400000",
@@ -105,6 +106,15 @@ def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(q.measure(_gaps(spark, sf_dir), "orders", "silver", q.rule_breaches(rules), NOW))
 
 
+def dq_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of ``dq_rules`` and ``dq_nulls``, taken while the rows are written to a table."""
+    rules = {"key_not_negative": "o_custkey >= 0", "priority_known": "o_orderpriority LIKE '_-%'"}
+    measures = [*q.rule_breaches(rules), *q.null_rates(["o_orderkey", "o_custkey", "o_orderpriority"], 0.25)]
+    rows, seen = q.observe(_gaps(spark, sf_dir), measures)
+    append_table(rows, f"{fresh_schema(spark)}.orders_silver")
+    return _rows(q.observed(spark, seen, "orders", "silver", measures, NOW))
+
+
 def dq_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = []
     for table, df, keys in [("orders", _gaps(spark, sf_dir), ["o_custkey"]),
@@ -233,6 +243,14 @@ _SHIFT = f"""
          {rounded('abs(q - p) / 2', 6)} AS variation_part
   FROM floored"""
 
+_RULES_SQL = _union(
+    _result("orders", "silver", "rule:key_not_negative",
+            "count(*) FILTER (WHERE NOT coalesce(o_custkey >= 0, false))", "0",
+            "count(*) FILTER (WHERE NOT coalesce(o_custkey >= 0, false)) = 0", _GAPS),
+    _result("orders", "silver", "rule:priority_known",
+            "count(*) FILTER (WHERE NOT coalesce(o_orderpriority LIKE '_-%', false))", "0",
+            "count(*) FILTER (WHERE NOT coalesce(o_orderpriority LIKE '_-%', false)) = 0", _GAPS))
+
 QUERIES = {
     "dq_freshness": Query(dq_freshness, _union(
         _result("events", "bronze", "within_day", _AGE, "86400", f"{_AGE} <= 86400", "events"),
@@ -281,13 +299,8 @@ QUERIES = {
         "orders", "silver", "quarantine_rate", f"avg(CASE WHEN {_FAILS} THEN 1e0 ELSE 0e0 END)", "0.5",
         f"avg(CASE WHEN {_FAILS} THEN 1e0 ELSE 0e0 END) <= 0.5", "orders")),
     "dq_nulls": Query(dq_nulls, _union(*map(_null_rate, ["o_orderkey", "o_custkey", "o_orderpriority"]))),
-    "dq_rules": Query(dq_rules, _union(
-        _result("orders", "silver", "rule:key_not_negative",
-                "count(*) FILTER (WHERE NOT coalesce(o_custkey >= 0, false))", "0",
-                "count(*) FILTER (WHERE NOT coalesce(o_custkey >= 0, false)) = 0", _GAPS),
-        _result("orders", "silver", "rule:priority_known",
-                "count(*) FILTER (WHERE NOT coalesce(o_orderpriority LIKE '_-%', false))", "0",
-                "count(*) FILTER (WHERE NOT coalesce(o_orderpriority LIKE '_-%', false)) = 0", _GAPS))),
+    "dq_rules": Query(dq_rules, _RULES_SQL),
+    "dq_observed": Query(dq_observed, _union(_RULES_SQL, *map(_null_rate, ["o_orderkey", "o_custkey", "o_orderpriority"]))),
     "dq_keys": Query(dq_keys, _union(
         _result("orders", "silver", "null_keys", "count(*) FILTER (WHERE o_custkey IS NULL)", "0",
                 "count(*) FILTER (WHERE o_custkey IS NULL) = 0", _GAPS),

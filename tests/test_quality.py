@@ -164,3 +164,17 @@ def test_spec_needs_known_layer_and_something_to_check(spark):
         CheckSpec("t", "gold")
     with pytest.raises(ValueError, match="names no keys"):
         monitor.results(spark.range(1), CheckSpec("t", "silver"))
+
+
+def test_measures_taken_while_writing(spark, schema):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (-3, None)], "n int, s string")
+    measures = [*q.rule_breaches({"positive": "n > 0"}), *q.null_rates(["n", "s"], 0.5), q.null_keys(["n"])]
+    watched, seen = q.observe(rows, measures)
+    watched.write.saveAsTable(f"{schema}.t")
+    found = q.observed(spark, seen, "t", "silver", measures).drop("run_ts").collect()
+    assert found == q.measure(spark.table(f"{schema}.t"), "t", "silver", measures).drop("run_ts").collect()
+    plan = watched._jdf.queryExecution().executedPlan().toString()
+    assert "CollectMetrics" in plan and plan.count("Scan") == 1
+    empty, none = q.observe(rows.limit(0), measures)
+    empty.write.mode("append").saveAsTable(f"{schema}.t")
+    assert [r.metric for r in q.observed(spark, none, "t", "silver", measures).collect()] == [0.0, None, None, 0.0]
