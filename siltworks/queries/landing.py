@@ -23,7 +23,7 @@ from ..sources.archives import archive_lines, archive_members, extract_members,
 from ..sources.discovery import tables_by_folder, tables_by_stem, tables_by_suffix
 from ..sources.files import arrow_location, list_files, read_files, read_partitions
 from ..sources.register import FileRegister
-from ..streaming.landing import append_stream, file_stream
+from ..streaming.landing import append_stream, distinct_stream, file_stream
 from .base import Query, fresh_schema, nullable, read
 
 # The given tables.
@@ -189,6 +189,21 @@ def csv_surplus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_rescued_data").alias("rescued"))
 
 
+def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive several times within a run and in later runs; a third of all rows repeats one event."""
+    landing, table = scratch_path(spark, "events"), f"{fresh_schema(spark)}.events_silver"
+    events, checkpoint = read(spark, sf_dir, "events"), scratch_path(spark, "checkpoint")
+    half = events.where("event_id % 2 = 0")
+    first = events.agg(F.min("event_id")).first()[0]
+    copies = max(1, events.count() // 2)
+    hot = events.where(F.col("event_id") == first).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    for number, wave in enumerate((half.unionAll(half.where("event_id % 3 = 0")), events.unionAll(hot))):
+        wave.write.parquet(f"{landing}/{number}")
+        stream = distinct_stream(file_stream(spark, landing, "parquet", events.schema), ["event_id"])
+        append_stream(stream, table, checkpoint).awaitTermination()
+    return spark.table(table)
+
+
 def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events whose second half lands later with a modification time of a month before the first."""
     landing, table = scratch_path(spark, "events"), f"{fresh_schema(spark)}.events_bronze"
@@ -453,6 +468,7 @@ QUERIES = {
                CASE o_orderkey % 5 WHEN 1 THEN '{"_record":"' || o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',more-' || o_orderkey || ',"}'
                     WHEN 2 THEN '{"_record":"' || o_orderkey || ',' || o_custkey || '"}' END AS rescued
         FROM orders"""),
+    "stream_distinct": Query(stream_distinct, "SELECT * FROM events"),
     "stream_late_files": Query(stream_late_files, "SELECT * FROM events"),
     "rescued_decimals": Query(rescued_decimals, """
         SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN price = floor(price) THEN price END AS o_totalprice,

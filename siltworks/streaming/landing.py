@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,6 +17,7 @@ from ..sources.files import partition_glob
 # remembers the name of every file it has taken in.
 NEVER = "36500d"
 
+
 def file_stream(spark: SparkSession, path: str, file_format: str, schema: T.StructType,
                 options: Mapping[str, str] | None = None) -> DataFrame:
     """Stream of the files below ``path``, those already there included, each read once.
@@ -29,13 +30,6 @@ def file_stream(spark: SparkSession, path: str, file_format: str, schema: T.Stru
     return reader.options(**{**defaults, **(options or {})}).load(path)
 
 
-def stem_stream(spark: SparkSession, root: str, stem: str, file_format: str,
-                schema: T.StructType, options: Mapping[str, str] | None = None) -> DataFrame:
-    """Stream of ``<any folder>/<stem>.<format>`` below a root that many tables share."""
-    return file_stream(spark, root, file_format, schema,
-                       {"pathGlobFilter": f"{stem}.{file_format}", **(options or {})})
-
-
 def partition_stream(spark: SparkSession, root: str, file_format: str, schema: T.StructType,
                      options: Mapping[str, str] | None = None, **choices: Iterable) -> DataFrame:
     """Stream of the chosen folders of a partitioned tree; partition values become columns."""
@@ -44,6 +38,24 @@ def partition_stream(spark: SparkSession, root: str, file_format: str, schema: T
     return reader.options(**(options or {})).load(partition_glob(root, **choices))
 
 
+def distinct_stream(stream: DataFrame, keys: Sequence[str], event_time: str | None = None,
+                    horizon: str | None = None) -> DataFrame:
+    """The first row of each key that the stream ever brings, over all runs of one checkpoint.
+
+    Keys that have been seen are kept in Spark's state store, dealt out by key, so that neither the
+    source nor the table is read again; a key with very many rows is cut to one row per task first. With
+    ``event_time`` and ``horizon`` a key is forgotten when that much time has passed since; rows older
+    than that are late and left out, so choose the horizon longer than repeats and late files take.
+    Without them no row is ever late and the state grows with the number of keys: give the session the
+    RocksDB state store then.
+    """
+    if (event_time is None) != (horizon is None):
+        raise ValueError("a horizon needs an event time")
+    if event_time is None:
+        return stream.dropDuplicates(list(keys))
+    return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+
+
 def append_stream(stream: DataFrame, table: str, checkpoint: str,
                   every: str | None = None) -> StreamingQuery:
     """Start appending ``stream`` to ``table``.

@@ -17,7 +17,7 @@ from siltworks.sources.files import arrow_location, list_files
 from siltworks.sources.register import FileRegister
 from siltworks.sources.schemas import SchemaLog, conflicting_files, remembered_schema, widen
 from siltworks.streaming.fanout import drain_all, finished
-from siltworks.streaming.landing import append_stream, file_stream, partition_stream
+from siltworks.streaming.landing import append_stream, distinct_stream, file_stream, partition_stream
 from siltworks.streaming.replay import ChangeState, replay_stream
 
 
@@ -354,3 +354,29 @@ def test_landing_layout():
     with pytest.raises(TypeError):
         Landing("only a path")
     assert air_quality.PM25_BOUNDS[0].limit == 12.0 and dt.date.today().year > 2000
+
+
+def test_repeats_are_dropped_over_restarts(spark, scratch, schema):
+    path, checkpoint, table = scratch(), scratch(), f"{schema}.once"
+    read = lambda: distinct_stream(file_stream(spark, path, "parquet", T.StructType.fromDDL("id int, v string")), ["id"])
+    land(spark, [(1, "a"), (1, "a"), (None, "n"), (2, "b")], "id int, v string", f"{path}/1")
+    append_stream(read(), table, checkpoint).awaitTermination()
+    land(spark, [(2, "b"), (3, "c"), (None, "n")], "id int, v string", f"{path}/2")
+    broken = append_stream(read().withColumn("v", F.when(F.col("id") == 3, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("v"))),
+                           table, checkpoint)
+    with pytest.raises(Exception):
+        broken.awaitTermination()
+    for _ in range(2):  # the batch that broke off is taken up again
+        append_stream(read(), table, checkpoint).awaitTermination()
+        assert sorted(((r.id or 0), r.v) for r in spark.table(table).collect()) == [(0, "n"), (1, "a"), (2, "b"), (3, "c")]
+    with pytest.raises(ValueError):
+        distinct_stream(spark.range(1), ["id"], horizon="1 day")
+
+
+def test_keys_are_forgotten_after_their_horizon(spark, scratch, schema):
+    path, checkpoint, table = scratch(), scratch(), f"{schema}.once"
+    read = lambda: distinct_stream(file_stream(spark, path, "parquet", T.StructType.fromDDL("id int, at timestamp")), ["id"], "at", "2 days")
+    for number, rows in enumerate([[(1, 1)], [(1, 2), (2, 2)], [(3, 20)], [(1, 21)]]):
+        land(spark, [(i, dt.datetime(2024, 1, day)) for i, day in rows], "id int, at timestamp", f"{path}/{number}")
+        append_stream(read(), table, checkpoint).awaitTermination()
+    assert sorted((r.id, r["at"].day) for r in spark.table(table).collect()) == [(1, 1), (1, 21), (2, 2), (3, 20)]
