@@ -1,4 +1,4 @@
-"""Bronze tables from a landing root that all tables share, one table per file name."""
+"""Bronze tables from a landing root that all tables share, one per name of a file or of a folder of part files."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from ..config import Reading
 from ..functions import with_lineage
 from ..sinks.tables import describe_table
 from ..sources.discovery import stem_of
-from ..sources.files import root_exists
+from ..sources.files import _qualified, root_exists
 from ..sources.register import FileRegister
 from ..streaming.fanout import finished
 from ..streaming.intake import Target, intake_stream
@@ -41,7 +41,7 @@ def run(spark: SparkSession, root: str, schema: str, checkpoint_base: str, readi
     query = intake_stream(
         spark, root, f"{checkpoint_base}/{schema}/_root", register,
         lambda stem: Target(f"{schema}.{stem}_bronze", lambda rows: add_lineage(rows, stem)), reading, every,
-        f"*.{reading.format}", stem_of(F.col("path")), at_once, errors)
+        f"*.{reading.format}", stem_of(F.col("path"), _qualified(spark, root)), at_once, errors)
     query.awaitTermination()
     stems = [r.table_name for r in register.planned().select("table_name").distinct().collect()]
     outcomes = {stem: errors.get(stem) for stem in sorted(stems)}

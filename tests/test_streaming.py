@@ -223,6 +223,17 @@ def test_shared_root_routes_by_file_name(spark, scratch, schema, tmp_path):
     assert ("quality", "bronze") in [(r.key, r.value) for r in properties]
 
 
+def test_shared_root_takes_folders_of_part_files_for_tables(spark, scratch, schema):
+    root = scratch("landing")
+    spark.range(6).repartition(3).write.parquet(f"{root}/orders.parquet")
+    spark.range(2).coalesce(1).write.parquet(f"{root}/day/people.parquet")
+    outcomes = shared_landing.run(spark, root, schema, scratch())
+    raise_any(outcomes)
+    assert sorted(outcomes) == ["orders", "people"]
+    rows = spark.table(f"{schema}.orders_bronze")
+    assert sorted(r.id for r in rows.collect()) == [0, 1, 2, 3, 4, 5] and rows.select("_source_name").distinct().count() == 1
+
+
 def test_partition_stream_reads_chosen_folders(spark, scratch):
     root = scratch()
     rows = [(i, y, i * 1.5) for i in (1, 2, 3) for y in (2022, 2023, 2024)]
