@@ -38,7 +38,7 @@ def _raise_first(outcomes: dict[str, Exception | None]) -> None:
 
 
 def shared_root(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The folder of given tables as landing root: every file name found becomes a bronze table."""
+    """The folder of given tables as landing root: every name found, of a file or a folder of part files, becomes a bronze table."""
     schema = fresh_schema(spark)
     _raise_first(shared_landing.run(spark, sf_dir, schema, scratch_path(spark, "checkpoint")))
     counts = [spark.table(f"{schema}.{t}").groupBy("_source_name").agg(
@@ -349,7 +349,7 @@ def folder_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stem_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables found by file name, each read whole."""
+    """Tables found by the name of a file or of a folder of part files, each read whole."""
     return reduce(DataFrame.unionAll, [
         read(spark, sf_dir, stem).agg(F.lit(stem).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for stem in tables_by_stem(spark, sf_dir, "parquet")])

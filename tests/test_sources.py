@@ -126,6 +126,16 @@ def test_discovery(spark, tmp_path, schema):
     assert tables_by_suffix(spark, schema) == ["a_bronze", "b_bronze"]
 
 
+
+def test_discovery_of_tables_that_are_folders_of_part_files(spark, tmp_path):
+    root = tmp_path / "above.parquet"  # a folder above the root's files names no table
+    for name in ("orders.parquet/part-0000.parquet", "orders.parquet/part-0001.parquet", "people.parquet",
+                 "d1/sales.parquet/year=2024/part-0.snappy.parquet", "d2.csv/stock.parquet"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"not read")
+    assert tables_by_stem(spark, str(root), "parquet") == ["orders", "people", "sales", "stock"]
+
+
 def test_arrow_locations(tmp_path):
     for uri in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
         assert arrow_location(uri)[1] == str(tmp_path)
