@@ -6,8 +6,10 @@ while reading bytes: each guess walks the trie of the vocabulary, and may end a
 neighbour test against the guess's last token holds. Every prefix has one complete guess.
 Determinisation keeps the set of live guesses with the tokens on which they do not yet agree, and
 emits a token as soon as all agree: a guess lives no longer than the longest token, which bounds
-the lookahead. Transitions and their states are made when met again, and dropped together when
-they exceed a fixed number. Encodings of whole pieces are remembered in the same bounded way.
+the lookahead. Transitions and their states are made when met often, and dropped together when
+they exceed a fixed number; until then the guesses of a short piece are followed one at a time.
+Encodings of whole pieces are remembered in the same bounded way. What a worker process has learnt
+serves its later tasks: these bounds, and not the end of a task, drop it.
 
 Decoding joins token bytes and feeds them through an incremental UTF-8 state machine, so that a
 character split between tokens or blocks is put together again.
@@ -35,8 +37,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import Sink, per_process, rows_of, whole_text
 
 MAX_STATES = 60_000
-MAX_PIECES = 100_000
+MAX_PIECES = 200_000
+#: A piece of up to ONCE bytes makes a move a state only when OFTEN others have met it.
 ONCE = 64
+OFTEN = 64
 _BLOCK = 1 << 18
 
 # Code points that the `regex` module (Unicode 17) counts as letters or numbers
@@ -134,6 +138,7 @@ class Transducer:
         self.arcs: dict[int, int] = {}
         self.token_at: list[int] = [-1]
         self.inner: list[bool] = [False]
+        self.made: dict[bytes, int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.plain = True
@@ -145,10 +150,11 @@ class Transducer:
                 self.parts[rank] = (ranks[merged[0]], ranks[merged[1]])
                 self.plain &= max(self.parts[rank]) < rank
             self._insert(token, rank)
+            self.made[token] = rank
         self.pairs: dict[int, bool] = {}
         self.ends: dict[int, list[tuple[bytes, int]]] = {}
         self.begins: dict[int, list[tuple[bytes, int]]] = {}
-        self.met: set[int] = set()
+        self.met: dict[int, int] = {}
         self.alike = self._contexts() if self.plain else {rank: rank for rank in self.bytes_of}
         self._reset()
 
@@ -303,29 +309,33 @@ class Transducer:
         found = self.moves[state << 8 | byte] = (number, emitted)
         return found
 
-    def _through(self, guesses: tuple, rest: bytes) -> tuple[int, ...]:
-        """The tokens of a short rest, by the same guesses without making states of them: a move is
-        made a state only when it is met again, since most endings of rare words are met once."""
-        arcs, tokens, inner, pairs = self.arcs, self.token_at, self.inner, self.pairs
-        for byte in rest:
-            following, complete = [], None
-            for guess in guesses:
-                child = arcs.get(guess[0] << 8 | byte)
-                if child is None:
-                    continue
-                if inner[child]:
-                    following.append((child, guess[1]))
-                if complete is None and (token := tokens[child]) >= 0:
-                    chain = guess[1]
-                    before = chain[-1]
+    def _searched(self, piece: bytes) -> list[int]:
+        """The tokens of a short piece, by the same guesses without making states of them.
+
+        Guesses are followed one at a time, the longest token first. A prefix has one complete guess, so
+        a place from which none leads on is not tried again.
+        """
+        made, pairs, end, dead = self.made, self.pairs, len(piece), set()
+        place, size, before, chain, behind = 0, end, -1, [], []
+        while True:
+            while size:
+                token = made.get(piece[place:place + size])
+                if token is not None and place + size not in dead:
                     apart = True if before < 0 else pairs.get(before << 20 | token)
                     if apart is None:
                         apart = self.neighbours(before, token)
                     if apart:
-                        complete = chain + (token,)
-            following.append((0, complete))
-            guesses = following
-        return complete[1:]
+                        chain.append(token)
+                        if place + size == end:
+                            return chain
+                        behind.append((place, size - 1, before))
+                        place, before = place + size, token
+                        size = end - place
+                        continue
+                size -= 1
+            dead.add(place)
+            place, size, before = behind.pop()
+            chain.pop()
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -338,10 +348,10 @@ class Transducer:
             move = moves.get(state << 8 | byte)
             if move is None:
                 key = state << 8 | byte
-                if key not in self.met and len(piece) <= ONCE:
-                    self.met.add(key)
-                    out.extend(self._through(self.states[state], piece[at:]))
-                    return out
+                times = self.met.get(key, 0)
+                if times < OFTEN and len(piece) <= ONCE:
+                    self.met[key] = times + 1
+                    return self._searched(piece)
                 move = self._move(state, byte)
                 if len(self.states) > self.max_states * 2:  # one long piece alone
                     kept = self.states[move[0]]
@@ -377,13 +387,6 @@ class Encoder:
             self.young[piece] = packed
         return packed
 
-    def forget(self) -> None:
-        """Drop what was learnt from texts but for the newest pieces, which are bounded in number and
-        length: an idle worker keeps these and the vocabulary, and its next task does not learn them anew."""
-        self.old = {}
-        self.machine.pairs.clear()
-        self.machine._reset()
-
     def encode(self, text: str) -> bytes:
         out = []
         for block in blocks(text):
@@ -448,7 +451,7 @@ def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_colum
             if sink.add((key, len(packed) // 4, packed), len(packed)):
                 yield sink.flush()
         yield sink.flush()
-        encoder.forget()
+        pa.default_memory_pool().release_unused()  # a worker that waits keeps the encoder and no buffers
 
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     return rows.mapInArrow(run, "row_key bigint, n_tokens bigint, ids binary").withColumnRenamed("row_key", id_column)
@@ -472,6 +475,7 @@ def decode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", ids_column
             if sink.add((key, text, *rest), len(text) + 64):
                 yield sink.flush()
         yield sink.flush()
+        pa.default_memory_pool().release_unused()
 
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), F.col(ids_column).alias("packed"), *keep)
     names = "row_key bigint, text string" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept)

@@ -351,6 +351,14 @@ def test_states_are_dropped_and_remade(library):
     assert len(small.machine.states) <= 200
 
 
+def test_moves_that_are_seldom_met_make_no_states(library):
+    machine, generator = bpe.Transducer(bpe.read_ranks(RANKS)), random.Random(11)
+    pieces = {"".join(generator.choices("thionersa", k=generator.randint(2, 20))) for _ in range(20)}
+    for _ in range(3):
+        assert [machine.encode(p.encode()) for p in sorted(pieces)] == [library.encode_ordinary(p) for p in sorted(pieces)]
+    assert len(machine.states) == 1 and not machine.moves
+
+
 def test_any_ranks_give_what_plain_merging_gives():
     """Also ranks in which a token comes before its parts, and tokens that merging never makes."""
     generator = random.Random(8)
