@@ -124,6 +124,8 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield sink.flush()
     yield from records()
     yield sink.flush()
+    del table, best, sizes, names, shas
+    pa.default_memory_pool().release_unused()  # a worker that waits holds no buffers
 
 
 _GROUP = pa.schema([("record", pa.string()), ("keep_id", pa.int64()), ("keep_points", pa.int64()),
@@ -219,6 +221,7 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
             if sink.add(row, 80):
                 yield sink.flush()
         yield sink.flush()
+        pa.default_memory_pool().release_unused()
 
     records = (passed.where(F.col("body").isNotNull())
                .select("record", "row_id", "points", "size", "bucket", "body")
