@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..session import bounded_batches
 from .common import Sink, per_process, rows_of, whole_text
 
 MAX_STATES = 60_000
@@ -442,6 +443,7 @@ def _token_bytes(path: str) -> dict[int, bytes]:
 
 def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``<id>, n_tokens, ids``: the packed ids of every whole text."""
+    bounded_batches(df.sparkSession)
     schema = pa.schema([("row_key", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bounded_batches
 from .common import Sink, per_process, rows_of, whole_text
 from .wordhash import mix
 
@@ -279,6 +280,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
                item_text: str = "text", rate: float = RATE, q: int = Q, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark, with all their columns."""
+    bounded_batches(docs.sparkSession)
     place = docs.columns.index(text_column)
     for items in _blocks(benchmark, item_column, item_text, rate, q, block_chars):
         def run(batches, items=items):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, stage
+from ..session import bounded_batches, scratch_path, stage
 from ..sources.files import arrow_location
 from .common import Sink, rows_of, whole_text
 from .idfilter import split
@@ -210,6 +210,7 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
                  bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``<id>, keep_id, group_size, kept, text_sha256`` of every row."""
     spark = df.sparkSession
+    bounded_batches(spark)
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     passed = stage(rows.mapInArrow(_first_pass, "record string, row_id bigint, text_sha256 string, points bigint, "
                                                 "size bigint, bucket bigint, body binary"), "grace")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import bounded_batches, stage
 from .common import Sink, rows_of, whole_text
 from .components import components
 from .idfilter import BitTable, bit_table, split
@@ -294,6 +294,7 @@ def groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     ``component_id`` is the least id that links lead to. Documents link when
     ``100 * shared >= percent * all`` of their distinct n-grams of ``words`` words.
     """
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     counts = token_counts(rows, words, count_bits)
     known = stage(_nodes(rows, counts, words, percent), "jaccard")

@@ -6,11 +6,13 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siltworks.llm import chat, decontaminate, grace, jaccard, quality
+from siltworks.llm import bpe, chat, decontaminate, grace, jaccard, quality
+from siltworks.session import BATCH_SETTING
 
 NAMES = ("_id", "_own_sha", "_own_points", "_sha", "_points", "own_id", "own_sha", "own_points", "row", "id", "sha", "points", "record",
          "body", "row_key", "gone", "bucket", "kept", "keep_id", "n", "class", "score", "set_a", "set_b", "a", "b", "item", "edits")
@@ -61,6 +63,34 @@ def test_stages_of_the_pipeline_on_odd_rows(spark, tmp_path):
         frame.collect()
 
 
+@pytest.mark.parametrize("stage", ["exact", "near", "clean", "good", "fit", "tokens"])
+def test_workers_get_texts_in_bounded_batches(spark, stage):
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "e f g h")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "passage of many words that is copied")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    own = spark.newSession()
+    docs, items, labels = (own.createDataFrame(x.collect(), x.schema) for x in (docs, items, labels))
+    work = {"exact": lambda: grace.exact_groups(docs), "near": lambda: jaccard.groups(docs), "clean": lambda: decontaminate.keep_clean(docs, items),
+            "good": lambda: quality.keep_good(docs, np.zeros((1 << quality.BITS) + 1)), "fit": lambda: quality.fit(docs, labels),
+            "tokens": lambda: bpe.encode(docs, public_tokenizers.path(corpus_pipeline.RANKS))}[stage]
+    work()
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    def largest():
+        texts = own.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))  # 30 MB in one partition
+        return max(r.size for r in texts.mapInArrow(sizes, "size long").collect())
+
+    assert 2_000_000 < largest() < 6_000_000
+    own.conf.set(BATCH_SETTING, "1m")  # a bound that the session has stays
+    work()
+    assert largest() < 1_500_000
+
+
 @pytest.mark.parametrize("block_chars", [200, 2_000_000])
 def test_items_are_rows_whatever_their_id(spark, block_chars):
     texts = ["the first passage with quite a number of letters in it", "a second passage which has other letters altogether, yes",
