@@ -3,9 +3,10 @@
 Method. A document's tokens are the hashes of its distinct word n-grams. In any global order of the
 tokens, two sets that are similar enough share a token among the first of each (their prefixes).
 The first order puts rare tokens first: a table of counts over all documents, of fixed size, gives
-each token's rank, so that common passages stay out of prefixes. Candidates of this order must also
-share prefix tokens in further orders, which are permutations by hashing; those that do are
-verified by intersecting their whole sets.
+each token's rank, so that common passages stay out of prefixes (the larger the table, the fewer
+tokens take the counts of others). Candidates of this order must also share prefix tokens in further
+orders, which are permutations by hashing; 32 bits of these tokens are compared, which lets a few
+more candidates pass and drops none. Those that pass are verified by intersecting their whole sets.
 
 Equal sets are one node from the start. Pairs are not listed within groups: first each node is
 paired with the least and the greatest node of every prefix token, and verified links are
@@ -24,6 +25,7 @@ whole. Tokens are 64-bit hashes: two n-grams are taken for one with a chance of
 from __future__ import annotations
 
 import zlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,8 @@ from .components import components
 from .idfilter import BitTable, bit_table, split
 from .wordhash import WordHasher, blank_separated, combine, mix
 
-COUNT_BITS = 20
+#: Places of the table of counts, a byte each in the driver and in a worker.
+COUNT_BITS = 24
 #: Up to this many nodes of a token are compared as pairs, more in blocks of at most BLOCK_NODES.
 PAIR_NODES = 48
 BLOCK_NODES = 384
@@ -76,63 +79,79 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of each token, enough for a filter."""
+    return tokens.astype(np.uint32).view(np.int32)
+
+
 _COUNT = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 
 
-def token_counts(rows: DataFrame, words: int, bits: int) -> np.ndarray:
-    """How many documents' tokens fall into each of ``2**bits`` places, over all documents.
+def _graded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes in the same order, sixteen grades for each doubling."""
+    return np.minimum(16 * np.log2(1.0 + counts), 255).astype(np.uint8)
+
 
-    Tasks send their counts in slices, which are added up slice by slice; the driver holds the
-    ``2**bits`` sums, whatever the size of the data.
+def token_ranks(rows: DataFrame, words: int, bits: int) -> np.ndarray:
+    """How many documents' tokens fall into each of ``2**bits`` places, over all documents, in grades.
+
+    Tasks send their counts in slices, which are added up slice by slice; the driver holds
+    ``2**bits`` bytes, whatever the size of the data.
     """
     span = (1 << bits) // _SLICES
 
+    def slices(counts):
+        for k in range(_SLICES):
+            packed = zlib.compress(counts[k * span:(k + 1) * span].tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed], pa.binary())], schema=_COUNT)
+
     def count(batches):
-        counts, tokens, some = np.zeros(1 << bits, np.uint32), Tokens(words), False
+        counts, tokens, texts = np.zeros(1 << bits, np.uint16), Tokens(words), 0
         for _, found in tokens.texts(rows_of(batches)):
-            some = True
-            np.add.at(counts, (found >> np.uint64(64 - bits)).astype(np.int64), 1)
-        if some:
-            for k in range(_SLICES):
-                packed = zlib.compress(counts[k * span:(k + 1) * span].tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed], pa.binary())], schema=_COUNT)
+            if texts == 0xFFFF:  # a place counts a text's token once, unless tokens meet in it
+                yield from slices(counts)
+                counts[:], texts = 0, 0
+            at = (found >> np.uint64(64 - bits)).astype(np.int64)
+            np.add.at(counts, at, 1)
+            texts += 1
+        if texts:
+            yield from slices(counts)
 
     def add(batches):
-        sums = {}
-        for k, packed in rows_of(batches):
-            counts = np.frombuffer(zlib.decompress(packed), np.uint32).astype(np.uint64)
-            sums[k] = sums[k] + counts if k in sums else counts
-        for k, total in sums.items():
-            small = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(small.tobytes(), 1)], pa.binary())],
+        for k, parts in groupby(rows_of(batches), key=lambda row: row[0]):  # a task may hold several slices
+            total = np.zeros(span, np.uint64)
+            for _, packed in parts:
+                total += np.frombuffer(zlib.decompress(packed), np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(_graded(total).tobytes(), 1)], pa.binary())],
                                              schema=_COUNT)
 
-    out = np.zeros(1 << bits, np.uint32)
-    summed = rows.mapInArrow(count, "slice int, counts binary").repartition("slice")
+    out = np.zeros(1 << bits, np.uint8)
+    summed = rows.mapInArrow(count, "slice int, counts binary").repartition("slice").sortWithinPartitions("slice")
     for k, packed in summed.mapInArrow(add, "slice int, counts binary").collect():  # 64 slices of a fixed table
-        out[k * span:(k + 1) * span] = np.frombuffer(zlib.decompress(packed), np.uint32)
+        out[k * span:(k + 1) * span] = np.frombuffer(zlib.decompress(packed), np.uint8)
     return out
 
 
 _NODE = pa.schema([("row_key", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()),
                    ("prefix", pa.list_(pa.int64()))])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_SET = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("second", pa.list_(pa.int64())),
-                  ("third", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+_SET = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("second", pa.list_(pa.int32())),
+                  ("third", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int64()))])
 
 
-def _nodes(rows: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
+def _nodes(rows: DataFrame, ranks: np.ndarray, words: int, percent: int) -> DataFrame:
     """Each row's set size, two hashes of its set, and its prefix in the rare-first order."""
-    shift = np.uint64(64 - int(np.log2(len(counts))))
+    shift = np.uint64(64 - int(np.log2(len(ranks))))
+    packed = zlib.compress(ranks.tobytes(), 1)
 
     def run(batches):
-        tokens, sink = Tokens(words), Sink(_NODE)
+        ranks, tokens, sink = np.frombuffer(zlib.decompress(packed), np.uint8), Tokens(words), Sink(_NODE)
         for key, found in tokens.texts(rows_of(batches)):
             n = len(found)
             if not n:
                 row = (key, 0, 0, 0, None)
             else:
-                rank = counts[(found >> shift).astype(np.int64)]
+                rank = ranks[(found >> shift).astype(np.int64)]
                 first = found[np.argsort(rank, kind="stable")[:prefix_length(n, percent)]]
                 one, two = np.bitwise_xor.reduce(mix(found)), np.add.reduce(mix(found ^ np.uint64(_ORDERS[0])))
                 row = (key, n, int(one.astype(np.int64)), int(two.astype(np.int64)), _signed(first))
@@ -163,13 +182,13 @@ def _sets(rows: DataFrame, nodes: DataFrame, words: int, percent: int, prefixes:
             p = prefix_length(len(found), percent)
             if not p:
                 continue
-            further = [_signed(found[np.argsort(mix(found ^ np.uint64(seed)), kind="stable")[:p]]) if prefixes else None
+            further = [_short(found[np.argsort(mix(found ^ np.uint64(seed)), kind="stable")[:p]]) if prefixes else None
                        for seed in _ORDERS]
             if sink.add((key, len(found), *further, _signed(found) if whole else None), 64 + 10 * len(found)):
                 yield sink.flush()
         yield sink.flush()
 
-    found = rows.mapInArrow(run, "node bigint, n bigint, second array<bigint>, third array<bigint>, tokens array<bigint>")
+    found = rows.mapInArrow(run, "node bigint, n bigint, second array<int>, third array<int>, tokens array<bigint>")
     return found.drop(*(() if prefixes else ("second", "third")), *(() if whole else ("tokens",)))
 
 
@@ -296,8 +315,8 @@ def groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """
     bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
-    counts = token_counts(rows, words, count_bits)
-    known = stage(_nodes(rows, counts, words, percent), "jaccard")
+    ranks = token_ranks(rows, words, count_bits)
+    known = stage(_nodes(rows, ranks, words, percent), "jaccard")
     filled = known.where("n > 0 AND row_key IS NOT NULL")
     posted = (filled.groupBy("set_a", "set_b")
               .agg(F.min("row_key").alias("node"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))

@@ -215,6 +215,30 @@ def test_one_of_each_group_stays(spark):
     assert jaccard.groups(df.limit(0)).count() == 0 and jaccard.keep_one(df.limit(0)).count() == 0
 
 
+def test_ranks_keep_the_order_of_counts(spark):
+    """Also of a token that a task meets in more texts than a 16-bit count holds."""
+    often = spark.range(0, 70_000, 1, 1).select("id", F.lit("a b c").alias("text"))
+    some = spark.range(0, 5000, 1, 1).select("id", F.lit("d e f").alias("text"))
+    ranks = jaccard.token_ranks(often.union(some), 3, 16)
+    hashes = dict(jaccard.Tokens(3).texts([("often", "a b c"), ("some", "d e f")]))
+    often, some = (int(ranks[int(hashes[k][0]) >> 48]) for k in ("often", "some"))
+    assert ranks.dtype == np.uint8 and (often, some) == (255, int(16 * np.log2(5001))) and np.count_nonzero(ranks) == 2
+    assert len(jaccard.token_ranks(spark.createDataFrame([(1, "a b c")], "id long, text string"), 3, jaccard.COUNT_BITS)) >= 1 << 24
+
+
+def test_filters_of_further_orders_are_narrow_and_drop_nothing(spark):
+    rows = [(1, " ".join(f"w{k}" for k in range(200))), (2, " ".join(f"w{k}" for k in range(190)) + " x y z"), (3, "other words of a text")]
+    df = spark.createDataFrame(rows, "row_key long, body string")
+    sets = jaccard._sets(df, df.select("row_key"), 3, 90)
+    assert dict(sets.dtypes)["second"] == dict(sets.dtypes)["third"] == "array<int>"
+    found, own = {r.node: r for r in sets.collect()}, dict(jaccard.Tokens(3).texts(rows))
+    assert all(sorted(found[k].tokens) == sorted(own[k].view(np.int64).tolist()) for k in own)
+    assert set(found[1].second) & set(found[2].second) and set(found[1].third) & set(found[2].third)
+    for k, row in found.items():
+        low = set(own[k].astype(np.uint32).view(np.int32).tolist())
+        assert set(row.second) <= low and set(row.third) <= low and len(row.second) == jaccard.prefix_length(row.n, 90)
+
+
 def test_prefix_lengths_are_exact():
     for size in range(1, 200):
         p = jaccard.prefix_length(size, 90)
