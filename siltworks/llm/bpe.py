@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import bounded_batches
-from .common import Sink, per_process, rows_of, whole_text
+from .common import Sink, give_back, per_process, rows_of, whole_text
 
 MAX_STATES = 60_000
 MAX_PIECES = 200_000
@@ -453,7 +453,7 @@ def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_colum
             if sink.add((key, len(packed) // 4, packed), len(packed)):
                 yield sink.flush()
         yield sink.flush()
-        pa.default_memory_pool().release_unused()  # a worker that waits keeps the encoder and no buffers
+        give_back()  # all but the encoder
 
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     return rows.mapInArrow(run, "row_key bigint, n_tokens bigint, ids binary").withColumnRenamed("row_key", id_column)

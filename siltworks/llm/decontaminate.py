@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import bounded_batches
-from .common import Sink, per_process, rows_of, whole_text
+from .common import Sink, give_back, per_process, rows_of, whole_text
 from .wordhash import mix
 
 RATE = 0.07
@@ -290,6 +290,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text",
                     part = batch.slice(start, 512)
                     clean = [not search.text(body or "") for body in part.column(place).to_pylist()]
                     yield part.filter(pa.array(clean, pa.bool_()))
+            give_back()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import bounded_batches, scratch_path, stage
 from ..sources.files import arrow_location
-from .common import Sink, rows_of, whole_text
+from .common import Sink, give_back, rows_of, whole_text
 from .idfilter import split
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -125,7 +125,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from records()
     yield sink.flush()
     del table, best, sizes, names, shas
-    pa.default_memory_pool().release_unused()  # a worker that waits holds no buffers
+    give_back()
 
 
 _GROUP = pa.schema([("record", pa.string()), ("keep_id", pa.int64()), ("keep_points", pa.int64()),
@@ -222,7 +222,7 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
             if sink.add(row, 80):
                 yield sink.flush()
         yield sink.flush()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     records = (passed.where(F.col("body").isNotNull())
                .select("record", "row_id", "points", "size", "bucket", "body")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import bounded_batches, stage
-from .common import Sink, rows_of, whole_text
+from .common import Sink, give_back, rows_of, whole_text
 from .components import components
 from .idfilter import BitTable, bit_table, split
 from .wordhash import WordHasher, blank_separated, combine, mix
@@ -116,6 +116,8 @@ def token_ranks(rows: DataFrame, words: int, bits: int) -> np.ndarray:
             texts += 1
         if texts:
             yield from slices(counts)
+        del counts
+        give_back()
 
     def add(batches):
         for k, parts in groupby(rows_of(batches), key=lambda row: row[0]):  # a task may hold several slices
@@ -158,6 +160,8 @@ def _nodes(rows: DataFrame, ranks: np.ndarray, words: int, percent: int) -> Data
             if sink.add(row, 64 + 8 * (n // 8)):
                 yield sink.flush()
         yield sink.flush()
+        del ranks
+        give_back()
 
     return rows.mapInArrow(run, "row_key bigint, n bigint, set_a bigint, set_b bigint, prefix array<bigint>")
 
@@ -187,6 +191,7 @@ def _sets(rows: DataFrame, nodes: DataFrame, words: int, percent: int, prefixes:
             if sink.add((key, len(found), *further, _signed(found) if whole else None), 64 + 10 * len(found)):
                 yield sink.flush()
         yield sink.flush()
+        give_back()
 
     found = rows.mapInArrow(run, "node bigint, n bigint, second array<int>, third array<int>, tokens array<bigint>")
     return found.drop(*(() if prefixes else ("second", "third")), *(() if whole else ("tokens",)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltworks.llm import bpe, chat, decontaminate, grace, jaccard, quality
+from siltworks.llm.common import give_back
 from siltworks.session import BATCH_SETTING
 
 NAMES = ("_id", "_own_sha", "_own_points", "_sha", "_points", "own_id", "own_sha", "own_points", "row", "id", "sha", "points", "record",
@@ -91,6 +92,20 @@ def test_workers_get_texts_in_bounded_batches(spark, stage):
     assert largest() < 1_500_000
 
 
+def test_a_finished_task_gives_its_memory_back():
+    """What is freed below blocks still in use stays with the process otherwise."""
+    def held():
+        with open("/proc/self/smaps_rollup") as lines:
+            return next(int(line.split()[1]) for line in lines if line.startswith("Private_Dirty")) >> 10
+
+    texts = [b"%06d" % k * 300 for k in range(110_000)]  # 200 MB in blocks of the C library
+    last, full = texts[-1], held()
+    del texts
+    kept = held()
+    give_back()
+    assert last and held() < full - 150 and held() <= kept
+
+
 @pytest.mark.parametrize("block_chars", [200, 2_000_000])
 def test_items_are_rows_whatever_their_id(spark, block_chars):
     texts = ["the first passage with quite a number of letters in it", "a second passage which has other letters altogether, yes",
