@@ -45,6 +45,23 @@ def test_the_table_of_runs_may_be_small(monkeypatch):
     assert len(encoder.new) <= 3 and len(encoder.old) <= 3
 
 
+def test_words_met_before_are_found_at_once_whatever_signs_follow():
+    class Counted(dict):
+        missed = 0
+
+        def get(self, key):
+            found = super().get(key)
+            self.missed += found is None
+            return found
+
+    library, encoder = Tokenizer.from_file(PATH), repair.Encoder(PATH)
+    encoder.ids("alpha été b2 , . ). \"")
+    encoder.new = Counted(encoder.new)
+    for text in ("alpha, été. B2).", "Alpha). b2\"\nété,\talpha."):
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder.new.missed == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 6), min_size=1, max_size=80), min_size=1, max_size=12), st.integers(2, 4))
 def test_round_trip(documents, least):
