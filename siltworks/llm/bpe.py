@@ -453,7 +453,7 @@ def encode(df: DataFrame, ranks_path: str, id_column: str = "doc_id", text_colum
             if sink.add((key, len(packed) // 4, packed), len(packed)):
                 yield sink.flush()
         yield sink.flush()
-        give_back()  # all but the encoder
+        give_back("bpe", "bpe-tokens")
 
     rows = df.select(F.col(id_column).cast("bigint").alias("row_key"), whole_text(text_column).alias("body"))
     return rows.mapInArrow(run, "row_key bigint, n_tokens bigint, ids binary").withColumnRenamed("row_key", id_column)

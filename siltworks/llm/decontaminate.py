@@ -290,7 +290,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text",
                     part = batch.slice(start, 512)
                     clean = [not search.text(body or "") for body in part.column(place).to_pylist()]
                     yield part.filter(pa.array(clean, pa.bool_()))
-            give_back()
+            give_back("folded")
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import rows_of
+from .common import give_back, rows_of
 from .wordhash import mix
 
 BITS = 24
@@ -58,6 +58,8 @@ def bit_table(ids: DataFrame) -> bytes:
             part = bits[k * span:(k + 1) * span]
             if part.any():
                 yield row(k, np.packbits(part))
+        del bits
+        give_back()
 
     def join(batches):
         found: dict[int, np.ndarray] = {}
@@ -83,6 +85,8 @@ def split(df: DataFrame, id_column: str, ids: DataFrame) -> tuple[DataFrame, Dat
             table = BitTable(packed)
             for batch in batches:
                 yield batch.filter(pa.array(table.among(batch.column(place)) == hit))
+            del table
+            give_back()
 
         return df.mapInArrow(run, df.schema)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltworks.llm import bpe, chat, decontaminate, grace, jaccard, quality
-from siltworks.llm.common import give_back
+from siltworks.llm.common import give_back, per_process
 from siltworks.session import BATCH_SETTING
 
 NAMES = ("_id", "_own_sha", "_own_points", "_sha", "_points", "own_id", "own_sha", "own_points", "row", "id", "sha", "points", "record",
@@ -106,6 +106,24 @@ def test_a_finished_task_gives_its_memory_back():
     assert last and held() < full - 150 and held() <= kept
 
 
+def test_a_finished_task_drops_what_other_operators_keep():
+    made = []
+
+    def make(name):
+        return per_process((name, "path"), lambda: made.append(name) or bytearray(9))
+
+    one = make("one")
+    give_back("one", "none")
+    assert make("one") is one and make("two") and made == ["one", "two"]
+    give_back("two")  # what a worker kept for one stage is not kept through the next
+    make("two"), make("one")
+    assert made == ["one", "two", "one"]
+    give_back()
+    make("one"), make("two")
+    assert made == ["one", "two", "one", "one", "two"]
+    give_back()
+
+
 @pytest.mark.parametrize("block_chars", [200, 2_000_000])
 def test_items_are_rows_whatever_their_id(spark, block_chars):
     texts = ["the first passage with quite a number of letters in it", "a second passage which has other letters altogether, yes",
