@@ -24,6 +24,11 @@ def _places(keys: np.ndarray) -> np.ndarray:
     return (mix(keys.astype(np.int64).view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def _bit(places: np.ndarray) -> np.ndarray:
+    """A place's bit in its byte, as ``packbits`` has it."""
+    return np.uint8(128) >> (places & 7).astype(np.uint8)
+
+
 def _valid(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     keys = keys.cast(pa.int64())
     return keys.fill_null(0).to_numpy(zero_copy_only=False), keys.is_valid().to_numpy(zero_copy_only=False)
@@ -31,12 +36,13 @@ def _valid(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 class BitTable:
     def __init__(self, packed: bytes):
-        self.bits = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).view(bool)
+        self.bits = np.frombuffer(zlib.decompress(packed), np.uint8)
 
     def among(self, keys: pa.Array) -> np.ndarray:
         """Whether each id may be one of the table's; null is none."""
         values, valid = _valid(keys)
-        return self.bits[_places(values)] & valid
+        places = _places(values)
+        return (self.bits[places >> 3] & _bit(places) > 0) & valid
 
 
 def bit_table(ids: DataFrame) -> bytes:
@@ -50,14 +56,15 @@ def bit_table(ids: DataFrame) -> bytes:
         return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed], pa.binary())], schema=_PART)
 
     def mark(batches):
-        bits = np.zeros(1 << BITS, bool)
+        bits = np.zeros((1 << BITS) // 8, np.uint8)
         for batch in batches:
             values, valid = _valid(batch.column(0))
-            bits[_places(values[valid])] = True
+            places = _places(values[valid])
+            np.bitwise_or.at(bits, places >> 3, _bit(places))
         for k in range(_SLICES):
-            part = bits[k * span:(k + 1) * span]
+            part = bits[k * span // 8:(k + 1) * span // 8]
             if part.any():
-                yield row(k, np.packbits(part))
+                yield row(k, part)
         del bits
         give_back()
 

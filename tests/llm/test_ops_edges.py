@@ -11,9 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siltworks.llm import bpe, chat, decontaminate, grace, jaccard, quality
+from siltworks.llm import bpe, chat, decontaminate, grace, idfilter, jaccard, quality
 from siltworks.llm.common import give_back, per_process
-from siltworks.session import BATCH_SETTING
+from siltworks.session import BATCH_SETTING, READ_SETTING
 
 NAMES = ("_id", "_own_sha", "_own_points", "_sha", "_points", "own_id", "own_sha", "own_points", "row", "id", "sha", "points", "record",
          "body", "row_key", "gone", "bucket", "kept", "keep_id", "n", "class", "score", "set_a", "set_b", "a", "b", "item", "edits")
@@ -92,6 +92,39 @@ def test_workers_get_texts_in_bounded_batches(spark, stage):
     assert largest() < 1_500_000
 
 
+@pytest.mark.parametrize("stage", ["exact", "near", "clean", "good", "fit", "tokens"])
+def test_batches_fit_buffers_and_texts_are_read_a_few_at_a_time(spark, stage):
+    import public_tokenizers
+
+    own = spark.newSession()
+    docs = own.createDataFrame([(1, "a b c d"), (2, "e f g h")], "doc_id long, text string")
+    items = own.createDataFrame([(1, "passage of many words that is copied")], "item_id long, text string")
+    labels = own.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    work = {"exact": lambda: grace.exact_groups(docs), "near": lambda: jaccard.groups(docs), "clean": lambda: decontaminate.keep_clean(docs, items),
+            "good": lambda: quality.keep_good(docs, np.zeros((1 << quality.BITS) + 1)), "fit": lambda: quality.fit(docs, labels),
+            "tokens": lambda: bpe.encode(docs, public_tokenizers.path(corpus_pipeline.RANKS))}[stage]
+    work()
+    texts = own.range(0, 1000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))  # 10 MB in one partition
+    sizes = texts.mapInArrow(lambda batches: (pa.record_batch([pa.array([batch.nbytes])], ["size"]) for batch in batches), "size long")
+    assert max(r.size for r in sizes.collect()) < 4 << 20  # else the text buffer doubles to 8 MB
+    assert int(own.conf.get(READ_SETTING)) <= 1024
+    own.conf.set(READ_SETTING, "77")  # a bound that the session has stays
+    work()
+    assert own.conf.get(READ_SETTING) == "77"
+
+
+def test_id_tables_take_a_bit_for_each_place(spark):
+    ids = [k * 7919 - 10_000 for k in range(3000)] + [-(1 << 63), (1 << 63) - 1]
+    frame = spark.createDataFrame([(k,) for k in ids] + [(None,), (ids[5],)], "id long").repartition(5)
+    table = idfilter.BitTable(idfilter.bit_table(frame))
+    assert table.bits.nbytes <= (1 << idfilter.BITS) // 8
+    assert table.among(pa.array(ids, pa.int64())).all() and table.among(pa.array([None, ids[0]], pa.int64())).tolist() == [False, True]
+    others = np.setdiff1d(np.arange(-100_000, 100_000), ids)
+    assert table.among(pa.array(others)).sum() < len(others) // 500
+    none = idfilter.BitTable(idfilter.bit_table(frame.limit(0)))
+    assert not none.among(pa.array(ids, pa.int64())).any()
+
+
 def test_a_finished_task_gives_its_memory_back():
     """What is freed below blocks still in use stays with the process otherwise."""
     def held():
